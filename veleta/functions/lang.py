@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from veleta.functions.text import tokens
+from veleta.functions.text import count_in, tokens
 
 STOP_WORDS: dict[str, tuple[str, ...]] = {
     "en": ("the", "and", "of", "to", "is", "in", "that", "it", "for", "was", "with", "on", "are",
@@ -28,8 +28,7 @@ def language(c: Column, unknown: str = "und") -> Column:
     hits = F.filter(tokens(c), lambda t: t.isin(every))
 
     def scored(found: Column) -> Column:
-        counts = {lang: F.size(F.filter(found, lambda t, w=words: t.isin(list(w))))
-                  for lang, words in STOP_WORDS.items()}
+        counts = {lang: count_in(found, list(words)) for lang, words in STOP_WORDS.items()}
         best = F.greatest(*counts.values())
         out = F.lit(unknown)
         for lang in reversed(STOP_WORDS):

@@ -62,3 +62,8 @@ def tokens(c: Column) -> Column:
 def token_count(c: Column) -> Column:
     """Number of words, without the empty pieces at the ends."""
     return F.size(F.array_remove(tokens(c), ""))
+
+
+def count_in(words: Column, wanted: list[str]) -> Column:
+    """How many elements of an array are among ``wanted``."""
+    return F.size(F.filter(words, lambda t: t.isin(wanted)))

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veleta.functions.text import NOT_WORD, WORD, tokens
+from veleta.functions.text import NOT_WORD, WORD, count_in, tokens
 
 # Above this many synonyms the per-row expressions give way to a token join.
 LOCAL_LIMIT = 2000
@@ -54,7 +54,7 @@ def count_expressions(text: Column, concepts: dict[str, list[str]]) -> Column:
 
     def all_counts(hits: Column) -> Column:
         return F.array(*[
-            F.size(F.filter(hits, lambda t, s=s: t.isin(s))) if c in words
+            count_in(hits, s) if c in words
             else F.regexp_count(F.lower(text), F.lit(_phrase_pattern(s)))
             for c, s in concepts.items()])
 
@@ -76,6 +76,12 @@ def _local_counts(posts: DataFrame, concepts: dict[str, list[str]], key: str,
     return counted.select(key, F.explode(hit).alias("s")).select(key, "s.*")
 
 
+def _windows(n: int) -> Column:
+    """All runs of ``n`` neighbouring words of the column ``w``."""
+    return F.transform(F.sequence(F.lit(0), F.size("w") - n),
+                       lambda i: F.array_join(F.slice("w", i + 1, n), " "))
+
+
 def joined_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",
                   title: str = "titulo", body: str = "texto") -> DataFrame:
     """Same result for a dictionary of any size, single words and phrases.
@@ -91,11 +97,9 @@ def joined_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",
 
     def grams(column: str, where: str) -> DataFrame:
         words = F.array_remove(tokens(F.coalesce(F.col(column), F.lit(""))), "")
-        lists = [F.transform(F.sequence(F.lit(0), F.size("w") - n),
-                             lambda i, n=n: F.array_join(F.slice("w", i + 1, n), " "))
-                 for n in range(1, longest + 1)]
-        built = F.concat(*[F.when(F.size("w") >= n, x).otherwise(F.array().cast("array<string>"))
-                           for n, x in enumerate(lists, 1)])
+        none = F.array().cast("array<string>")
+        built = F.concat(*[F.when(F.size("w") >= n, _windows(n)).otherwise(none)
+                           for n in range(1, longest + 1)])
         return posts.select(key, words.alias("w")).select(key, F.explode(built).alias("frase")) \
             .groupBy(key, "frase").agg(F.count(F.lit(1)).alias("n")) \
             .withColumn("donde", F.lit(where))

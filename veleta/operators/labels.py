@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from veleta.functions import probs as P
+from veleta.functions.once import add_once
 from veleta.operators.ranks import quantiles, running_sum
 from veleta.schemas import MIN_TEXT_LENGTH
 
@@ -13,17 +14,16 @@ def weak_labels(df: DataFrame, stars: tuple[str, ...] = ("p1", "p2", "p3", "p4",
     """Five star probabilities to a label, its id and three class probabilities."""
     p = [F.col(c) for c in stars]
     label = P.star_label(*p)
-    return df.select(
-        *[c for c in df.columns if c not in stars],
-        label.alias("sentimiento_label"), P.label_id(label).alias("label"),
-        (p[0] + p[1]).alias("p_neg"), p[2].alias("p_neu"), (p[3] + p[4]).alias("p_pos"))
+    return add_once(df, sentimiento_label=label, p_neg=p[0] + p[1], p_neu=p[2],
+                    p_pos=p[3] + p[4]) \
+        .withColumn("label", P.label_id(F.col("sentimiento_label"))).drop(*stars)
 
 
 def with_confidence(df: DataFrame) -> DataFrame:
     """Add the largest class probability and whether the own class reaches its threshold."""
     three = [F.col("p_neg"), F.col("p_neu"), F.col("p_pos")]
-    return df.withColumn("confianza", F.greatest(*three)) \
-        .withColumn("alta_confianza", P.confident(F.col("sentimiento_label"), *three))
+    return add_once(df, confianza=F.greatest(*three),
+                    alta_confianza=P.confident(F.col("sentimiento_label"), *three))
 
 
 def _picked(candidates: DataFrame, order: list[Column], missing: Column, target: int) -> DataFrame:

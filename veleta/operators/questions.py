@@ -44,7 +44,7 @@ def subreddit_label(g: DataFrame, limit: int = 50) -> DataFrame:
 
 def _technology(g: DataFrame, score_min: int) -> DataFrame:
     tech = g.filter((F.col("p") == RR + "hasTopic") & (F.col("o") == RR + "Technology")).select("s")
-    score = _pairs(g, RR + "score", "o").select("s", F.col("o").cast("bigint").alias("score")) \
+    score = _pairs(g, RR + "score", "o").select("s", F.col("o").try_cast("bigint").alias("score")) \
         .filter(F.col("score") > score_min)
     return score.join(tech, "s", "left_semi").join(of_type(g, "Post"), "s", "left_semi")
 
@@ -103,8 +103,8 @@ def semantic_features(g: DataFrame) -> DataFrame:
     topics = _pairs(g, RR + "hasTopic", "tema")
     return core.join(topics, "s", "left").select(
         "reddit_id", V.local_name(F.col("tipo")).alias("post_type"),
-        V.local_name(F.col("tema")).alias("topic"), F.col("score").cast("bigint").alias("score"),
-        F.col("comment_count").cast("bigint").alias("comment_count")).orderBy("reddit_id")
+        V.local_name(F.col("tema")).alias("topic"), F.col("score").try_cast("bigint").alias("score"),
+        F.col("comment_count").try_cast("bigint").alias("comment_count")).orderBy("reddit_id")
 
 
 def semantic_distribution(features: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veleta.functions.lang import language
+from veleta.functions.once import add_once
 from veleta.functions.text import model_text
 from veleta.functions.values import epoch_timestamp
 from veleta.operators import labels, models
@@ -34,8 +35,7 @@ def text_column(columns: list[str]) -> str:
 def with_model_text(silver: DataFrame) -> DataFrame:
     col = lambda c: F.col(c) if c in silver.columns else F.lit(None).cast("string")
     text = model_text(col("titulo"), col("texto"), col("titulo_limpio"), col("texto_limpio"))
-    return silver.withColumn("texto_model", text) \
-        .withColumn("longitud_texto", F.length("texto_model"))
+    return add_once(silver, texto_model=text).withColumn("longitud_texto", F.length("texto_model"))
 
 
 def usable(df: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def usable(df: DataFrame) -> DataFrame:
 
 
 def in_languages(df: DataFrame, languages=LANGUAGES) -> DataFrame:
-    found = df.withColumn("idioma_detectado", language(F.col("texto_model"), "unk"))
+    found = add_once(df, idioma_detectado=language(F.col("texto_model"), "unk"))
     return found.filter(F.col("idioma_detectado").isin(list(languages)))
 
 
