@@ -47,7 +47,7 @@ def _split(v: Views) -> DataFrame:
 def _fitted(v: Views):
     rows = _split(v)
     part = lambda name: rows.filter(F.col("particion") == name)
-    return M.train_sentiment(part("train"), part("val")), rows
+    return M.train_sentiment(part("train"), part("val"), features=1 << 14, max_iter=20), rows
 
 
 @check("sentiment_train_eval")

@@ -13,6 +13,7 @@ from veleta.operators.labels import length_window
 from veleta.operators.ranks import spearman
 from veleta.plans import prep
 from veleta.schemas import NUMERIC_PROFILE, TARGET_SUBREDDITS
+from veleta.session import durable
 
 
 def texts(v: Views) -> DataFrame:
@@ -23,6 +24,12 @@ def usable(v: Views) -> DataFrame:
     return prep.usable(texts(v))
 
 
+def numbers(v: Views) -> DataFrame:
+    """The numeric columns of the usable posts, kept so that later passes do not clean texts
+    again (in the stage plans the cleaned table is stored)."""
+    return durable(usable(v).select("id", "fecha_creacion", *NUMERIC_PROFILE))
+
+
 @check("clean_basic", f"select id, {sql_basic('title')} as titulo, {sql_basic('selftext')} as texto from posts")
 def basic(v: Views) -> DataFrame:
     return v.posts().select("id", clean_basic(F.col("title")).alias("titulo"),
@@ -96,7 +103,7 @@ left join (select cast(least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) a
 @check("length_histogram", _hist("cast(longitud_texto as double)", 50, "lineal") + " union all "
        + _hist("log10(cast(longitud_texto as double))", 100, "log10"))
 def length_histogram(v: Views) -> DataFrame:
-    rows = usable(v)
+    rows = numbers(v)
     out = [profile.histogram(rows, ["longitud_texto"], bins, log).withColumn("escala", F.lit(name))
            for bins, log, name in ((50, False, "lineal"), (100, True, "log10"))]
     return out[0].unionByName(out[1]).select("escala", "bin", r6("desde").alias("desde"), "n")
@@ -132,7 +139,7 @@ select '{c}' as columna, cast(count(x) as bigint) as count, round(avg(x), 6) as
 
 @check("numeric_describe", _DESCRIBE)
 def numeric_describe(v: Views) -> DataFrame:
-    return profile.numeric_describe(usable(v), list(NUMERIC_PROFILE)).withColumns(
+    return profile.numeric_describe(usable(v).select(*NUMERIC_PROFILE), list(NUMERIC_PROFILE)).withColumns(
         {c: r6(c) for c in _STATS})
 
 
@@ -144,7 +151,7 @@ _RANKS = ", ".join(f"rank() over (order by {c}) + (count(*) over (partition by {
     f" select '{a}' as variable_a, '{b}' as variable_b, " + ("max(1.0::double)" if a == b else f"round(corr({a}, {b}), 6)")
     + " as rho from r" for a in NUMERIC_PROFILE for b in NUMERIC_PROFILE))
 def spearman_corr(v: Views) -> DataFrame:
-    return spearman(usable(v), list(NUMERIC_PROFILE)).withColumn("rho", r6("rho"))
+    return spearman(numbers(v), list(NUMERIC_PROFILE)).withColumn("rho", r6("rho"))
 
 
 _SILVER = ("id", "titulo", "autor", "subreddit", "suscriptores", "pista", "url", "puntaje", "es_video")
@@ -190,7 +197,7 @@ def variable_dictionary(v: Views) -> DataFrame:
 @check("length_outliers", """select id, cast(longitud_texto as bigint) as longitud_texto from con_texto
 where longitud_texto between 20 and (select quantile_cont(cast(longitud_texto as double), 0.999) from con_texto)""")
 def length_outliers(v: Views) -> DataFrame:
-    return length_window(texts(v).select("id", "longitud_texto")).withColumn(
+    return length_window(durable(texts(v).select("id", "longitud_texto"))).withColumn(
         "longitud_texto", big("longitud_texto"))
 
 

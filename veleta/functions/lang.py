@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from veleta.functions.once import bind
 from veleta.functions.text import count_in, tokens
 
 STOP_WORDS: dict[str, tuple[str, ...]] = {
@@ -35,5 +36,4 @@ def language(c: Column, unknown: str = "und") -> Column:
             out = F.when((counts[lang] == best) & (best > 0), lang).otherwise(out)
         return out
 
-    # A one-element transform binds the hits, so they are not recomputed per language.
-    return F.get(F.transform(F.array(hits), scored), F.lit(0))
+    return bind(hits, scored)

@@ -1,7 +1,9 @@
-"""Keep an expensive column from being evaluated again in every filter on it."""
+"""Evaluate an expensive expression once."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -16,3 +18,11 @@ def add_once(df: DataFrame, **columns: Column) -> DataFrame:
     rest = [c for c in df.columns if c not in columns]
     return df.select(*[F.col(f"`{c}`") for c in rest],
                      F.inline(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))))
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated a single time inside higher-order functions.
+
+    Without it an expression used inside a lambda is evaluated again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

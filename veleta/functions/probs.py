@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from veleta.functions.once import bind
+
 # Label ids, display names and thresholds.
 LABEL_IDS = {"neg": 0, "neu": 1, "pos": 2}
 DISPLAY = ("Negativo", "Neutro", "Positivo")
@@ -19,10 +21,12 @@ def label_id(c: Column) -> Column:
 
 def softmax(logits: Column) -> Column:
     """Probabilities of an array of logits, shifted by the maximum so large values are safe."""
-    top = F.array_max(logits)
-    powers = F.transform(logits, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda x: x / total)
+    def shares(powers: Column) -> Column:
+        total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
+        return bind(total, lambda t: F.transform(powers, lambda x: x / t))
+
+    powers = bind(F.array_max(logits), lambda top: F.transform(logits, lambda x: F.exp(x - top)))
+    return bind(powers, shares)
 
 
 def argmax(values: Column) -> Column:

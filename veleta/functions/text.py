@@ -22,15 +22,20 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
 
 
+def _drop(c: Column, marker: str, pattern: str, by: str = "") -> Column:
+    """Replace a pattern, skipping the pattern engine for texts without its fixed part."""
+    return F.when(F.contains(c, F.lit(marker)), F.regexp_replace(c, pattern, by)).otherwise(c)
+
+
 def clean_text(c: Column, collapse: bool = True) -> Column:
     """Lower-case, drop addresses and mentions, collapse white space and strip.
 
     Null gives the empty string.  ``collapse=False`` keeps inner white space as it is.
     The last mention rule also eats inside words ("menu/item" becomes "men").
     """
-    out = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), URL_LOWER, "")
-    for pattern in MENTIONS:
-        out = F.regexp_replace(out, pattern, "")
+    out = _drop(F.lower(F.coalesce(c, F.lit(""))), "http", URL_LOWER)
+    for marker, pattern in zip(("@", "/u/", "u/"), MENTIONS):
+        out = _drop(out, marker, pattern)
     return F.trim(F.regexp_replace(out, SPACE + "+", " ")) if collapse else strip(out)
 
 

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from veleta.functions.once import bind
 from veleta.functions.text import NOT_WORD, WORD, count_in, tokens
 
 # Above this many synonyms the per-row expressions give way to a token join.
@@ -59,8 +60,7 @@ def count_expressions(text: Column, concepts: dict[str, list[str]]) -> Column:
             for c, s in concepts.items()])
 
     hits = F.filter(tokens(text), lambda t: t.isin(every)) if every else F.array().cast("array<string>")
-    # The one-element transform evaluates the hits once for all concepts.
-    return F.get(F.transform(F.array(hits), all_counts), F.lit(0))
+    return bind(hits, all_counts)
 
 
 def _local_counts(posts: DataFrame, concepts: dict[str, list[str]], key: str,
@@ -86,9 +86,9 @@ def joined_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",
                   title: str = "titulo", body: str = "texto") -> DataFrame:
     """Same result for a dictionary of any size, single words and phrases.
 
-    Word sequences as long as the longest phrase are counted per post before the join, so a
-    frequent word contributes one row per post; the join itself is left to the engine, which
-    broadcasts a dictionary it has measured to be small and splits hot words otherwise.
+    Word sequences up to the longest phrase are joined with the dictionary first and counted
+    afterwards, so only matches are shuffled.  The engine broadcasts the dictionary when its
+    measured size allows it and otherwise shuffles, splitting hot words adaptively.
     Phrases are compared with single blanks between words.
     """
     entries = dictionary.select(
@@ -101,13 +101,12 @@ def joined_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",
         built = F.concat(*[F.when(F.size("w") >= n, _windows(n)).otherwise(none)
                            for n in range(1, longest + 1)])
         return posts.select(key, words.alias("w")).select(key, F.explode(built).alias("frase")) \
-            .groupBy(key, "frase").agg(F.count(F.lit(1)).alias("n")) \
-            .withColumn("donde", F.lit(where))
+            .join(entries, "frase").withColumn("donde", F.lit(where))
 
-    both = grams(title, "t").unionByName(grams(body, "x")).join(entries, "frase")
+    both = grams(title, "t").unionByName(grams(body, "x"))
     return both.groupBy(key, "concepto").agg(
-        F.sum(F.when(F.col("donde") == "t", F.col("n")).otherwise(0)).cast("bigint").alias("n_titulo"),
-        F.sum(F.when(F.col("donde") == "x", F.col("n")).otherwise(0)).cast("bigint").alias("n_texto"))
+        F.count_if(F.col("donde") == "t").cast("bigint").alias("n_titulo"),
+        F.count_if(F.col("donde") == "x").cast("bigint").alias("n_texto"))
 
 
 def concept_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",

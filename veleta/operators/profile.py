@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from veleta.functions.values import equal_width_bin
-from veleta.operators.ranks import quantiles
+from veleta.operators.ranks import quantiles_at, value_positions
 
 
 def group_counts(df: DataFrame, group: str, key: str = "id", out: str = "total_posts") -> DataFrame:
@@ -73,14 +73,22 @@ def text_report(df: DataFrame, text: str) -> DataFrame:
 
 
 def numeric_describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample deviation, min, exact quartiles and max per column."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]) \
-        .unpivot([], columns, "columna", "valor")
-    base = long.groupBy("columna").agg(
-        F.count("valor").cast("bigint").alias("count"), F.avg("valor").alias("mean"),
-        F.stddev_samp("valor").alias("std"), F.min("valor").alias("min"),
-        F.max("valor").alias("max"))
-    q = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("columna").agg(
+    """count, mean, sample deviation, min, exact quartiles and max per column.
+
+    Everything is read off the ordered value counts: the input is scanned once, and the
+    deviation is summed around the mean.
+    """
+    at = value_positions(df, columns)
+    size = at.groupBy("columna").agg(F.sum("n").alias("_n"),
+                                     (F.sum(F.col("valor") * F.col("n")) / F.sum("n")).alias("_mean"))
+    # One row per column.
+    around = at.join(F.broadcast(size), "columna")
+    base = around.groupBy("columna").agg(
+        F.max("_n").cast("bigint").alias("count"), F.max("_mean").alias("mean"),
+        F.sqrt(F.try_divide(F.sum(F.pow(F.col("valor") - F.col("_mean"), 2) * F.col("n")),
+                            (F.max("_n") - 1).cast("double"))).alias("std"),
+        F.min("valor").alias("min"), F.max("valor").alias("max"))
+    q = quantiles_at(at, [0.25, 0.5, 0.75]).groupBy("columna").agg(
         *[F.max(F.when(F.col("q") == p, F.col("valor"))).alias(n)
           for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     return base.join(q, "columna", "left")

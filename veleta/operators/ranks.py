@@ -69,7 +69,11 @@ def value_positions(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: (columna, q, valor)."""
-    at = value_positions(df, columns)
+    return quantiles_at(value_positions(df, columns), probs)
+
+
+def quantiles_at(at: DataFrame, probs: list[float]) -> DataFrame:
+    """The quantiles of already ordered value counts."""
     sizes = at.groupBy("columna").agg(F.sum("n").alias("total"))
     q = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q")
     wanted = sizes.select(F.col("columna").alias("_col"), "total", q).select(

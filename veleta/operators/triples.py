@@ -118,7 +118,15 @@ def triple_view(posts: DataFrame) -> DataFrame:
     """
     base = _with_id(posts)
     branches = [base.select(*cells).filter("o is not null") for cells in _post_statements()]
-    return reduce(DataFrame.unionByName, branches).unionByName(entity_triples(posts))
+    for folder, name, cls in (("r/", V.norm_subreddit(F.col("subreddit_nombre")), "Subreddit"),
+                              ("u/", author_key(), "Author"), ("domain/", domain_key(), "Domain")):
+        names = base.select(name.alias("n")).filter("n is not null").distinct()
+        s = F.concat(F.lit(V.BASE + folder), F.col("n"))
+        branches.append(names.select(*_row(s, V.RDF_TYPE, F.lit(V.RR + cls))))
+        if folder == "r/":
+            label = F.concat(F.lit("r/"), F.col("n"))
+            branches.append(names.select(*_row(s, V.RDFS + "label", label, "literal", None, "en")))
+    return reduce(DataFrame.unionByName, branches)
 
 
 def as_graph(*parts: DataFrame) -> DataFrame:
