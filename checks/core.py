@@ -44,38 +44,25 @@ class Views:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def posts(self) -> DataFrame:
-        n = F.col("doc_id")
-        every = lambda k: n % k == 0
-        flat = F.regexp_replace("text", "\n", " ")
-        first = F.substring_index(F.substring_index("text", "\n", 1), ".", 1)
-        title = F.replace(F.when(every(17), flat).otherwise(first), F.lit("ß"), F.lit("ss"))
-        names = ["Technology", "technews", "worldnews", "science", "politics", "business",
-                 "Economics", "Health", "futurology"]
-        slot = ((n * n) % 23 % 10).cast("int")
-        tail = F.concat(F.lit(" see "), F.col("page_url"), F.lit(" cc @user"), (n % 7).cast("string"),
-                        F.lit(" via u/bot"), (n % 3).cast("string"))
-        pages = self.table("pages").select("page_id", F.col("url").alias("page_url"))
-        d = self.table("documents").join(pages, n == F.col("page_id"), "left")
-        return d.select(
-            F.concat(F.lit("d"), n.cast("string")).alias("id"),
-            F.concat(F.when(every(11), F.upper(title)).otherwise(title),
-                     F.when(every(5), "?").otherwise("")).alias("title"),
-            F.concat(F.when(every(17), "").otherwise(F.col("text")),
-                     F.coalesce(tail, F.lit(""))).alias("selftext"),
-            F.when(every(50), "[deleted]").otherwise(F.concat(F.lit("user"), (n % 97).cast("string")))
-            .alias("author"),
-            F.get(F.array(*[F.lit(x) for x in names]), slot).alias("subreddit"),
-            F.when(~every(19), 1000 + (n * 7919) % 900000).alias("subreddit_subscribers"),
-            (1704067200 + n * 43207 + F.when(n >= 100, 7776000).otherwise(0)).cast("double")
-            .alias("created_utc"),
-            ((n * 37) % 997 - 50).alias("score"), ((n * 13) % 211).alias("num_comments"),
-            (((n * 29) % 101).cast("double") / F.lit(100.0)).alias("upvote_ratio"),
-            every(3).alias("is_self"), every(7).alias("is_video"), every(11).alias("is_gallery"),
-            F.when(every(2), "link").alias("post_hint"),
-            every(17).alias("media_only"), every(13).alias("over_18"),
-            F.when(every(4), "self.post").otherwise("m.example.net/x y").alias("domain"),
-            F.col("page_url").alias("url"), F.col("lang"),
-            F.lit(1717200000.0).alias("_ingest_ts"))
+        pages = self.table("pages").selectExpr("page_id", "url as page_url")
+        d = self.table("documents").join(pages, F.col("doc_id") == F.col("page_id"), "left")
+        return d.selectExpr(
+            "'d' || doc_id as id",
+            f"if(doc_id % 11 = 0, upper({TITLE}), {TITLE}) || if(doc_id % 5 = 0, '?', '') as title",
+            "if(doc_id % 17 = 0, '', text) || coalesce(' see ' || page_url || ' cc @user' || doc_id % 7"
+            " || ' via u/bot' || doc_id % 3, '') as selftext",
+            "if(doc_id % 50 = 0, '[deleted]', 'user' || doc_id % 97) as author",
+            "get(array('Technology', 'technews', 'worldnews', 'science', 'politics', 'business',"
+            " 'Economics', 'Health', 'futurology'), cast(doc_id * doc_id % 23 % 10 as int)) as subreddit",
+            "if(doc_id % 19 = 0, null, 1000 + doc_id * 7919 % 900000) as subreddit_subscribers",
+            "cast(1704067200 + doc_id * 43207 + if(doc_id >= 100, 7776000, 0) as double) as created_utc",
+            "doc_id * 37 % 997 - 50 as score", "doc_id * 13 % 211 as num_comments",
+            "cast(doc_id * 29 % 101 as double) / 100D as upvote_ratio",
+            "doc_id % 3 = 0 as is_self", "doc_id % 7 = 0 as is_video", "doc_id % 11 = 0 as is_gallery",
+            "if(doc_id % 2 = 0, 'link', null) as post_hint", "doc_id % 17 = 0 as media_only",
+            "doc_id % 13 = 0 as over_18",
+            "if(doc_id % 4 = 0, 'self.post', 'm.example.net/x y') as domain", "page_url as url", "lang",
+            "1717200000D as _ingest_ts")
 
     def posts_dup(self) -> DataFrame:
         """Posts and a later, edited crawl of every labelled one."""
@@ -99,21 +86,19 @@ class Views:
         return self.spark.createDataFrame(rows, "concepto string, sinonimo string")
 
     def _n(self) -> DataFrame:
-        return self.posts().withColumn("n", F.expr("cast(substr(id, 2) as bigint)"))
+        return self.posts().selectExpr("*", "cast(substr(id, 2) as bigint) as n")
 
     def star_probs(self) -> DataFrame:
-        n = F.col("n")
-        w = [((n * a + b) % m + 1).cast("double") for a, b, m in STAR_SEEDS]
-        total = w[0] + w[1] + w[2] + w[3] + w[4]
-        return self._n().select("id", *[(x / total).alias(f"p{i}") for i, x in enumerate(w, 1)])
+        w = [f"cast((n * {a} + {b}) % {m} + 1 as double)" for a, b, m in STAR_SEEDS]
+        return self._n().selectExpr("id", *[f"{x} as w{i}" for i, x in enumerate(w, 1)]).selectExpr(
+            "id", *[f"w{i} / (w1 + w2 + w3 + w4 + w5) as p{i}" for i in range(1, 6)])
 
     def _pred(self, posts: DataFrame, factor: int, cut: int, name: str) -> DataFrame:
-        u = (F.col("n") * factor) % 101
-        return posts.select(
-            "id", F.col("created_utc").alias("fecha_creacion"),
-            F.col("subreddit").alias("subreddit_nombre"), F.col("title").alias("titulo"),
-            F.when(u >= cut, 1).otherwise(0).alias("prediccion"),
-            (u.cast("double") / F.lit(100.0)).alias("probabilidad"), F.lit(name).alias("modelo"))
+        u = f"n * {factor} % 101"
+        return posts.selectExpr(
+            "id", "created_utc as fecha_creacion", "subreddit as subreddit_nombre",
+            "title as titulo", f"if({u} >= {cut}, 1, 0) as prediccion",
+            f"cast({u} as double) / 100D as probabilidad", f"'{name}' as modelo")
 
     def pred_a(self) -> DataFrame:
         return self._pred(self._n(), 37, 50, "modelo_a")
@@ -130,6 +115,9 @@ class Views:
             "quality")
 
 
+# First sentence; a post that is all media carries its whole text as title.
+TITLE = (r"replace(if(doc_id % 17 = 0, replace(text, '\n', ' '),"
+         r" substring_index(substring_index(text, '\n', 1), '.', 1)), 'ß', 'ss')")
 CONCEPTS = (
     ("articulo", "the"), ("articulo", "la"), ("articulo", "le"), ("articulo", "der"),
     ("articulo", "el"), ("conjuncion", "and"), ("conjuncion", "et"), ("conjuncion", "und"),

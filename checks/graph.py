@@ -17,8 +17,8 @@ from veleta.sources.tables import read_ntriples, read_triples, write_ntriples, w
 RR, BASE, TYPE = V.RR, V.BASE, V.RDF_TYPE
 
 
-def graph(v: Views) -> DataFrame:
-    return T.triple_view(v.silver())
+def graph(v: Views):
+    return T.statement_source(v.silver())
 
 
 @check("norm_subreddit", "select id, nullif(lower(trim('  ' || subreddit || ' ')), '') as sub from posts")
@@ -87,7 +87,7 @@ def triples(v: Views) -> DataFrame:
 
 @check("triple_view", f"select * from ({_TRIPLES}) t")
 def triple_view(v: Views) -> DataFrame:
-    return graph(v)
+    return T.triple_view(v.silver())
 
 
 @check("graph_union", f"""
@@ -104,7 +104,7 @@ def graph_union(v: Views) -> DataFrame:
     row = lambda p, o, t: again.select(
         s.alias("s"), F.lit(p).alias("p"), o.cast("string").alias("o"),
         F.lit("literal").alias("o_kind"), t.alias("o_dtype"), null.alias("o_lang")).filter("o <> ''")
-    merged = T.as_graph(graph(v), row(V.DCT + "title", F.col("titulo"), null),
+    merged = T.as_graph(graph(v)(), row(V.DCT + "title", F.col("titulo"), null),
                         row(RR + "score", F.col("puntaje"), F.lit(V.XSD + "integer")))
     return merged.groupBy("p").agg(big(F.count(F.lit(1))).alias("n"))
 

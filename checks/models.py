@@ -9,7 +9,7 @@ from veleta.operators import features as X, models as M
 from veleta.operators.labels import hash_split
 from veleta.plans.gold import KEEP, labelled
 from veleta.plans.prep import with_model_text
-from veleta.session import scratch
+from veleta.session import durable, scratch
 
 
 def _binary(v: Views) -> DataFrame:
@@ -41,7 +41,7 @@ def predict_b(v: Views) -> DataFrame:
 
 def _split(v: Views) -> DataFrame:
     texts = with_model_text(v.silver()).select("id", "texto_model")
-    return hash_split(texts.join(v.labelled().select("id", F.col("real").alias("label")), "id"))
+    return durable(hash_split(texts.join(v.labelled().select("id", F.col("real").alias("label")), "id")))
 
 
 def _fitted(v: Views):

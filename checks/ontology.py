@@ -83,7 +83,7 @@ def onto_functional(v: Views) -> DataFrame:
         F.col("num_comments").alias("total_comentarios"), F.col("is_self").alias("es_texto"),
         F.col("is_video").alias("es_video"), F.col("is_gallery").alias("es_galeria"),
         F.col("post_hint").alias("pista_contenido"), F.col("domain").alias("dominio"), "url")
-    return O.functional_violations(T.triple_view(d), [V.DCT + "title", RR + "score", RR + "hasAuthor"])
+    return O.functional_violations(T.statement_source(d), [V.DCT + "title", RR + "score", RR + "hasAuthor"])
 
 
 @check("onto_inverse", f"""

@@ -17,9 +17,16 @@ MENTIONS = (r"@" + WORD + "+", r"/u/" + WORD + "+", r"u/" + WORD + "+")
 URL_LOOSE = r"http" + NOT_SPACE + r"+|www\." + NOT_SPACE + "+"
 
 
+# The characters of SPACE, for trimming without a pattern.
+BLANKS = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
+          + "".join(chr(c) for c in range(0x2000, 0x200B)))
+# Only the runs that change: two or more, or a single one that is not a plain blank.
+UNEVEN = "(?:" + SPACE + "{2,}|[" + SPACE[1:-1] + "&&[^ ]])"
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space of any kind, not only blanks."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def _drop(c: Column, marker: str, pattern: str, by: str = "") -> Column:
@@ -36,7 +43,7 @@ def clean_text(c: Column, collapse: bool = True) -> Column:
     out = _drop(F.lower(F.coalesce(c, F.lit(""))), "http", URL_LOWER)
     for marker, pattern in zip(("@", "/u/", "u/"), MENTIONS):
         out = _drop(out, marker, pattern)
-    return F.trim(F.regexp_replace(out, SPACE + "+", " ")) if collapse else strip(out)
+    return F.trim(F.regexp_replace(out, UNEVEN, " ")) if collapse else strip(out)
 
 
 def clean_basic(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veleta.functions import vocab as V
 from veleta.operators.ranks import running_sum
-from veleta.operators.triples import COLUMNS
+from veleta.operators.triples import COLUMNS, source_of
 from veleta.schemas import FIELDS
 
 # Classes with their superclass.
@@ -125,43 +125,38 @@ def vocabulary_triples(spark: SparkSession) -> DataFrame:
     return _frame(spark, rows)
 
 
-def oquare_counts(schema: DataFrame, instances: DataFrame) -> DataFrame:
+def oquare_counts(schema: DataFrame, instances) -> DataFrame:
     """Basic counts over ontology ∪ instances in one row.
 
-    ``schema`` is the small ontology table, ``instances`` any triple table; both are sets.
-    Schema statements are few, so the wide table is only scanned with a flag per row; the
-    object-property list used for instance relations is a fixed-size metadata read.
+    ``schema`` is the small ontology table, ``instances`` a triple table or source without
+    schema statements; both are sets.  The wide side is only counted: its total, its posts
+    and its relations.  The list of declared relations is a fixed-size metadata read.
     """
-    g = schema.withColumn("_schema", F.lit(True)).unionByName(
-        instances.select(*COLUMNS).withColumn("_schema", F.lit(False)))
     is_a = lambda *o: (F.col("p") == V.RDF_TYPE) & F.col("o").isin(list(o))
-    cls = is_a(V.OWL + "Class", V.SKOS + "Concept")
-    obj = is_a(V.OWL + "ObjectProperty", V.SKOS + "broader")
     broader = F.col("p") == V.SKOS + "broader"
-    data = is_a(V.OWL + "DatatypeProperty")
-    note = is_a(V.OWL + "AnnotationProperty") & F.col("s").isin(list(ANNOTATIONS))
-    declared = schema.filter(is_a(V.OWL + "ObjectProperty")).select(F.col("s").alias("p")).distinct()
-    posts = instances.filter((F.col("p") == V.RDF_TYPE) & (F.col("o") == V.RR + "Post")).select("s")
-    relations = instances.join(declared, "p", "left_semi").join(posts, "s", "left_semi") \
-        .agg(F.count(F.lit(1))).scalar()
-    # Every declared term falls into at most one row per (kind, term) before counting.
-    kinds = g.select(
-        F.when(cls, "clases").when(obj | broader, "objeto").when(data, "datos")
-        .when(note, "anotacion").alias("kind"),
-        F.when(broader, F.lit(V.SKOS + "broader")).otherwise(F.col("s")).alias("term"),
-        (F.col("p").isin(V.RDFS + "subClassOf", V.SKOS + "broader")).cast("int").alias("jer"),
-        is_a(V.RR + "Post").cast("int").alias("post"))
-    terms = kinds.groupBy("kind", F.when(F.col("kind").isNotNull(), F.col("term")).alias("term")) \
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("jer").alias("jer"), F.sum("post").alias("post"))
-    count = lambda k: F.count_if(F.col("kind") == k).cast("bigint")
-    return terms.agg(
-        count("clases").alias("clases"), count("objeto").alias("propiedades_objeto"),
-        count("datos").alias("propiedades_datos"),
-        count("anotacion").alias("propiedades_anotacion"),
-        F.sum("n").cast("bigint").alias("total_triples"),
-        F.sum("post").cast("bigint").alias("instancias"),
-        F.sum("jer").cast("bigint").alias("relaciones_jerarquicas"),
-    ).withColumn("relaciones_instancias", relations.cast("bigint"))
+    own = lambda cond: F.count_distinct(F.when(cond, F.col("s")))
+    small = schema.agg(
+        own(is_a(V.OWL + "Class", V.SKOS + "Concept")).alias("clases"),
+        (own(is_a(V.OWL + "ObjectProperty", V.SKOS + "broader"))
+         + F.max(broader.cast("int"))).alias("propiedades_objeto"),
+        own(is_a(V.OWL + "DatatypeProperty")).alias("propiedades_datos"),
+        own(is_a(V.OWL + "AnnotationProperty") & F.col("s").isin(list(ANNOTATIONS)))
+        .alias("propiedades_anotacion"),
+        F.count(F.lit(1)).alias("_schema"),
+        F.count_if((F.col("p") == V.RDFS + "subClassOf") | broader).alias("relaciones_jerarquicas"))
+    declared = [r[0] for r in schema.filter(is_a(V.OWL + "ObjectProperty")).select("s").distinct()
+                .collect()]
+    rows = source_of(instances)
+    posts = rows(V.RDF_TYPE, obj=V.RR + "Post").select("s")
+    count = lambda d: d.agg(F.count(F.lit(1))).scalar()
+    big = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    names = ("clases", "propiedades_objeto", "propiedades_datos", "propiedades_anotacion",
+             "relaciones_jerarquicas")
+    return small.select(
+        *[big(F.col(c)).alias(c) for c in names],
+        big(F.col("_schema") + count(rows())).alias("total_triples"),
+        big(count(posts)).alias("instancias"),
+        big(count(rows(*declared).join(posts, "s", "left_semi"))).alias("relaciones_instancias"))
 
 
 def oquare_metrics(counts: DataFrame) -> DataFrame:
@@ -200,11 +195,12 @@ def disjoint_violations(types: DataFrame, pairs=DISJOINT) -> DataFrame:
     return flags.select("id", F.explode(F.array_compact(cells)).alias("x")).select("id", "x.*")
 
 
-def cardinality_violations(g: DataFrame) -> DataFrame:
+def cardinality_violations(g) -> DataFrame:
     """Posts that break a cardinality restriction: (post, propiedad, n)."""
     is_post = (F.col("p") == V.RDF_TYPE) & (F.col("o") == V.RR + "Post")
-    used = [ALIASES[p] for p, _, _ in RESTRICTIONS]
-    per = g.filter(is_post | F.col("p").isin(used)).groupBy("s").agg(
+    rows = source_of(g)(*[ALIASES[p] for p, _, _ in RESTRICTIONS]) \
+        .unionByName(source_of(g)(V.RDF_TYPE, obj=V.RR + "Post"))
+    per = rows.groupBy("s").agg(
         F.bool_or(is_post).alias("post"),
         *[F.count_if(F.col("p") == ALIASES[p]).alias(p) for p, _, _ in RESTRICTIONS]).filter("post")
 
@@ -217,16 +213,16 @@ def cardinality_violations(g: DataFrame) -> DataFrame:
         F.array(*[broken(*r) for r in RESTRICTIONS]))).alias("x")).select("post", "x.*")
 
 
-def functional_violations(g: DataFrame, properties: list[str]) -> DataFrame:
+def functional_violations(g, properties: list[str]) -> DataFrame:
     """Subjects with more than one value of a functional property: (s, p, n)."""
-    return g.filter(F.col("p").isin(properties)).select("s", "p", "o").distinct() \
+    return source_of(g)(*properties).select("s", "p", "o").distinct() \
         .groupBy("s", "p").agg(F.count(F.lit(1)).cast("bigint").alias("n")).filter("n > 1")
 
 
-def inverse_triples(g: DataFrame, inverses: dict[str, str]) -> DataFrame:
+def inverse_triples(g, inverses: dict[str, str]) -> DataFrame:
     """Materialise o p⁻¹ s for every s p o with a declared inverse; row-local."""
     target = F.create_map(*[F.lit(x) for kv in inverses.items() for x in kv])
-    return g.filter(F.col("p").isin(list(inverses)) & (F.col("o_kind") == "iri")).select(
+    return source_of(g)(*inverses).filter(F.col("o_kind") == "iri").select(
         F.col("o").alias("s"), target[F.col("p")].alias("p"), F.col("s").alias("o"),
         "o_kind", "o_dtype", "o_lang")
 

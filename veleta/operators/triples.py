@@ -38,7 +38,12 @@ def subreddit_iri(name: Column) -> Column:
 
 
 def _post_statements() -> list[list[Column]]:
-    """One entry per statement about a post; the object is null when it does not apply."""
+    return [cells for _, _, cells in _statement_list()]
+
+
+def _statement_list() -> list[tuple[str, str | None, list[Column]]]:
+    """(predicate, constant object or None, columns) of every statement about a post; the
+    object is null where it does not apply."""
     pid = V.iri_safe(_filled("id"))
     s = F.concat(F.lit(V.BASE + "post/"), pid)
     rr = lambda name: V.RR + name
@@ -47,23 +52,27 @@ def _post_statements() -> list[list[Column]]:
     kind = F.concat(F.lit(V.RR), V.post_type(F.col("es_texto"), F.col("es_video"),
                                              F.col("es_galeria"), F.col("pista_contenido")))
     whole = "integer"
+
+    def say(p: str, o: Column, *kind: str, fixed: str | None = None):
+        return p, fixed, _row(s, p, o, *kind)
+
     return [
-        _row(s, V.RDF_TYPE, F.lit(rr("Post"))),
-        _row(s, rr("redditId"), pid, "literal", V.XSD + "string"),
-        _row(s, V.DCT + "title", _filled("titulo"), "literal"),
-        _row(s, V.SCHEMA + "text", _filled("texto"), "literal"),
-        _row(s, V.PROV + "generatedAtTime", iso_seconds(epoch_timestamp(created)), "literal",
+        say(V.RDF_TYPE, F.lit(rr("Post")), fixed=rr("Post")),
+        say(rr("redditId"), pid, "literal", V.XSD + "string"),
+        say(V.DCT + "title", _filled("titulo"), "literal"),
+        say(V.SCHEMA + "text", _filled("texto"), "literal"),
+        say(V.PROV + "generatedAtTime", iso_seconds(epoch_timestamp(created)), "literal",
              V.XSD + "dateTime"),
-        _row(s, rr("score"), F.col("puntaje").cast("bigint"), "literal", V.XSD + whole),
-        _row(s, V.SCHEMA + "commentCount", F.col("total_comentarios").cast("bigint"), "literal",
+        say(rr("score"), F.col("puntaje").cast("bigint"), "literal", V.XSD + whole),
+        say(V.SCHEMA + "commentCount", F.col("total_comentarios").cast("bigint"), "literal",
              V.XSD + whole),
-        _row(s, V.SCHEMA + "url", _filled("url"), "literal"),
-        _row(s, rr("hasSubreddit"), iri("r/", V.norm_subreddit(F.col("subreddit_nombre")))),
-        _row(s, rr("hasAuthor"), iri("u/", author_key())),
-        _row(s, rr("linksToDomain"), iri("domain/", domain_key())),
-        _row(s, V.RDF_TYPE, kind),
-        _row(s, rr("hasPostType"), kind),
-        _row(s, rr("hasTopic"), F.concat(F.lit(V.RR), V.topic(F.col("subreddit_nombre")))),
+        say(V.SCHEMA + "url", _filled("url"), "literal"),
+        say(rr("hasSubreddit"), iri("r/", V.norm_subreddit(F.col("subreddit_nombre")))),
+        say(rr("hasAuthor"), iri("u/", author_key())),
+        say(rr("linksToDomain"), iri("domain/", domain_key())),
+        say(V.RDF_TYPE, kind),
+        say(rr("hasPostType"), kind),
+        say(rr("hasTopic"), F.concat(F.lit(V.RR), V.topic(F.col("subreddit_nombre")))),
     ]
 
 
@@ -110,23 +119,59 @@ def triples(posts: DataFrame, unique_ids: bool = True) -> DataFrame:
     return out if unique_ids else as_graph(out)
 
 
-def triple_view(posts: DataFrame) -> DataFrame:
-    """The same rows as a union with one branch per statement, for querying.
+def statement_source(posts: DataFrame):
+    """Virtual triple table for questions: ``rows(p, …)`` gives the statements with these
+    predicates, ``rows(V.RDF_TYPE, obj=…)`` those with one constant object.
 
-    A condition on ``p`` (and on a constant ``o``) removes whole branches at planning time
-    and prunes the scan to the columns of the remaining ones.
+    Only the named statements are planned, each as a pruned scan of the posts; ``rows()``
+    gives all of them.
     """
     base = _with_id(posts)
-    branches = [base.select(*cells).filter("o is not null") for cells in _post_statements()]
-    for folder, name, cls in (("r/", V.norm_subreddit(F.col("subreddit_nombre")), "Subreddit"),
-                              ("u/", author_key(), "Author"), ("domain/", domain_key(), "Domain")):
-        names = base.select(name.alias("n")).filter("n is not null").distinct()
+
+    def names(key: Column) -> DataFrame:
+        return base.select(key.alias("n")).filter("n is not null").distinct()
+
+    def branch(source, cells):
+        return lambda: source().select(*cells).filter("o is not null")
+
+    parts = [(p, o, branch(lambda: base, cells)) for p, o, cells in _statement_list()]
+    for folder, key, cls in (("r/", V.norm_subreddit(F.col("subreddit_nombre")), "Subreddit"),
+                             ("u/", author_key(), "Author"), ("domain/", domain_key(), "Domain")):
+        source = (lambda k: lambda: names(k))(key)
         s = F.concat(F.lit(V.BASE + folder), F.col("n"))
-        branches.append(names.select(*_row(s, V.RDF_TYPE, F.lit(V.RR + cls))))
+        parts.append((V.RDF_TYPE, V.RR + cls,
+                      branch(source, _row(s, V.RDF_TYPE, F.lit(V.RR + cls)))))
         if folder == "r/":
             label = F.concat(F.lit("r/"), F.col("n"))
-            branches.append(names.select(*_row(s, V.RDFS + "label", label, "literal", None, "en")))
-    return reduce(DataFrame.unionByName, branches)
+            parts.append((V.RDFS + "label", None, branch(
+                source, _row(s, V.RDFS + "label", label, "literal", None, "en"))))
+
+    def rows(*predicates: str, obj: str | None = None) -> DataFrame:
+        picked = [make() for p, o, make in parts
+                  if (not predicates or p in predicates) and (obj is None or o in (None, obj))]
+        out = reduce(DataFrame.unionByName, picked)
+        return out if obj is None else out.filter(F.col("o") == obj)
+
+    return rows
+
+
+def triple_view(posts: DataFrame) -> DataFrame:
+    """The rows of ``triples`` as a union with one branch per statement."""
+    return statement_source(posts)()
+
+
+def stored_source(table: DataFrame):
+    """The same access to a triple table, stored or computed."""
+    def rows(*predicates: str, obj: str | None = None) -> DataFrame:
+        out = table.filter(F.col("p").isin(list(predicates))) if predicates else table
+        return out if obj is None else out.filter(F.col("o") == obj)
+
+    return rows
+
+
+def source_of(graph):
+    """``graph`` is a triple table or already a source."""
+    return stored_source(graph) if isinstance(graph, DataFrame) else graph
 
 
 def as_graph(*parts: DataFrame) -> DataFrame:
