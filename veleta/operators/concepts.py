@@ -78,6 +78,8 @@ def _local_counts(posts: DataFrame, concepts: dict[str, list[str]], key: str,
 
 def _windows(n: int) -> Column:
     """All runs of ``n`` neighbouring words of the column ``w``."""
+    if n == 1:
+        return F.col("w")
     return F.transform(F.sequence(F.lit(0), F.size("w") - n),
                        lambda i: F.array_join(F.slice("w", i + 1, n), " "))
 

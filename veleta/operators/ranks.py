@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from veleta.session import durable
 
 
+# Two doubles per value: about 16 MB of data.
+BROADCAST_VALUES = 1_000_000
+
+
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str,
                 out: str = "antes") -> DataFrame:
     """Add ``out`` = sum of ``value`` over the rows of the same keys strictly earlier in
@@ -95,16 +99,19 @@ def quantiles_at(at: DataFrame, probs: list[float]) -> DataFrame:
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rank correlation of every pair, ties get average ranks: (variable_a, variable_b, rho).
 
-    Ranks belong to distinct values; rows look theirs up by value.  The lookup tables are as
-    large as the number of distinct values, so the engine picks broadcast or a shuffle by
-    their measured size and splits hot values.
+    Ranks belong to distinct values; rows look theirs up by value.  The stored value counts
+    tell how many there are: up to ``BROADCAST_VALUES`` the lookup is broadcast, beyond that
+    both sides are shuffled and the adaptive planner splits hot values.
     """
     at = value_positions(df, columns)
+    sizes = {r[0]: r[1] for r in at.groupBy("columna").count().collect()}
     rank = F.col("antes") + (F.col("n") + 1) / 2
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     for c in columns:
         table = at.filter(F.col("columna") == c).select(F.col("valor").alias(f"_v_{c}"),
                                                         rank.alias(f"_r_{c}"))
+        if sizes.get(c, 0) <= BROADCAST_VALUES:
+            table = F.broadcast(table)
         rows = rows.join(table, F.col(c) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     one = rows.agg(*[F.corr(f"_r_{a}", f"_r_{b}").alias(f"{a}|{b}") for a, b in pairs])
