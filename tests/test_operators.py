@@ -238,6 +238,18 @@ def test_questions_on_stored_table(spark):
     assert {tuple(r) for r in Q.semantic_distribution(Q.semantic_features(g)).collect()} >= {("topic", None, 1)}
 
 
+def test_stored_source_prunes(spark, folder):
+    from veleta.sources.tables import triple_source, write_triples
+
+    write_triples(T.triples(graph_rows(spark)), folder + "/t")
+    g = triple_source(spark, folder + "/t")
+    assert g().count() == T.triples(graph_rows(spark)).count()
+    assert [tuple(r) for r in Q.high_score_tech(g).collect()] == [("a", 500, "technology")]
+    plan = g(V.RR + "score")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [predicado" in plan or "(predicado#" in plan.split("PartitionFilters")[1][:80]
+    assert T.statement_source(graph_rows(spark))("http://none").count() == 0
+
+
 def test_ontology_golden(spark):
     c = O.oquare_counts(O.ontology_triples(spark), T.triples(graph_rows(spark)).limit(0)).first()
     assert (c.clases, c.propiedades_objeto, c.propiedades_datos, c.propiedades_anotacion,

@@ -86,7 +86,6 @@ ALIASES = {
     "perteneceASubreddit": V.RR + "hasSubreddit",
 }
 INSTANCE_PROPERTIES = ("hasSubreddit", "hasAuthor", "linksToDomain", "hasPostType", "hasTopic")
-POST_TYPES = ("TextPost", "VideoPost", "GalleryPost", "LinkPost")
 
 
 def _frame(spark: SparkSession, rows) -> DataFrame:
@@ -114,8 +113,8 @@ def ontology_triples(spark: SparkSession) -> DataFrame:
 def vocabulary_triples(spark: SparkSession) -> DataFrame:
     """Terms used by the generated instances: classes, relations and the topic scheme."""
     rr, typ = lambda n: V.RR + n, V.RDF_TYPE
-    rows = [(rr(c), typ, V.OWL + "Class", "iri") for c in ("Post", "Author", "Domain", *POST_TYPES)]
-    rows += [(rr(c), V.RDFS + "subClassOf", rr("Post"), "iri") for c in POST_TYPES]
+    rows = [(rr(c), typ, V.OWL + "Class", "iri") for c in ("Post", "Author", "Domain", *V.POST_TYPES)]
+    rows += [(rr(c), V.RDFS + "subClassOf", rr("Post"), "iri") for c in V.POST_TYPES]
     rows += [(rr(p), typ, V.OWL + "ObjectProperty", "iri") for p in INSTANCE_PROPERTIES]
     rows += [(rr(t), typ, V.SKOS + "Concept", "iri") for t in V.TOPICS.values()]
     # Narrower topics: a topic grouped under another one by the coarse map.

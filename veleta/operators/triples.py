@@ -41,8 +41,8 @@ def _post_statements() -> list[list[Column]]:
     return [cells for _, _, cells in _statement_list()]
 
 
-def _statement_list() -> list[tuple[str, str | None, list[Column]]]:
-    """(predicate, constant object or None, columns) of every statement about a post; the
+def _statement_list() -> list[tuple[str, tuple[str, ...] | None, list[Column]]]:
+    """(predicate, possible objects or None, columns) of every statement about a post; the
     object is null where it does not apply."""
     pid = V.iri_safe(_filled("id"))
     s = F.concat(F.lit(V.BASE + "post/"), pid)
@@ -53,11 +53,11 @@ def _statement_list() -> list[tuple[str, str | None, list[Column]]]:
                                              F.col("es_galeria"), F.col("pista_contenido")))
     whole = "integer"
 
-    def say(p: str, o: Column, *kind: str, fixed: str | None = None):
+    def say(p: str, o: Column, *kind: str, fixed: tuple[str, ...] | None = None):
         return p, fixed, _row(s, p, o, *kind)
 
     return [
-        say(V.RDF_TYPE, F.lit(rr("Post")), fixed=rr("Post")),
+        say(V.RDF_TYPE, F.lit(rr("Post")), fixed=(rr("Post"),)),
         say(rr("redditId"), pid, "literal", V.XSD + "string"),
         say(V.DCT + "title", _filled("titulo"), "literal"),
         say(V.SCHEMA + "text", _filled("texto"), "literal"),
@@ -70,9 +70,10 @@ def _statement_list() -> list[tuple[str, str | None, list[Column]]]:
         say(rr("hasSubreddit"), iri("r/", V.norm_subreddit(F.col("subreddit_nombre")))),
         say(rr("hasAuthor"), iri("u/", author_key())),
         say(rr("linksToDomain"), iri("domain/", domain_key())),
-        say(V.RDF_TYPE, kind),
+        say(V.RDF_TYPE, kind, fixed=tuple(map(rr, V.POST_TYPES))),
         say(rr("hasPostType"), kind),
-        say(rr("hasTopic"), F.concat(F.lit(V.RR), V.topic(F.col("subreddit_nombre")))),
+        say(rr("hasTopic"), F.concat(F.lit(V.RR), V.topic(F.col("subreddit_nombre"))),
+            fixed=tuple(map(rr, V.TOPICS.values()))),
     ]
 
 
@@ -139,7 +140,7 @@ def statement_source(posts: DataFrame):
                              ("u/", author_key(), "Author"), ("domain/", domain_key(), "Domain")):
         source = (lambda k: lambda: names(k))(key)
         s = F.concat(F.lit(V.BASE + folder), F.col("n"))
-        parts.append((V.RDF_TYPE, V.RR + cls,
+        parts.append((V.RDF_TYPE, (V.RR + cls,),
                       branch(source, _row(s, V.RDF_TYPE, F.lit(V.RR + cls)))))
         if folder == "r/":
             label = F.concat(F.lit("r/"), F.col("n"))
@@ -148,7 +149,9 @@ def statement_source(posts: DataFrame):
 
     def rows(*predicates: str, obj: str | None = None) -> DataFrame:
         picked = [make() for p, o, make in parts
-                  if (not predicates or p in predicates) and (obj is None or o in (None, obj))]
+                  if (not predicates or p in predicates) and (obj is None or o is None or obj in o)]
+        if not picked:
+            return base.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNS))
         out = reduce(DataFrame.unionByName, picked)
         return out if obj is None else out.filter(F.col("o") == obj)
 

@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 from veleta.operators import ontology, questions
 from veleta.operators.triples import triples
-from veleta.sources.tables import read_triples, write_ntriples, write_report, write_table, write_triples
+from veleta.sources.tables import (read_triples, triple_source, write_ntriples, write_report,
+                                   write_table, write_triples)
 
 
 def run_generate(spark: SparkSession, silver_path: str, table_path: str,
@@ -18,11 +19,11 @@ def run_generate(spark: SparkSession, silver_path: str, table_path: str,
 
 
 def run_semantic_features(spark: SparkSession, table_path: str, out: str) -> None:
-    write_table(questions.semantic_features(read_triples(spark, table_path)), out)
+    write_table(questions.semantic_features(triple_source(spark, table_path)), out)
 
 
 def run_questions(spark: SparkSession, table_path: str, folder: str) -> None:
-    g = read_triples(spark, table_path)
+    g = triple_source(spark, table_path)
     for name, answer in {
         "cq_missing_subreddit": questions.missing_subreddit(g),
         "cq_subreddit_label": questions.subreddit_label(g),
@@ -36,5 +37,5 @@ def run_questions(spark: SparkSession, table_path: str, folder: str) -> None:
 
 def run_quality(spark: SparkSession, table_path: str, report: str) -> None:
     schema = ontology.ontology_triples(spark).unionByName(ontology.vocabulary_triples(spark))
-    counts = ontology.oquare_counts(schema, read_triples(spark, table_path))
+    counts = ontology.oquare_counts(schema, triple_source(spark, table_path))
     write_report(ontology.oquare_metrics(counts), report)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -38,7 +40,7 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def write_triples(triples: DataFrame, path: str) -> None:
     """Triple table partitioned by predicate, so a question reads only its predicates."""
-    triples.withColumn("predicado", F.sha2("p", 256).substr(1, 12)).hint("rebalance", "p") \
+    triples.withColumn("predicado", F.substring(F.sha2("p", 256), 1, 12)).hint("rebalance", "p") \
         .write.mode("overwrite").partitionBy("predicado").parquet(path)
 
 
@@ -46,11 +48,20 @@ def read_triples(spark: SparkSession, path: str, predicates: list[str] | None =
     """The stored table, or only some predicates of it (partition pruning)."""
     out = spark.read.parquet(path)
     if predicates:
-        folders = [F.sha2(F.lit(p), 256).substr(1, 12) for p in predicates]
+        folders = [hashlib.sha256(p.encode()).hexdigest()[:12] for p in predicates]
         out = out.filter(F.col("predicado").isin(folders) & F.col("p").isin(predicates))
     return out.select(*COLUMNS)
 
 
+def triple_source(spark: SparkSession, path: str):
+    """The stored table as a source for questions; each reads only its predicates' folders."""
+    def rows(*predicates: str, obj: str | None = None) -> DataFrame:
+        out = read_triples(spark, path, list(predicates))
+        return out if obj is None else out.filter(F.col("o") == obj)
+
+    return rows
+
+
 _ESCAPES = (("\\", "\\u005C"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
 
 
