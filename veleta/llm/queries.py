@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veleta.llm import decontaminate, fingerprint, licenses, packing, sharding
+from veleta.llm import decontaminate, fingerprint, licenses, packing, sharding, substrings
 from veleta.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,9 @@ def op8_sharding(spark, sf_dir):
 def op9_license_scan(spark, sf_dir):
     """License phrases and notices in documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    """Words of documents inside repeated windows of twenty words."""
+    return substrings.dedup(table(spark, sf_dir, "documents"))
