@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veleta.llm import decontaminate, fingerprint, licenses, packing, sharding, substrings
+from veleta.llm import decontaminate, fingerprint, jaccard, licenses, packing, sharding, substrings
 from veleta.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def op9_license_scan(spark, sf_dir):
 def op10_substring_dedup(spark, sf_dir):
     """Words of documents inside repeated windows of twenty words."""
     return substrings.dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_ngram_jaccard_join(spark, sf_dir):
+    """Components of documents whose five-word shingles are 75 % alike."""
+    return jaccard.join(table(spark, sf_dir, "documents"))

@@ -34,7 +34,7 @@ class _Gatherer:
     """
 
     def __init__(self, bits: int, wide: bool, repeated: str):
-        self.bits, self.wide, self.repeated = bits, wide, repeated
+        self.bits, self.wide, self.repeated, self.counted = bits, wide, repeated, False
         self.clear()
 
     def clear(self):
@@ -49,6 +49,18 @@ class _Gatherer:
         self.counts.append(count)
         self.n += count
 
+    def send_counts(self):
+        """As ``send``, but of the values known to be repeated only their number per id; the copy
+        that is sent is flagged, for it has been counted."""
+        for batch in self.send():
+            if batch.column("id").null_count:
+                yield batch
+            else:
+                lists = batch.column("places")
+                n = np.diff(lists.offsets.to_numpy()).astype(np.int32)
+                counts = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1), pa.int32()), pa.array(n, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], counts], batch.schema.names)
+
     def send(self):
         """Record batches of (frag, batch, flags, rests, id, places)."""
         if not self.values:
@@ -68,7 +80,7 @@ class _Gatherer:
             order, starts, run = frames.runs(values)
         size = np.diff(np.r_[starts, len(order)])
         first = order[starts]
-        any_flag = np.logical_or.reduceat(flags[order], starts)
+        any_flag = size > 1 if self.counted else np.logical_or.reduceat(flags[order], starts)
         if self.repeated == "all":
             known = order[size[run] > 1]
         else:
@@ -178,8 +190,8 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
 def covered(places: np.ndarray, window: int, n: int) -> np.ndarray:
     """Mask of the places inside a window that starts at one of ``places``."""
     edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, places, 1)
-    np.add.at(edge, places + window, -1)
+    edge += np.bincount(places, minlength=n + 1)
+    edge -= np.bincount(places + window, minlength=n + 1)
     return np.cumsum(edge)[:n] > 0
 
 
