@@ -122,7 +122,8 @@ def next_and_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = rows.schema["id"].dataType.simpleString()
     slices = max(parts(docs), octets(rows, "text") >> 25)
     order = [F.asc_nulls_first("id"), F.asc("text")]
-    laid = rows.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    # Ranged by the id alone: the keys that are sampled for the ranges go to the driver.
+    laid = rows.repartitionByRange(slices, order[0]).sortWithinPartitions(*order)
 
     def walk(batches):
         here, before, before_fp, seen = TaskContext.get().partitionId(), None, "", None

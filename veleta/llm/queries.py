@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veleta.llm import decontaminate, fingerprint, jaccard, licenses, packing, sharding, substrings
+from veleta.llm import (decontaminate, fingerprint, jaccard, licenses, ordinal, packing,
+                        sharding, substrings)
 from veleta.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,17 @@ def op10_substring_dedup(spark, sf_dir):
 def op2_ngram_jaccard_join(spark, sf_dir):
     """Components of documents whose five-word shingles are 75 % alike."""
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+def quality_model(spark, docs, sf_dir):
+    """The classifier of the pipeline and of op4, from the label table."""
+    labels = table(spark, sf_dir, "labels")
+    grades = labels.select("doc_id", ordinal.grade_of(labels["quality"], labels["toxic"]).alias("grade"))
+    return ordinal.fit(docs, grades)
+
+
+@query
+def op4_quality_classifier(spark, sf_dir):
+    """Expected grade and tail probabilities of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.score(docs, quality_model(spark, docs, sf_dir))
