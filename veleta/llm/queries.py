@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from veleta.llm import (decontaminate, fingerprint, jaccard, licenses, ordinal, packing,
-                        sharding, substrings)
+                        sharding, substrings, suffixes)
 from veleta.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op4_quality_classifier(spark, sf_dir):
     """Expected grade and tail probabilities of all documents."""
     docs = table(spark, sf_dir, "documents")
     return ordinal.score(docs, quality_model(spark, docs, sf_dir))
+
+
+@query
+def op3_suffix_array_dedup(spark, sf_dir):
+    """Bytes of documents inside repeated strings of a hundred bytes."""
+    return suffixes.dedup(table(spark, sf_dir, "documents"))
