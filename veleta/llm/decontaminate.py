@@ -84,6 +84,16 @@ class Searcher:
         return hit, items
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int) -> Iterator:
+    """The benchmark as broadcasts of (item, text) lists, each of about ``block_bytes`` at most."""
+    bench = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"),
+                             F.col(f"`{item_text}`").cast("binary").alias("body")).filter("body is not null")
+    blocks = max(1, -(-octets(bench, "body") // block_bytes))
+    for k in range(blocks):
+        part = bench.filter(F.pmod(F.xxhash64("body"), F.lit(blocks)) == k) if blocks > 1 else bench
+        yield benchmark.sparkSession.sparkContext.broadcast([(r[0], bytes(r[1])) for r in part.collect()])
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                   block_bytes: int = 16 << 20) -> DataFrame:
@@ -99,20 +109,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     rows, repeated items count once per id.  An empty benchmark hits nothing.  Other columns are
     ignored.
     """
-    spark = docs.sparkSession
-    bench = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"),
-                             F.col(f"`{item_text}`").cast("binary").alias("body")).filter("body is not null")
-    blocks = -(-octets(bench, "body") // block_bytes)
+    blocks = _blocks(benchmark, item_col, item_text, block_bytes)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
                        F.lit(0).cast("long").alias("n_words"),
                        F.array().cast("array<int>").alias("hit"),
                        F.array().cast("array<string>").alias("items"))
     id_type = rows.schema["id"].dataType.simpleString()
-    for k in range(max(1, blocks)):
-        part = bench.filter(F.pmod(F.xxhash64("body"), F.lit(blocks)) == k) if blocks > 1 else bench
-        # One block of at most about block_bytes of text.
-        found = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in part.collect()])
-
+    for found in blocks:
         def search(batches, found=found):
             searcher = Searcher(found.value, window)
             for b in batches:
@@ -136,3 +139,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
         F.size("items").cast("long").alias("n_items"), "items",
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
         (F.size("hit") > 0).alias("contaminated"))
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",
+                   item_col: str = "item_id", item_text: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which no benchmark window occurs."""
+    place, schema = docs.columns.index(text_col), docs.schema
+    for found in _blocks(benchmark, item_col, item_text, block_bytes):
+        def clean(batches, found=found):
+            searcher = Searcher(found.value, window)
+            for b in batches:
+                yield b.filter(pa.array([not searcher.search(fold_words(t))[0] for t in raw_texts(b.column(place))],
+                                        pa.bool_()))
+
+        docs = arrow_map(docs, clean, schema)
+    return docs

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veleta.llm import (decontaminate, fingerprint, jaccard, licenses, ordinal, packing,
+from veleta.llm import (decontaminate, extract, fingerprint, jaccard, licenses, ordinal, packing,
                         sharding, substrings, suffixes)
 from veleta.llm.common import table
 
@@ -82,3 +82,10 @@ def op4_quality_classifier(spark, sf_dir):
 def op3_suffix_array_dedup(spark, sf_dir):
     """Bytes of documents inside repeated strings of a hundred bytes."""
     return suffixes.dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return extract.extract(pages, extract.fit(pages))

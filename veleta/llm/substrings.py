@@ -12,7 +12,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from veleta.llm import frames
 from veleta.llm.common import arrow_map, octets, parts, raw_texts, window_hashes, word_hashes
@@ -21,9 +21,12 @@ LAST = 2**63 - 1
 GATHER = 4 << 20   # values a map task gathers before it sends frames
 
 
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.col(f"`{text_col}`").alias("text")]
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"),
-                       F.col(f"`{text_col}`").alias("text"))
+    return docs.select(*_keys(id_col, text_col))
 
 
 class _Gatherer:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veleta.llm import frames
 from veleta.llm.common import ODD, U64, arrow_map, mix, octets, raw_texts
-from veleta.llm.substrings import GATHER, LAST, SENT, _Gatherer, _keyed, exchange
+from veleta.llm.substrings import GATHER, LAST, SENT, _Gatherer, _keyed, _keys, exchange
 
 CHUNK = 1 << 20    # starts of one text that are parsed at a time
 
@@ -204,13 +204,14 @@ def removed(text: bytes, length: int, settled: np.ndarray, single: np.ndarray) -
 
 
 def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text",
-          keep_text: bool = False) -> DataFrame:
+          keep_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every byte that lies in a ``length``-byte string which also starts earlier, in a smaller
     id or earlier in the same document; overlaps count, strings are judged on the input and never
     cross documents.
 
     Returns id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, with
     ``keep_text``, what is left as text; a character of which only some bytes are left is dropped from it.
+    Columns named in ``carry`` come along.
 
     Ids are integers; a row without id counts as the last document and is returned without id.
     Rows that repeat an id with the same text get the same result as one document.  Null, empty and short texts lose
@@ -219,6 +220,9 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     rows = _keyed(docs, id_col, text_col)
     settled, single = repeats(rows, length)
     none = np.empty(0, np.int64)
+    also = [f"c{k}" for k in range(len(carry))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(carry, also)], *_keys(id_col, text_col))
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.select(*also).schema) if also else ""
 
     def cut(batches):
         for b in batches:
@@ -242,10 +246,12 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             if keep_text:
                 columns.append(pa.array(kept_text, pa.string()))
                 names.append("kept_text")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, *(b.column(a) for a in also)], [*names, *also])
 
     full = (rows.join(settled.withColumnRenamed("places", "settled"), "id", "left")
-            .join(single.withColumnRenamed("places", "single"), "id", "left").select("id", "text", "settled", "single"))
+            .join(single.withColumnRenamed("places", "single"), "id", "left").select("id", "text", "settled", "single", *also))
     out = arrow_map(full, cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-                    + (", kept_text string" if keep_text else ""))
-    return out.select(F.when(F.col("id") != LAST, F.col("id")).alias(id_col), *[c for c in out.columns if c != "id"])
+                    + (", kept_text string" if keep_text else "") + kinds)
+    return out.select(F.when(F.col("id") != LAST, F.col("id")).alias(id_col),
+                      *[c for c in out.columns if c != "id" and c not in also],
+                      *[F.col(a).alias(c) for c, a in zip(carry, also)])
