@@ -17,21 +17,61 @@ from veleta.llm.common import U64
 FRAME = "frag int, batch binary, flags binary, rests binary"
 
 
-def fragment_bits(values: int, least: int = 6, target: int = 1 << 21) -> int:
+def fragment_bits(values: int, least: int = 6, target: int = 1 << 20) -> int:
     """log2 of the number of fragments with at most about ``target`` values each."""
     return max(least, int(max(1, values // target)).bit_length())
 
 
-def planes(a: np.ndarray) -> bytes:
-    """The bytes of an integer array, least significant bytes of all entries first."""
+def planes(a: np.ndarray, used: int | None = None) -> bytes:
+    """The bytes of an integer array, least significant bytes of all entries first; only the lowest
+    ``used`` bytes of each if given."""
     a = np.ascontiguousarray(a)
-    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+    return a.view(np.uint8).reshape(len(a), a.itemsize)[:, :used].T.tobytes()
 
 
-def unplanes(data: bytes, kind) -> np.ndarray:
+def unplanes(data: bytes, kind, used: int | None = None) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    n = len(data) // size
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, n).T).view(kind).ravel()
+    used = used or size
+    n = len(data) // used
+    out = np.zeros((n, size), np.uint8)
+    out[:, :used] = np.frombuffer(data, np.uint8).reshape(used, n).T
+    return out.view(kind).ravel()
+
+
+def coded(ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    """(id, places) rows: the ascending places of each id as gaps of seven bits a byte."""
+    order = np.lexsort((places, ids))
+    ids, places = ids[order], places[order].astype(np.int64)
+    new = np.ones(len(ids), bool)
+    new[1:] = ids[1:] != ids[:-1]
+    gap = places.copy()
+    gap[1:][~new[1:]] -= places[:-1][~new[1:]]
+    size = 1 + sum((gap >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
+    at = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(5):
+        own = size > k
+        if not own.any():
+            break
+        out[at[own] + k] = (gap[own] >> 7 * k & 127) | (size[own] > k + 1).astype(np.int64) << 7
+    starts = np.flatnonzero(new)
+    offsets = np.r_[at[starts], len(out)].astype(np.int32)
+    binary = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+    return pa.RecordBatch.from_arrays([pa.array(ids[starts], pa.int64()), binary], ["id", "places"])
+
+
+def decoded(parts: list[bytes]) -> np.ndarray:
+    """All places of one id from its coded parts, ascending within a part."""
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    if not len(data):
+        return np.empty(0, np.int64)
+    ends = np.flatnonzero(data < 128)
+    starts = np.r_[0, ends[:-1] + 1]
+    within = np.arange(len(data)) - np.repeat(starts, ends - starts + 1)
+    total = np.cumsum(np.add.reduceat((data & 127).astype(np.int64) << 7 * within, starts))
+    heads = np.searchsorted(starts, np.cumsum([0, *map(len, parts[:-1])]))
+    before = np.r_[0, total][heads]
+    return total - np.repeat(before, np.diff(np.r_[heads, len(total)]))
 
 
 def _deltas(a: np.ndarray) -> np.ndarray:
@@ -44,14 +84,15 @@ def pack(values: np.ndarray, entry: np.ndarray, flags: np.ndarray, ids: np.ndarr
 
     ``values`` are the entries' 64-bit values and ``entry`` their ascending place in the batch,
     where document k (``ids[k]``) owns the next ``counts[k]`` places.  ``wide`` sends the whole
-    value, otherwise the 32 bits below the fragment's prefix.
+    value, otherwise the 24 bits below the fragment's prefix: enough to rule out nearly all values
+    that occur once, as fragments stay equally large, if a later step compares exactly.
     """
     frag = (values >> U64(64 - bits)).astype(np.int64)
     order = np.argsort(frag.astype(np.uint16) if bits <= 16 else frag, kind="stable")
     bounds = np.searchsorted(frag[order], np.arange((1 << bits) + 1))
     head = planes(_deltas(ids.astype(np.int64))) + planes(counts.astype(np.uint32))
     head = np.int64(len(ids)).tobytes() + head
-    rest = values if wide else ((values << U64(bits)) >> U64(32)).astype(np.uint32)
+    rest = values if wide else ((values << U64(bits)) >> U64(40)).astype(np.uint32)
     rows = ([], [], [], [])
     for f in range(1 << bits):
         a, b = bounds[f], bounds[f + 1]
@@ -61,32 +102,31 @@ def pack(values: np.ndarray, entry: np.ndarray, flags: np.ndarray, ids: np.ndarr
         rows[0].append(f)
         rows[1].append(head + planes(_deltas(entry[own].astype(np.uint32))))
         rows[2].append(np.packbits(flags[own]).tobytes())
-        rows[3].append(planes(rest[own]))
+        rows[3].append(planes(rest[own], None if wide else 3))
     return pa.RecordBatch.from_arrays(
         [pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
         ["frag", "batch", "flags", "rests"])
 
 
 def unpack(rows: list[tuple[bytes, bytes, bytes]], wide: bool):
-    """(values below the prefix, flags, owner, place in the owner, owner ids, frame of each entry)."""
-    rests, flags, owner, place, ids, frame = [], [], [], [], [], []
+    """(values below the prefix, flags, owner, place in the owner, owner ids) of all entries."""
+    rests, flags, owner, place, ids = [], [], [], [], []
     base = 0
-    for k, (batch, flag, rest) in enumerate(rows):
+    for batch, flag, rest in rows:
         n = int(np.frombuffer(batch, np.int64, 1)[0])
         own = np.cumsum(unplanes(batch[8:8 + 8 * n], np.int64))
         counts = unplanes(batch[8 + 8 * n:8 + 12 * n], np.uint32)
         entry = np.cumsum(unplanes(batch[8 + 12 * n:], np.uint32).astype(np.int64))
         ends = np.cumsum(counts.astype(np.int64))
         who = np.searchsorted(ends, entry, side="right")
-        rests.append(unplanes(rest, np.uint64 if wide else np.uint32))
+        rests.append(unplanes(rest, np.uint64) if wide else unplanes(rest, np.uint32, 3))
         flags.append(np.unpackbits(np.frombuffer(flag, np.uint8), count=len(entry)).astype(bool))
         place.append((entry - (ends - counts)[who]).astype(np.int32))
         owner.append((who + base).astype(np.int32))
-        frame.append(np.full(len(entry), k, np.int32))
         ids.append(own)
         base += n
     cat = np.concatenate
-    return cat(rests), cat(flags), cat(owner), cat(place), cat(ids), cat(frame)
+    return cat(rests), cat(flags), cat(owner), cat(place), cat(ids)
 
 
 def by_fragment(batches):
@@ -111,15 +151,3 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new = np.ones(len(s), bool)
     new[1:] = s[1:] != s[:-1]
     return order, np.flatnonzero(new), np.cumsum(new) - 1
-
-
-def lists(ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """(id, places) rows: the places of each id, ascending."""
-    order = np.lexsort((places, ids))
-    ids, places = ids[order], places[order]
-    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.empty(0, np.int64)
-    offsets = np.r_[starts, len(ids)].astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[starts], pa.int64()),
-         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(places.astype(np.int32), pa.int32()))],
-        ["id", "places"])

@@ -84,10 +84,10 @@ def _sharing(docs: DataFrame, size: int) -> DataFrame:
             known = [r for r in rows if r[0] is None]
             if known:
                 yield pa.RecordBatch.from_arrays([pa.array([r[3] for r in known], pa.int64()),
-                                                  pa.array([r[4][0] for r in known], pa.int64())], ["id", "shared"])
+                                                  pa.array([int.from_bytes(r[4], "little") for r in known], pa.int64())], ["id", "shared"])
             packed = [r[:3] for r in rows if r[0] is not None]
             if packed:
-                values, counted, owner, _, ids, _ = frames.unpack(packed, False)
+                values, counted, owner, _, ids = frames.unpack(packed, False)
                 order, starts, run = frames.runs(values)
                 many = np.diff(np.r_[starts, len(order)]) > 1
                 own = order[many[run]]

@@ -18,7 +18,7 @@ from veleta.llm import frames
 from veleta.llm.common import arrow_map, octets, parts, raw_texts, window_hashes, word_hashes
 
 LAST = 2**63 - 1
-GATHER = 4 << 20   # values a map task gathers before it sends frames
+GATHER = 1 << 20   # values a map task gathers before it sends frames
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
@@ -59,10 +59,9 @@ class _Gatherer:
             if batch.column("id").null_count:
                 yield batch
             else:
-                lists = batch.column("places")
-                n = np.diff(lists.offsets.to_numpy()).astype(np.int32)
-                counts = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1), pa.int32()), pa.array(n, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:5], counts], batch.schema.names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(
+                    [len(frames.decoded([p])).to_bytes(4, "little") for p in batch.column("places").to_pylist()],
+                    pa.binary())], batch.schema.names)
 
     def send(self):
         """Record batches of (frag, batch, flags, rests, id, places)."""
@@ -95,10 +94,10 @@ class _Gatherer:
         sent = frames.pack(values[first], entry[first], any_flag[by_entry], ids, counts, self.bits, self.wide)
         yield _with(sent, None)
         if len(known):
-            yield _with(None, frames.lists(ids[owner[known]], place[known]))
+            yield _with(None, frames.coded(ids[owner[known]], place[known]))
 
 
-SENT = frames.FRAME + ", id long, places array<int>"
+SENT = frames.FRAME + ", id long, places binary"
 
 
 def _with(sent: pa.RecordBatch | None, known: pa.RecordBatch | None) -> pa.RecordBatch:
@@ -106,7 +105,7 @@ def _with(sent: pa.RecordBatch | None, known: pa.RecordBatch | None) -> pa.Recor
     if sent is not None:
         n = len(sent)
         return pa.RecordBatch.from_arrays(
-            [*sent.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32()))],
+            [*sent.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
             ["frag", "batch", "flags", "rests", "id", "places"])
     n = len(known)
     frag = pa.array((known.column("id").to_numpy() & 63).astype(np.int32))
@@ -116,22 +115,22 @@ def _with(sent: pa.RecordBatch | None, known: pa.RecordBatch | None) -> pa.Recor
 
 
 def exchange(sent: DataFrame, bits: int, wide: bool, decide) -> DataFrame:
-    """(id, places) that ``decide`` picks from each fragment, and the places already known."""
+    """(id, coded places) that ``decide`` picks from each fragment, and the places already known."""
     def meet(batches):
         for _, rows in frames.by_fragment(batches):
             known = [r for r in rows if r[0] is None]
             if known:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[3] for r in known], pa.int64()),
-                     pa.array([r[4] for r in known], pa.list_(pa.int32()))], ["id", "places"])
+                     pa.array([r[4] for r in known], pa.binary())], ["id", "places"])
             packed = [r[:3] for r in rows if r[0] is not None]
             if packed:
-                values, flags, owner, place, ids, _ = frames.unpack(packed, wide)
+                values, flags, owner, place, ids = frames.unpack(packed, wide)
                 yield decide(values, flags, ids[owner], place)
 
     laid = sent.repartition(max(parts(sent), min(1 << bits, 1 << 16)), "frag").sortWithinPartitions("frag")
-    met = arrow_map(laid, meet, "id long, places array<int>")
-    return met.groupBy("id").agg(F.flatten(F.collect_list("places")).alias("places"))
+    met = arrow_map(laid, meet, "id long, places binary")
+    return met.groupBy("id").agg(F.collect_list("places").alias("places"))
 
 
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
@@ -155,7 +154,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
         size = np.diff(np.r_[starts, len(order)])
         good = (size > 1) & np.logical_or.reduceat(flags[order], starts)
         own = order[good[run]]
-        return frames.lists(ids[own], place[own])
+        return frames.coded(ids[own], place[own])
 
     hit = exchange(arrow_map(docs, probes, SENT), bits, False, hits)
 
@@ -169,7 +168,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 if n <= 0:
                     continue
                 mask = np.zeros(len(words) + 1, np.int64)
-                mask[places.values.to_numpy() + 1] = 1
+                mask[frames.decoded(places.as_py()) + 1] = 1
                 seen = np.cumsum(mask)
                 reach = window - block + 1
                 at = np.flatnonzero(seen[reach:reach + n] > seen[:n])
@@ -184,7 +183,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
         mask = np.ones(len(order), bool)
         mask[starts] = False
         own = rank[order[mask]]
-        return frames.lists(ids[own], place[own])
+        return frames.coded(ids[own], place[own])
 
     touched = docs.join(hit, "id").select("id", "text", "places")
     return exchange(arrow_map(touched, candidates, SENT), bits, True, later)
@@ -220,7 +219,7 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
                 words = text.split()
                 total.append(len(words))
                 if places.is_valid:
-                    gone = covered(places.values.to_numpy(), window, len(words))
+                    gone = covered(np.unique(frames.decoded(places.as_py())), window, len(words))
                     lost.append(int(gone.sum()))
                     spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                     words = [w for w, g in zip(words, gone.tolist()) if not g]

@@ -123,13 +123,13 @@ def _later(values, flags, ids, place):
     mask = np.ones(len(order), bool)
     mask[starts] = False
     own = np.unique(rank[order[mask]])
-    return frames.lists(ids[own], place[own])
+    return frames.coded(ids[own], place[own])
 
 
 def _all_repeated(values, flags, ids, place):
     order, starts, run = frames.runs(values)
     own = order[(np.diff(np.r_[starts, len(order)]) > 1)[run]]
-    return frames.lists(ids[own], place[own])
+    return frames.coded(ids[own], place[own])
 
 
 def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
@@ -156,7 +156,7 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
             for doc, text, places in zip(b.column("id").to_numpy(), raw_texts(b.column("text")), b.column("shared")):
                 first, _ = phrases(text, length)
                 open_ = np.zeros(len(first), bool)
-                open_[places.values.to_numpy()] = True
+                open_[frames.decoded(places.as_py())] = True
                 parts = [(p[open_[p]], key[open_[p]]) for p, key in suffix_keys(text, first, length)]
                 at, keys = (np.concatenate(x) for x in zip(*parts))
                 order = np.argsort(at, kind="stable")
@@ -175,9 +175,9 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
                                                b.column("shared"), b.column("settled")):
                 first, _ = phrases(text, length)
                 open_ = np.zeros(len(first), bool)
-                open_[places.values.to_numpy()] = True
+                open_[frames.decoded(places.as_py())] = True
                 if done.is_valid:
-                    open_[done.values.to_numpy()] = False
+                    open_[frames.decoded(done.as_py())] = False
                 starts = len(text) - length + 1
                 at = np.flatnonzero(np.repeat(open_, np.diff(np.r_[first, starts])))
                 gather.add(doc, strings_at(text, at, length), at, np.zeros(len(at), bool), starts)
@@ -230,8 +230,8 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             for text, done, starts in zip(raw_texts(b.column("text")), b.column("settled"), b.column("single")):
                 size.append(len(text))
                 if done.is_valid or starts.is_valid:
-                    gone = removed(text, length, done.values.to_numpy() if done.is_valid else none,
-                                   starts.values.to_numpy() if starts.is_valid else none)
+                    gone = removed(text, length, *(np.unique(frames.decoded(x.as_py())) if x.is_valid else none
+                                                   for x in (done, starts)))
                     lost.append(int(gone.sum()))
                     spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                     text = np.frombuffer(text, np.uint8)[~gone].tobytes()
