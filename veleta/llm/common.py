@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from veleta.session import scratch
 
 U64 = np.uint64
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # Odd 64-bit multipliers for mixing; any odd constants do.
 ODD = tuple(U64((0x9E3779B97F4A7C15 * (2 * k + 1) ^ (0xBF58476D1CE4E5B9 >> k)) & (2**64 - 1) | 1)
             for k in range(32))
@@ -24,7 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, so long texts do not pile up in a worker."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    # Workers import this package from where the driver did, if they have it there.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return df.mapInArrow(fn, schema)
 
 

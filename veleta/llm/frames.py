@@ -151,3 +151,12 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new = np.ones(len(s), bool)
     new[1:] = s[1:] != s[:-1]
     return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def mask(parts: list[bytes] | None, size: int) -> np.ndarray:
+    """Coded places as a mask; those beyond ``size`` (of another row with the id) are left out."""
+    out = np.zeros(size, bool)
+    if parts:
+        places = decoded(parts)
+        out[places[places < size]] = True
+    return out

@@ -17,12 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veleta.llm import frames
 from veleta.llm.common import arrow_map, octets, parts, raw_texts, window_hashes, word_hashes
 
-LAST = 2**63 - 1
 GATHER = 1 << 20   # values a map task gathers before it sends frames
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
-    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"), F.col(f"`{text_col}`").alias("text")]
+    return [F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -167,9 +166,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 n = len(words) - window + 1
                 if n <= 0:
                     continue
-                mask = np.zeros(len(words) + 1, np.int64)
-                mask[frames.decoded(places.as_py()) + 1] = 1
-                seen = np.cumsum(mask)
+                seen = np.r_[0, np.cumsum(frames.mask(places.as_py(), len(words)))]
                 reach = window - block + 1
                 at = np.flatnonzero(seen[reach:reach + n] > seen[:n])
                 gather.add(doc, window_hashes(words, window)[at], at, np.zeros(len(at), bool), n)
@@ -189,11 +186,11 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     return exchange(arrow_map(touched, candidates, SENT), bits, True, later)
 
 
-def covered(places: np.ndarray, window: int, n: int) -> np.ndarray:
-    """Mask of the places inside a window that starts at one of ``places``."""
+def covered(starts: np.ndarray, window: int, n: int) -> np.ndarray:
+    """Mask of ``n`` places inside windows, from the mask of their starts."""
     edge = np.zeros(n + 1, np.int64)
-    edge += np.bincount(places, minlength=n + 1)
-    edge -= np.bincount(places + window, minlength=n + 1)
+    edge[:len(starts)] += starts
+    edge[window:window + len(starts)] -= starts
     return np.cumsum(edge)[:n] > 0
 
 
@@ -205,12 +202,13 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
     Returns id, n_words, n_removed, kept_sha256 (of the kept words joined by one blank), n_repeats
     (maximal removed runs) and, with ``keep_text``, the kept words as text.
 
-    Ids are integers; a row without id counts as the last document and is returned without id.
-    Rows that repeat an id with the same text get the same result as one document.  Null, empty and
+    Ids are integers; a row without id has no place in the order, takes no part and keeps its words.
+    Rows that repeat an id with the same text get the same result as one document (an id should not
+    stand for different texts).  Null, empty and
     short texts have no window and lose nothing.  An empty table gives an empty one; other columns are ignored.
     """
     rows = _keyed(docs, id_col, text_col)
-    found = repeated_windows(rows, window)
+    found = repeated_windows(rows.filter("id is not null"), window)
 
     def remove(batches):
         for b in batches:
@@ -219,9 +217,9 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
                 words = text.split()
                 total.append(len(words))
                 if places.is_valid:
-                    gone = covered(np.unique(frames.decoded(places.as_py())), window, len(words))
+                    gone = covered(frames.mask(places.as_py(), max(0, len(words) - window + 1)), window, len(words))
                     lost.append(int(gone.sum()))
-                    spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+                    spans.append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
                     words = [w for w, g in zip(words, gone.tolist()) if not g]
                 else:
                     lost.append(0)
@@ -240,5 +238,4 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
     out = arrow_map(rows.join(found, "id", "left").select("id", "text", "places"), remove,
                     "id long, n_words long, n_removed long, kept_sha256 string, n_repeats long"
                     + (", kept_text string" if keep_text else ""))
-    return out.select(F.when(F.col("id") != LAST, F.col("id")).alias(id_col),
-                      *[c for c in out.columns if c != "id"])
+    return out.withColumnRenamed("id", id_col)

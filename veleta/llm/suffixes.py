@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veleta.llm import frames
 from veleta.llm.common import ODD, U64, arrow_map, mix, octets, raw_texts
-from veleta.llm.substrings import GATHER, LAST, SENT, _Gatherer, _keyed, _keys, exchange
+from veleta.llm.substrings import GATHER, SENT, _Gatherer, _keyed, _keys, covered, exchange
 
 CHUNK = 1 << 20    # starts of one text that are parsed at a time
 
@@ -155,8 +155,9 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
         for b in batches:
             for doc, text, places in zip(b.column("id").to_numpy(), raw_texts(b.column("text")), b.column("shared")):
                 first, _ = phrases(text, length)
-                open_ = np.zeros(len(first), bool)
-                open_[frames.decoded(places.as_py())] = True
+                open_ = frames.mask(places.as_py(), len(first))
+                if not open_.any():
+                    continue
                 parts = [(p[open_[p]], key[open_[p]]) for p, key in suffix_keys(text, first, length)]
                 at, keys = (np.concatenate(x) for x in zip(*parts))
                 order = np.argsort(at, kind="stable")
@@ -174,11 +175,11 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
             for doc, text, places, done in zip(b.column("id").to_numpy(), raw_texts(b.column("text")),
                                                b.column("shared"), b.column("settled")):
                 first, _ = phrases(text, length)
-                open_ = np.zeros(len(first), bool)
-                open_[frames.decoded(places.as_py())] = True
-                if done.is_valid:
-                    open_[frames.decoded(done.as_py())] = False
+                open_ = frames.mask(places.as_py(), len(first))
+                open_ &= ~frames.mask(done.as_py(), len(first))
                 starts = len(text) - length + 1
+                if not open_.any():
+                    continue
                 at = np.flatnonzero(np.repeat(open_, np.diff(np.r_[first, starts])))
                 gather.add(doc, strings_at(text, at, length), at, np.zeros(len(at), bool), starts)
                 if gather.n >= GATHER:
@@ -190,17 +191,14 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     return settled, exchange(arrow_map(rest, prefixes, SENT), bits, True, _later)
 
 
-def removed(text: bytes, length: int, settled: np.ndarray, single: np.ndarray) -> np.ndarray:
+def removed(text: bytes, length: int, settled: list[bytes] | None, single: list[bytes] | None) -> np.ndarray:
     """Mask of the bytes inside windows that start in settled phrases or at single starts."""
-    edge = np.zeros(len(text) + 1, np.int64)
-    if len(settled):
+    starts = max(0, len(text) - length + 1)
+    mask = frames.mask(single, starts)
+    if settled:
         first, _ = phrases(text, length)
-        end = np.r_[first[1:], len(text) - length + 1]
-        edge += np.bincount(first[settled], minlength=len(edge)) - np.bincount(end[settled] + length - 1,
-                                                                               minlength=len(edge))
-    if len(single):
-        edge += np.bincount(single, minlength=len(edge)) - np.bincount(single + length, minlength=len(edge))
-    return np.cumsum(edge)[:len(text)] > 0
+        mask |= np.repeat(frames.mask(settled, len(first)), np.diff(np.r_[first, starts]))
+    return covered(mask, length, len(text))
 
 
 def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text",
@@ -213,13 +211,12 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     ``keep_text``, what is left as text; a character of which only some bytes are left is dropped from it.
     Columns named in ``carry`` come along.
 
-    Ids are integers; a row without id counts as the last document and is returned without id.
-    Rows that repeat an id with the same text get the same result as one document.  Null, empty and short texts lose
+    Ids are integers; a row without id has no place in the order, takes no part and keeps its bytes.
+    Rows that repeat an id with the same text get the same result as one document (an id should not
+    stand for different texts).  Null, empty and short texts lose
     nothing.  An empty table gives an empty one; other columns are ignored.
     """
-    rows = _keyed(docs, id_col, text_col)
-    settled, single = repeats(rows, length)
-    none = np.empty(0, np.int64)
+    settled, single = repeats(_keyed(docs, id_col, text_col).filter("id is not null"), length)
     also = [f"c{k}" for k in range(len(carry))]
     rows = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(carry, also)], *_keys(id_col, text_col))
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.select(*also).schema) if also else ""
@@ -230,10 +227,9 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             for text, done, starts in zip(raw_texts(b.column("text")), b.column("settled"), b.column("single")):
                 size.append(len(text))
                 if done.is_valid or starts.is_valid:
-                    gone = removed(text, length, *(np.unique(frames.decoded(x.as_py())) if x.is_valid else none
-                                                   for x in (done, starts)))
+                    gone = removed(text, length, done.as_py(), starts.as_py())
                     lost.append(int(gone.sum()))
-                    spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+                    spans.append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
                     text = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 else:
                     lost.append(0)
@@ -252,6 +248,5 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             .join(single.withColumnRenamed("places", "single"), "id", "left").select("id", "text", "settled", "single", *also))
     out = arrow_map(full, cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
                     + (", kept_text string" if keep_text else "") + kinds)
-    return out.select(F.when(F.col("id") != LAST, F.col("id")).alias(id_col),
-                      *[c for c in out.columns if c != "id" and c not in also],
+    return out.select(F.col("id").alias(id_col), *[c for c in out.columns if c != "id" and c not in also],
                       *[F.col(a).alias(c) for c, a in zip(carry, also)])
