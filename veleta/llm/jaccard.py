@@ -100,14 +100,19 @@ def _sharing(docs: DataFrame, size: int) -> DataFrame:
     return arrow_map(laid, meet, "id long, shared long").groupBy("id").agg(F.sum("shared").alias("shared"))
 
 
-def _cut(state: DataFrame, bits: int, worker, schema: str) -> DataFrame:
-    """Cut (id, n, group, partners, set) into fragments and let ``worker`` see each fragment whole."""
+def _cut(state: DataFrame, bits: int, worker, schema: str, narrow: bool = False) -> DataFrame:
+    """Cut (id, n, group, partners, set) into fragments and let ``worker`` see each fragment whole;
+    ``narrow`` sends 32 bits of a shingle, which is enough where a bound is counted."""
+    kind = np.uint32 if narrow else np.uint64
+
     def cut(batches):
         for b in batches:
             out = ([], [], [], [], [], [])
             for doc, n, group, partners, raw in zip(*(c.to_pylist() for c in b.columns)):
                 s = np.frombuffer(raw, np.uint64)
                 frag = (s >> U64(64 - bits)).astype(np.int64)
+                if narrow:
+                    s = (s << U64(bits) >> U64(32)).astype(np.uint32)
                 at = np.searchsorted(frag, np.arange((1 << bits) + 1)) if len(s) > 1 << bits else None
                 kinds = range(1 << bits) if at is not None else np.unique(frag).tolist()
                 for f in kinds:
@@ -122,7 +127,7 @@ def _cut(state: DataFrame, bits: int, worker, schema: str) -> DataFrame:
 
     def work(batches):
         for _, rows in frames.by_fragment(batches):
-            yield from worker(rows)
+            yield from worker([(*r[:4], np.frombuffer(r[4], kind)) for r in rows])
 
     state = state.select("id", "n", "grp", "partners", "set")
     cuts = arrow_map(state, cut, "frag int, id long, n long, grp long, partners array<long>, set binary")
@@ -132,7 +137,7 @@ def _cut(state: DataFrame, bits: int, worker, schema: str) -> DataFrame:
 
 def _arrays(rows):
     ids, n, group = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-    cuts = [np.frombuffer(r[4], np.uint64) for r in rows]
+    cuts = [r[4] for r in rows]
     size = np.array([len(c) for c in cuts], np.int64)
     return ids, n, group, cuts, size, np.concatenate(cuts), np.repeat(np.arange(len(rows)), size)
 
@@ -211,7 +216,7 @@ def _agreeing(rows):
 
 def _overlaps(rows):
     """Per fragment: the partial overlap of every document with its partners."""
-    at = {r[0]: np.frombuffer(r[4], np.uint64) for r in rows}
+    at = {r[0]: r[4] for r in rows}
     out = ([], [], [])
     for doc, _, _, partners, _ in rows:
         for p in partners or ():
@@ -223,7 +228,7 @@ def _overlaps(rows):
     yield _pairs(*out)
 
 
-def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple[DataFrame, DataFrame]:
     """((id, n, s1, s2) of all documents, (node, root) of joined set representatives)."""
     sets = stored(_sets(docs, size), "sets")
     docs = docs.filter("id is not null")
@@ -244,40 +249,39 @@ def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 2) -> tuple
                 ["id", "n", "set"])
 
     chosen = docs.join(open_ids, "id").select("id", "n", "text").dropDuplicates(["id"])
-    state = stored(arrow_map(chosen, full, "id long, n long, set binary"), "shingles")
+    state = stored(arrow_map(chosen, full, "id long, n long, set binary").withColumn("grp", F.col("id")), "shingles")
     tokens = state.agg(F.sum("n")).first()[0] or 0
-    bits = frames.fragment_bits(tokens, least=4)
-    nothing = F.lit(None).cast("array<long>").alias("partners")
-    groups = state.select("id", F.col("id").alias("grp"))
-    links = None
+    bits = frames.fragment_bits(tokens, least=5)
+    groups = state.select("id", "grp")
+    none = F.lit(None).cast("array<long>")
     for step in range(leader_rounds + 1):
-        with_group = state.join(groups, "id").select("id", "n", "grp", nothing, "set")
-        votes = stored(_cut(with_group, bits, _leaders(step + 1), PAIRS).groupBy("id", "partner")
-                       .agg(F.sum("n").alias("votes")), "votes")
-        still = (votes.filter("partner is null").join(state.select("id", "n"), "id")
-                 .filter(F.col("votes") >= F.expr(f"floor(({PERCENT} * n + 99) / 100)")).select("id"))
+        votes = stored(_cut(state.withColumn("partners", none), bits, _leaders(step + 1), PAIRS, narrow=True)
+                       .groupBy("id", "partner").agg(F.sum("n").alias("votes")), "votes")
+        # Who shares too little with other groups can never link to one: groups only grow.
+        still = (votes.filter("partner is null").join(state.select("id", "n", "grp"), "id")
+                 .filter(F.col("votes") >= F.expr(f"floor(({PERCENT} * n + 99) / 100)")).select("id", "n", "grp"))
         if step < leader_rounds:
-            pairs = (votes.filter("partner is not null").join(still, "id").groupBy("id")
+            pairs = (votes.filter("partner is not null").join(still.select("id"), "id").groupBy("id")
                      .agg(F.max_by("partner", F.struct("votes", "partner")).alias("partner")))
         else:
-            rest = with_group.join(still, "id").select("id", "n", "grp", "partners", "set")
+            rest = state.join(still.select("id"), "id").withColumn("partners", none)
             pairs = _cut(rest, bits, _agreeing, PAIRS).select("id", "partner").distinct()
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             break
-        ends = pairs.select("id").unionByName(pairs.select(F.col("partner").alias("id"))).distinct()
-        asked = (with_group.drop("partners").join(ends, "id")
-                 .join(pairs.groupBy("id").agg(F.collect_list("partner").alias("partners")), "id", "left"))
-        overlap = _cut(asked, bits, _overlaps, PAIRS).groupBy("id", "partner").agg(F.sum("n").alias("same"))
-        size_of = state.select("id", "n")
-        linked = (overlap.join(size_of, "id").join(size_of.select(F.col("id").alias("partner"), F.col("n").alias("m")),
-                                                   "partner")
-                  .filter(F.expr(f"100 * same >= {PERCENT} * (n + m - same)")).select("id", "partner"))
-        of = groups.select(F.col("id").alias("partner"), F.col("grp").alias("b"))
-        linked = linked.join(groups, "id").join(of, "partner").select(F.col("grp").alias("a"), "b")
-        moved = roots(linked)
-        groups = stored(groups.join(moved.select(F.col("node").alias("grp"), "root"), "grp", "left")
-                        .select("id", F.coalesce("root", "grp").alias("grp")), "groups")
+        asks = (pairs.unionByName(pairs.select(F.col("partner").alias("id"), F.lit(None).cast("long").alias("partner")))
+                .groupBy("id").agg(F.collect_list("partner").alias("partners")))
+        overlap = (_cut(state.join(asks, "id"), bits, _overlaps, PAIRS)
+                   .groupBy("id", "partner").agg(F.sum("n").alias("same")))
+        mine = state.select("id", "n", F.col("grp").alias("a"))
+        other = state.select(F.col("id").alias("partner"), F.col("n").alias("m"), F.col("grp").alias("b"))
+        linked = (overlap.join(mine, "id").join(other, "partner")
+                  .filter(F.expr(f"100 * same >= {PERCENT} * (n + m - same)")).select("a", "b"))
+        moved = stored(roots(linked).select(F.col("node").alias("grp"), "root"), "moved")
+        now = lambda g: g.join(moved, "grp", "left").select("id", F.coalesce("root", "grp").alias("grp"))
+        groups = stored(now(groups), "groups")
+        if step < leader_rounds:
+            state = stored(state.drop("grp").join(now(still.select("id", "grp")), "id"), "shingles")
     return sets, groups
 
 
