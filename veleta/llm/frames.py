@@ -17,25 +17,21 @@ from veleta.llm.common import U64
 FRAME = "frag int, batch binary, flags binary, rests binary"
 
 
-def fragment_bits(values: int, least: int = 6, target: int = 1 << 20) -> int:
+def fragment_bits(values: int, least: int = 6, target: int = 1 << 22) -> int:
     """log2 of the number of fragments with at most about ``target`` values each."""
     return max(least, int(max(1, values // target)).bit_length())
 
 
-def planes(a: np.ndarray, used: int | None = None) -> bytes:
-    """The bytes of an integer array, least significant bytes of all entries first; only the lowest
-    ``used`` bytes of each if given."""
+def planes(a: np.ndarray) -> bytes:
+    """The bytes of an integer array, least significant bytes of all entries first."""
     a = np.ascontiguousarray(a)
-    return a.view(np.uint8).reshape(len(a), a.itemsize)[:, :used].T.tobytes()
+    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
 
 
-def unplanes(data: bytes, kind, used: int | None = None) -> np.ndarray:
+def unplanes(data: bytes, kind) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    used = used or size
-    n = len(data) // used
-    out = np.zeros((n, size), np.uint8)
-    out[:, :used] = np.frombuffer(data, np.uint8).reshape(used, n).T
-    return out.view(kind).ravel()
+    n = len(data) // size
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, n).T).view(kind).ravel()
 
 
 def coded(ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
@@ -84,7 +80,7 @@ def pack(values: np.ndarray, entry: np.ndarray, flags: np.ndarray, ids: np.ndarr
 
     ``values`` are the entries' 64-bit values and ``entry`` their ascending place in the batch,
     where document k (``ids[k]``) owns the next ``counts[k]`` places.  ``wide`` sends the whole
-    value, otherwise the 24 bits below the fragment's prefix: enough to rule out nearly all values
+    value, otherwise the 32 bits below the fragment's prefix: enough to rule out nearly all values
     that occur once, as fragments stay equally large, if a later step compares exactly.
     """
     frag = (values >> U64(64 - bits)).astype(np.int64)
@@ -92,7 +88,7 @@ def pack(values: np.ndarray, entry: np.ndarray, flags: np.ndarray, ids: np.ndarr
     bounds = np.searchsorted(frag[order], np.arange((1 << bits) + 1))
     head = planes(_deltas(ids.astype(np.int64))) + planes(counts.astype(np.uint32))
     head = np.int64(len(ids)).tobytes() + head
-    rest = values if wide else ((values << U64(bits)) >> U64(40)).astype(np.uint32)
+    rest = values if wide else ((values << U64(bits)) >> U64(32)).astype(np.uint32)
     rows = ([], [], [], [])
     for f in range(1 << bits):
         a, b = bounds[f], bounds[f + 1]
@@ -102,7 +98,7 @@ def pack(values: np.ndarray, entry: np.ndarray, flags: np.ndarray, ids: np.ndarr
         rows[0].append(f)
         rows[1].append(head + planes(_deltas(entry[own].astype(np.uint32))))
         rows[2].append(np.packbits(flags[own]).tobytes())
-        rows[3].append(planes(rest[own], None if wide else 3))
+        rows[3].append(planes(rest[own]))
     return pa.RecordBatch.from_arrays(
         [pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
         ["frag", "batch", "flags", "rests"])
@@ -119,7 +115,7 @@ def unpack(rows: list[tuple[bytes, bytes, bytes]], wide: bool):
         entry = np.cumsum(unplanes(batch[8 + 12 * n:], np.uint32).astype(np.int64))
         ends = np.cumsum(counts.astype(np.int64))
         who = np.searchsorted(ends, entry, side="right")
-        rests.append(unplanes(rest, np.uint64) if wide else unplanes(rest, np.uint32, 3))
+        rests.append(unplanes(rest, np.uint64 if wide else np.uint32))
         flags.append(np.unpackbits(np.frombuffer(flag, np.uint8), count=len(entry)).astype(bool))
         place.append((entry - (ends - counts)[who]).astype(np.int32))
         owner.append((who + base).astype(np.int32))

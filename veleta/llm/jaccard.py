@@ -251,7 +251,7 @@ def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple
     chosen = docs.join(open_ids, "id").select("id", "n", "text").dropDuplicates(["id"])
     state = stored(arrow_map(chosen, full, "id long, n long, set binary").withColumn("grp", F.col("id")), "shingles")
     tokens = state.agg(F.sum("n")).first()[0] or 0
-    bits = frames.fragment_bits(tokens, least=5)
+    bits = frames.fragment_bits(tokens, least=5, target=1 << 20)
     groups = state.select("id", "grp")
     none = F.lit(None).cast("array<long>")
     for step in range(leader_rounds + 1):

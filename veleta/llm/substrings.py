@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veleta.llm import frames
 from veleta.llm.common import arrow_map, octets, parts, raw_texts, window_hashes, word_hashes
 
-GATHER = 1 << 20   # values a map task gathers before it sends frames
+GATHER = 2 << 20   # values a map task gathers before it sends frames
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
