@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from veleta.llm import frames
 from veleta.llm.common import U64, arrow_map, mix, octets, parts, raw_texts, stored, window_hashes, word_hashes
 from veleta.llm.components import roots
-from veleta.llm.substrings import GATHER, SENT, _Gatherer, _keyed, _with
+from veleta.llm.substrings import GATHER, NO_ID, SENT, _Gatherer, _keyed, _with
 
 PERCENT = 75
 
@@ -231,8 +231,8 @@ def _overlaps(rows):
 def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple[DataFrame, DataFrame]:
     """((id, n, s1, s2) of all documents, (node, root) of joined set representatives)."""
     sets = stored(_sets(docs, size), "sets")
-    docs = docs.filter("id is not null")
-    first = sets.filter("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first("n").alias("n"),
+    docs = docs.filter(F.col("id") != NO_ID)
+    first = sets.filter((F.col("n") > 0) & (F.col("id") != NO_ID)).groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first("n").alias("n"),
                                                          F.count(F.lit(1)).alias("copies"))
     # A document goes on if it may link; of equal sets only the smallest id does.
     least = F.greatest(F.lit(1), F.floor(F.expr(f"15 * floor({PERCENT} * n / 100) / 100")))
@@ -296,9 +296,10 @@ def join(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     An empty table gives an empty one; other columns are ignored.
     """
     sets, groups = link_groups(_keyed(docs, id_col, text_col), size)
-    first = sets.filter("n > 0 and id is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep"))
+    first = sets.filter((F.col("n") > 0) & (F.col("id") != NO_ID)).groupBy("s1", "s2").agg(F.min("id").alias("rep"))
     root = first.join(groups.select(F.col("id").alias("rep"), "grp"), "rep", "left").select(
         F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("grp", "rep").alias("root"))
-    out = sets.join(root, F.col("id").isNotNull() & (F.col("n") > 0) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.coalesce("root", "id").alias("component_id"))
+    out = sets.join(root, (F.col("id") != NO_ID) & (F.col("n") > 0) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
+    real = lambda c: F.when(c != NO_ID, c)
+    return out.select(real(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
+                      real(F.coalesce("root", "id")).alias("component_id"))

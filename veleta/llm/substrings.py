@@ -17,11 +17,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veleta.llm import frames
 from veleta.llm.common import arrow_map, octets, parts, raw_texts, window_hashes, word_hashes
 
+NO_ID = -2**63     # stands for a missing id
 GATHER = 2 << 20   # values a map task gathers before it sends frames
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
-    return [F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")]
+    """Never null, so all joins by id share one exchange of the texts."""
+    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"), F.col(f"`{text_col}`").alias("text")]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -141,6 +143,8 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
         gather = _Gatherer(bits, False, "all")
         for b in batches:
             for doc, text in zip(b.column("id").to_numpy(), raw_texts(b.column("text"))):
+                if doc == NO_ID:
+                    continue
                 h = window_hashes(word_hashes(text.split()), block)
                 at = np.arange(len(h))
                 gather.add(doc, h, at, at % block == 0, len(h))
@@ -208,7 +212,7 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
     short texts have no window and lose nothing.  An empty table gives an empty one; other columns are ignored.
     """
     rows = _keyed(docs, id_col, text_col)
-    found = repeated_windows(rows.filter("id is not null"), window)
+    found = repeated_windows(rows, window)
 
     def remove(batches):
         for b in batches:
@@ -238,4 +242,4 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
     out = arrow_map(rows.join(found, "id", "left").select("id", "text", "places"), remove,
                     "id long, n_words long, n_removed long, kept_sha256 string, n_repeats long"
                     + (", kept_text string" if keep_text else ""))
-    return out.withColumnRenamed("id", id_col)
+    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias(id_col), *[c for c in out.columns if c != "id"])

@@ -6,7 +6,7 @@ window, and starts with one anchor form a phrase.  Anchors that occur once rule
 phrases that remain are the symbols of the difference-cover sort:
 
 1. the suffixes at phrase numbers 1 and 2 modulo 3 are the sample; triples of symbols are named and
-   the recursion names triples of names, which reaches nine symbols deep;
+   the recursion names triples of names, as deep as the windows of a phrase reach;
 2. the remaining suffixes (0 modulo 3) merge with either sample class by the symbols in front of
    the next sampled name: (symbol, name) against class 1, (symbol, symbol, name) against class 2;
 3. each merged order is sorted in ranges, a fragment per task, and neighbours are compared: a suffix
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veleta.llm import frames
 from veleta.llm.common import ODD, U64, arrow_map, mix, octets, raw_texts
-from veleta.llm.substrings import GATHER, SENT, _Gatherer, _keyed, _keys, covered, exchange
+from veleta.llm.substrings import GATHER, NO_ID, SENT, _Gatherer, _keyed, _keys, covered, exchange
 
 CHUNK = 1 << 20    # starts of one text that are parsed at a time
 
@@ -87,11 +87,6 @@ def _symbols(data: bytes, first: np.ndarray) -> np.ndarray:
                        np.uint64, len(first))
 
 
-def _ahead(x: np.ndarray, k: int) -> np.ndarray:
-    """x[i + k]; beyond the end 0."""
-    return np.concatenate([x[k:], np.zeros(min(k, len(x)), x.dtype)])[:len(x)]
-
-
 def _named(*columns: np.ndarray) -> np.ndarray:
     out = np.zeros(len(columns[0]), np.uint64)
     for k, c in enumerate(columns):
@@ -101,19 +96,31 @@ def _named(*columns: np.ndarray) -> np.ndarray:
 
 def suffix_keys(data: bytes, first: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(phrases, keys) of the three merged orders; keys are equal only if all windows that start
-    in the phrases are."""
+    in the phrases are.
+
+    A name stops at the symbol in which the last of these windows ends, so a suffix is settled up to
+    the end of a repeat; deeper than nine symbols it is left to the comparison of starts.
+    """
+    n = len(first)
     symbol = _symbols(data, first)
-    name = _named(symbol, _ahead(symbol, 1), _ahead(symbol, 2))
-    name = _named(name, _ahead(name, 3), _ahead(name, 6))
-    k = np.arange(len(first))
-    end = np.r_[first[1:], len(data) - length + 1]
-    ends = np.r_[first[1:], len(data)]                       # bytes that a symbol reaches
-    deep = lambda d: ends[np.minimum(k + d - 1, len(k) - 1)] >= end + length - 1
-    mixed = U64(1), U64(2), U64(3)
-    orders = ((k % 3 != 0, name, 9), (k % 3 != 2, _named(symbol, _ahead(name, 1)), 10),
-              (k % 3 != 1, _named(symbol, _ahead(symbol, 1), _ahead(name, 2)), 11))
-    return [(np.flatnonzero(own & deep(d)), mix(key ^ m)[own & deep(d)])
-            for (own, key, d), m in zip(orders, mixed)]
+    ends = np.r_[first[1:], len(data)]                               # bytes that a symbol reaches
+    last = np.r_[first[1:], len(data) - length + 1] + length - 1      # where a phrase's windows end
+    k = np.arange(n)
+    depth = np.searchsorted(ends, last) - k + 1
+    # Names of the first 0, 1, 2 and 3 symbols at every place, zeros beyond the end.
+    s = np.concatenate([symbol, np.zeros(12, np.uint64)])
+    names = np.zeros((4, n + 10), np.uint64)
+    for j in range(1, 4):
+        names[j] = _named(*(s[i:n + 10 + i] if i < j else np.zeros(n + 10, np.uint64) for i in range(3)))
+
+    def name(at: np.ndarray, deep: np.ndarray) -> np.ndarray:
+        """The recursion: a triple of names of triples."""
+        return _named(*(names[np.clip(deep - 3 * i, 0, 3), np.minimum(at + 3 * i, n + 9)] for i in range(3)))
+
+    orders = ((k % 3 != 0, name(k, depth)), (k % 3 != 2, _named(s[:n], name(k + 1, depth - 1))),
+              (k % 3 != 1, _named(s[:n], np.where(depth > 1, s[1:n + 1], U64(0)), name(k + 2, depth - 2))))
+    return [(np.flatnonzero(own & (depth <= 9)), mix(key ^ U64(m + 1))[own & (depth <= 9)])
+            for m, (own, key) in enumerate(orders)]
 
 
 def _later(values, flags, ids, place):
@@ -142,6 +149,8 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
         gather = _Gatherer(bits, False, "all")
         for b in batches:
             for doc, text in zip(b.column("id").to_numpy(), raw_texts(b.column("text"))):
+                if doc == NO_ID:
+                    continue
                 _, anchors = phrases(text, length)
                 gather.add(doc, anchors, np.arange(len(anchors)), np.zeros(len(anchors), bool), len(anchors))
                 if gather.n >= GATHER:
@@ -216,7 +225,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     stand for different texts).  Null, empty and short texts lose
     nothing.  An empty table gives an empty one; other columns are ignored.
     """
-    settled, single = repeats(_keyed(docs, id_col, text_col).filter("id is not null"), length)
+    settled, single = repeats(_keyed(docs, id_col, text_col), length)
     also = [f"c{k}" for k in range(len(carry))]
     rows = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(carry, also)], *_keys(id_col, text_col))
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.select(*also).schema) if also else ""
@@ -248,5 +257,5 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             .join(single.withColumnRenamed("places", "single"), "id", "left").select("id", "text", "settled", "single", *also))
     out = arrow_map(full, cut, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
                     + (", kept_text string" if keep_text else "") + kinds)
-    return out.select(F.col("id").alias(id_col), *[c for c in out.columns if c != "id" and c not in also],
+    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias(id_col), *[c for c in out.columns if c != "id" and c not in also],
                       *[F.col(a).alias(c) for c, a in zip(carry, also)])
