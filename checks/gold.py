@@ -33,14 +33,59 @@ def concept_counts(v: Views) -> DataFrame:
     return C.concept_counts(v.silver(), v.concepts())
 
 
-@check("concept_counts_joined", f"""
-with t as (select id, unnest({TOKENS.format('titulo')}) as tok, 1 as ti, 0 as tx from silver
-  union all select id, unnest({TOKENS.format('texto')}), 0, 1 from silver)
-select id, concepto, cast(sum(ti) as bigint) as n_titulo, cast(sum(tx) as bigint) as n_texto
-from t join concepts on tok = sinonimo group by 1, 2""")
+# Phrases, symbols, nested and repeated synonyms over part names.
+HARD = (("pieza", "widget"), ("pieza", "cold widget"), ("pieza", "bolt"), ("color", "blue"), ("color", "blue rod"),
+        ("lenguaje", "c++"), ("lenguaje", "c"), ("promo", "promo-c++"), ("signo", "++"), ("doble", "widget widget"),
+        ("doble", "bolt bolt"), ("coma", "rod, "), ("nada", "absent phrase"))
+_HARD_NAMES = list(dict.fromkeys(c for c, _ in HARD))
+_HARD_POSTS = """
+select s.* exclude (titulo, texto), p_name || ' ' || p_brand as titulo,
+  p_type || '-c++ ' || p_name || ' ' || p_name || ', ' || lower(p_type) || ' c++, c ++ +++' as texto
+from silver s join part on p_partkey = cast(substr(id, 2) as bigint)"""
+
+
+def _sql_phrases(column: str, synonyms: list[str]) -> str:
+    """Whole-word matches without overlap.  Separators are doubled, so a match may take the one before
+    and the one after it and still leave them to its neighbours."""
+    w = r"[^\p{L}\p{N}_]"
+    double = lambda s: "".join(c if c.isalnum() or c == "_" else c * 2 for c in s)
+    quote = lambda s: "".join(c if c.isalnum() or c == " " else "\\" + c for c in s)
+    either = "|".join(quote(double(s)) for s in sorted(synonyms, key=lambda s: (-len(s), s)))
+    text = f"regexp_replace(lower({column}), '({w})', '\\1\\1', 'g')"
+    return f"len(regexp_extract_all({text}, '(?:^|{w})(?:{either})(?:{w}|$)'))"
+
+
+_HARD_HITS = ", ".join(f"{_sql_phrases(col, [s for c, s in HARD if c == n])} as n_{n}_{col}"
+                       for n in _HARD_NAMES for col in ("titulo", "texto"))
+_HARD_LONG = " union all ".join(
+    f"select id, '{n}' as concepto, cast(n_{n}_titulo as bigint) as n_titulo, cast(n_{n}_texto as bigint) as n_texto from h"
+    f" where n_{n}_titulo + n_{n}_texto > 0" for n in _HARD_NAMES)
+
+
+def _hard(v: Views) -> tuple[DataFrame, DataFrame]:
+    part = v.table("part")
+    posts = v.silver().join(part, F.expr("p_partkey = cast(substr(id, 2) as bigint)")).withColumns({
+        "titulo": F.expr("p_name || ' ' || p_brand"),
+        "texto": F.expr("p_type || '-c++ ' || p_name || ' ' || p_name || ', ' || lower(p_type) || ' c++, c ++ +++'")})
+    return posts, v.spark.createDataFrame(list(HARD), "concepto string, sinonimo string")
+
+
+@check("concept_counts_joined", f"with h as (select id, {_HARD_HITS} from ({_HARD_POSTS}) p) {_HARD_LONG}")
 def concept_counts_joined(v: Views) -> DataFrame:
-    """The route for dictionaries that are too large for per-row expressions."""
-    return C.concept_counts(v.silver(), v.concepts(), limit=1)
+    """Long form: candidates by keyword, then the concept's pattern."""
+    return C.concept_counts(*_hard(v))
+
+
+@check("concept_phrases", f"with h as (select id, {_HARD_HITS} from ({_HARD_POSTS}) p) {_HARD_LONG}")
+def concept_phrases(v: Views) -> DataFrame:
+    """The in-row route that the wide features use, unpivoted."""
+    posts, d = _hard(v)
+    names = C.dictionary_metadata(d)
+    counted = posts.select("id", C.count_expressions(F.col("titulo"), names).alias("t"),
+                           C.count_expressions(F.col("texto"), names).alias("x"))
+    cells = F.array(*[F.struct(F.lit(n).alias("concepto"), big(F.get("t", F.lit(i))).alias("n_titulo"),
+                               big(F.get("x", F.lit(i))).alias("n_texto")) for i, n in enumerate(names)])
+    return counted.select("id", F.inline(cells)).filter("n_titulo + n_texto > 0")
 
 
 _A = """cast(length(titulo) as bigint) as long_titulo, cast(length(texto) as bigint) as long_texto,
@@ -98,6 +143,19 @@ def features_b(v: Views) -> DataFrame:
                     *[f"es_{c}" for c in _NAMES])
 
 
+@check("features_b_phrases", f"""
+select id, {", ".join(f"cast(n_{n}_{c} as bigint) as n_{n}_{c}" for n in _HARD_NAMES for c in ("titulo", "texto"))},
+  {", ".join(f"n_{n}_titulo + n_{n}_texto > 0 as es_{n}" for n in _HARD_NAMES)},
+  cast({" + ".join(f"n_{n}_texto" for n in _HARD_NAMES)} as bigint) as total_conceptos_texto,
+  cast({" + ".join(f"cast(n_{n}_titulo > 0 as bigint)" for n in _HARD_NAMES)} as bigint) as diversidad_conceptos_titulo
+from (select id, {_HARD_HITS} from ({_HARD_POSTS}) p) h""")
+def features_b_phrases(v: Views) -> DataFrame:
+    b = X.features_b(*_hard(v))
+    return b.select("id", *[big(f"n_{n}_{c}").alias(f"n_{n}_{c}") for n in _HARD_NAMES for c in ("titulo", "texto")],
+                    *[f"es_{n}" for n in _HARD_NAMES],
+                    *[big(c).alias(c) for c in ("total_conceptos_texto", "diversidad_conceptos_titulo")])
+
+
 _D = lambda names: ", ".join(f"cast({n} as double) as {n}" for n in names)
 
 

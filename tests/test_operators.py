@@ -97,11 +97,17 @@ def posts(spark):
         "id string, titulo string, texto string")
 
 
-def test_concepts_local_equals_joined(spark):
+def in_row(df, d):
+    names = C.dictionary_metadata(d)
+    rows = df.select("id", C.count_expressions(F.coalesce("titulo", F.lit("")), names).alias("t"),
+                     C.count_expressions(F.coalesce("texto", F.lit("")), names).alias("x")).collect()
+    return sorted((r.id, c, r.t[i], r.x[i]) for r in rows for i, c in enumerate(names) if r.t[i] + r.x[i])
+
+
+def test_concept_routes_agree(spark):
     d = spark.createDataFrame([("IA", "ia"), ("IA", "robot"), ("ML", "learning")], "concepto string, sinonimo string")
-    local = sorted(map(tuple, C.concept_counts(posts(spark), d).collect()))
-    joined = sorted(map(tuple, C.concept_counts(posts(spark), d, limit=1).collect()))
-    assert local == joined == [("p1", "IA", 1, 3), ("p1", "ML", 1, 2), ("p3", "IA", 1, 2), ("p3", "ML", 0, 1)]
+    joined = sorted(map(tuple, C.concept_counts(posts(spark), d).collect()))
+    assert joined == in_row(posts(spark), d) == [("p1", "IA", 1, 3), ("p1", "ML", 1, 2), ("p3", "IA", 1, 2), ("p3", "ML", 0, 1)]
 
 
 def test_concept_phrases(spark):
@@ -110,6 +116,15 @@ def test_concept_phrases(spark):
     assert got == {"p1": (1, 2), "p3": (0, 3)}  # a phrase matches as written, not across other blanks
 
 
+def test_concept_symbols_and_overlaps(spark):
+    d = spark.createDataFrame([("x", "new york"), ("x", "york"), ("y", "c++"), ("w", "b b"), ("z", "++"), ("e", " "), ("q", r"a\Eb")],
+                              "concepto string, sinonimo string")
+    p = spark.createDataFrame([(1, "new york", "york"), (2, "I like c++ and c", "x"), (3, "new-york new  york", "b b b"),
+                               (4, "vitamin c", None), (5, r"a\Eb", "+++")], "id bigint, titulo string, texto string")
+    want = [(1, "x", 1, 1), (2, "y", 1, 0), (3, "w", 0, 1), (3, "x", 2, 0), (5, "q", 1, 0), (5, "z", 0, 1)]
+    assert sorted(map(tuple, C.concept_counts(p, d).collect())) == want == in_row(p, d)
+
+
 def silver(spark):
     return spark.sql("""select 'p1' id, 'HOLA?' titulo, 'a  b' texto, timestamp'2024-01-07 23:10:00' fecha_creacion,
       10L puntaje, 0L total_comentarios, 0.5D ratio_upvotes, true es_adulto, false es_video, true es_texto,

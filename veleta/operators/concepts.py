@@ -7,11 +7,10 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veleta.functions.once import bind
-from veleta.functions.text import NOT_WORD, WORD, count_in, tokens
-
-# Above this many synonyms the per-row expressions give way to a token join.
-LOCAL_LIMIT = 2000
+from veleta.functions.text import WORD, count_in, tokens
 
+# One character that is neither part of a word nor white space.
+SYMBOL = r"[^\p{L}\p{N}_\s]"
 
 def merge_dictionaries(*parts: DataFrame) -> DataFrame:
     """Union of (concepto, sinonimo) tables: synonyms lower-cased, each pair once."""
@@ -23,102 +22,87 @@ def merge_dictionaries(*parts: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def local_dictionary(dictionary: DataFrame, limit: int = LOCAL_LIMIT) -> dict[str, list[str]] | None:
-    """The dictionary as driver metadata, or None when it has more than ``limit`` pairs."""
-    rows = dictionary.select("concepto", "sinonimo").limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
+def dictionary_metadata(dictionary: DataFrame) -> dict[str, list[str]]:
+    """Concept -> synonyms, as metadata of a table with columns per concept."""
     out: dict[str, list[str]] = {}
-    for concepto, sinonimo in sorted((r[0], r[1]) for r in rows):
+    for concepto, sinonimo in sorted((r[0], r[1]) for r in _entries(dictionary).collect()):
         out.setdefault(concepto, []).append(sinonimo)
     return out
 
 
+def _entries(dictionary: DataFrame) -> DataFrame:
+    return dictionary.select("concepto", "sinonimo") \
+        .filter("concepto is not null and trim(sinonimo) <> ''").distinct()
+
+
 def _single(synonyms: list[str]) -> bool:
     return all(re.fullmatch(r"\w+", s) for s in synonyms)
 
 
-def _phrase_pattern(synonyms: list[str]) -> str:
+def _pattern(synonyms: list[str]) -> str:
+    """A concept's synonyms as whole words, the longest first: matches do not overlap."""
     longest_first = sorted(synonyms, key=lambda s: (-len(s), s))
-    quoted = "|".join(r"\Q" + s + r"\E" for s in longest_first)
+    quoted = "|".join(r"\Q" + s.replace(r"\E", r"\E\\E\Q") + r"\E" for s in longest_first)
     return f"(?<!{WORD})(?:{quoted})(?!{WORD})"
 
 
+def _keyword(synonym: str) -> str:
+    """The longest word of a synonym; one without words is found by its first character."""
+    words = [w for w in re.split(r"\W+", synonym.lower()) if w]
+    return max(words, key=len) if words else synonym.strip()[0]
+
+
 def count_expressions(text: Column, concepts: dict[str, list[str]]) -> Column:
     """Array of counts, one per concept in dictionary order, for one text.
 
-    Single words: the text is tokenised once, reduced to dictionary words once, and every
-    concept counts over those few hits.  A concept with a phrase uses one pattern instead.
+    The text is tokenised once and reduced to dictionary words once.  A concept of single words
+    counts over those few hits; one with phrases or symbols uses its pattern, and only on texts
+    with one of its keywords.
     """
     words = {c: s for c, s in concepts.items() if _single(s)}
-    every = sorted({w for s in words.values() for w in s})
+    keys = {c: sorted({_keyword(x) for x in s}) for c, s in concepts.items() if c not in words}
+    every = sorted({w for s in (*words.values(), *keys.values()) for w in s})
+
+    def pattern_count(hits: Column, concept: str) -> Column:
+        found = F.regexp_count(F.lower(text), F.lit(_pattern(concepts[concept])))
+        if all(re.fullmatch(r"\w+", k) for k in keys[concept]):
+            return F.when(count_in(hits, keys[concept]) > 0, found).otherwise(0)
+        return found
 
     def all_counts(hits: Column) -> Column:
-        return F.array(*[
-            count_in(hits, s) if c in words
-            else F.regexp_count(F.lower(text), F.lit(_phrase_pattern(s)))
-            for c, s in concepts.items()])
+        return F.array(*[count_in(hits, s) if c in words else pattern_count(hits, c)
+                         for c, s in concepts.items()])
 
     hits = F.filter(tokens(text), lambda t: t.isin(every)) if every else F.array().cast("array<string>")
     return bind(hits, all_counts)
 
 
-def _local_counts(posts: DataFrame, concepts: dict[str, list[str]], key: str,
-                  title: str, body: str) -> DataFrame:
-    counted = posts.select(
-        key, count_expressions(F.coalesce(F.col(title), F.lit("")), concepts).alias("_t"),
-        count_expressions(F.coalesce(F.col(body), F.lit("")), concepts).alias("_x"))
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("concepto"), F.get("_t", F.lit(i)).cast("bigint").alias("n_titulo"),
-                 F.get("_x", F.lit(i)).cast("bigint").alias("n_texto"))
-        for i, c in enumerate(concepts)])
-    hit = F.filter(cells, lambda s: (s["n_titulo"] + s["n_texto"]) > 0)
-    return counted.select(key, F.explode(hit).alias("s")).select(key, "s.*")
-
-
-def _windows(n: int) -> Column:
-    """All runs of ``n`` neighbouring words of the column ``w``."""
-    if n == 1:
-        return F.col("w")
-    return F.transform(F.sequence(F.lit(0), F.size("w") - n),
-                       lambda i: F.array_join(F.slice("w", i + 1, n), " "))
-
-
-def joined_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",
-                  title: str = "titulo", body: str = "texto") -> DataFrame:
-    """Same result for a dictionary of any size, single words and phrases.
-
-    Word sequences up to the longest phrase are joined with the dictionary first and counted
-    afterwards, so only matches are shuffled.  The engine broadcasts the dictionary when its
-    measured size allows it and otherwise shuffles, splitting hot words adaptively.
-    Phrases are compared with single blanks between words.
-    """
-    entries = dictionary.select(
-        "concepto", F.trim(F.regexp_replace("sinonimo", NOT_WORD, " ")).alias("frase")).distinct()
-    longest = entries.agg(F.max(F.size(F.split("frase", " ")))).collect()[0][0] or 1
-
-    def grams(column: str, where: str) -> DataFrame:
-        words = F.array_remove(tokens(F.coalesce(F.col(column), F.lit(""))), "")
-        none = F.array().cast("array<string>")
-        built = F.concat(*[F.when(F.size("w") >= n, _windows(n)).otherwise(none)
-                           for n in range(1, longest + 1)])
-        return posts.select(key, words.alias("w")).select(key, F.explode(built).alias("frase")) \
-            .join(entries, "frase").withColumn("donde", F.lit(where))
-
-    both = grams(title, "t").unionByName(grams(body, "x"))
-    return both.groupBy(key, "concepto").agg(
-        F.count_if(F.col("donde") == "t").cast("bigint").alias("n_titulo"),
-        F.count_if(F.col("donde") == "x").cast("bigint").alias("n_texto"))
-
-
 def concept_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",
-                   title: str = "titulo", body: str = "texto",
-                   limit: int = LOCAL_LIMIT) -> DataFrame:
-    """(id, concepto, n_titulo, n_texto) for the concepts that occur in a post."""
-    concepts = local_dictionary(dictionary, limit)
-    if concepts is None:
-        return joined_counts(posts, dictionary, key, title, body)
-    if not concepts:
-        return posts.select(key, F.lit("").alias("concepto"), F.lit(0).cast("bigint").alias("n_titulo"),
-                            F.lit(0).cast("bigint").alias("n_texto")).filter(F.lit(False))
-    return _local_counts(posts, concepts, key, title, body)
+                   title: str = "titulo", body: str = "texto") -> DataFrame:
+    """(id, concepto, n_titulo, n_texto) for the concepts that occur in a post, for a dictionary
+    of any size.
+
+    A concept counts its synonyms as whole words, phrases and symbols as written, the longest
+    first and without overlap.  Every synonym is indexed by one keyword; the distinct words of a
+    post are joined with these, and the concept's pattern is counted on the candidates only.
+    The engine broadcasts the index when its measured size allows it.
+    """
+    entries = _entries(dictionary)
+    words = F.array_remove(tokens(F.col("sinonimo")), "")
+    longest = F.element_at(F.array_sort(words, lambda a, b: F.length(b) - F.length(a)), 1)
+    index = entries.select("concepto", F.when(F.size(words) > 0, longest).otherwise(
+        F.substring(F.trim("sinonimo"), 1, 1)).alias("_clave")).distinct()
+    quoted = F.concat(F.lit(r"\Q"), F.replace("sinonimo", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    patterns = (entries.groupBy("concepto")
+                .agg(F.sort_array(F.collect_set(F.struct((-F.length("sinonimo")).alias("l"),
+                                                         F.col("sinonimo").alias("s"), quoted.alias("q")))).alias("a"))
+                .select("concepto", F.concat(F.lit(f"(?<!{WORD})(?:"), F.array_join(F.transform("a", lambda x: x["q"]), "|"),
+                                             F.lit(f")(?!{WORD})")).alias("_patron")))
+    text = F.concat_ws("\n", title, body)
+    seen = F.array_distinct(F.concat(tokens(text), F.regexp_extract_all(text, F.lit(SYMBOL), F.lit(0))))
+    candidates = (posts.select(F.col(key).alias("_id"), F.explode(seen).alias("_clave"))
+                  .join(index, "_clave").select("_id", "concepto").distinct().join(patterns, "concepto"))
+    times = lambda c: F.regexp_count(F.lower(F.coalesce(F.col(c), F.lit(""))), F.col("_patron")).cast("bigint")
+    return (posts.select(key, title, body).join(candidates, F.col(key) == F.col("_id"))
+            .select(key, "concepto", times(title).alias("n_titulo"), times(body).alias("n_texto"))
+            .filter("n_titulo + n_texto > 0"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from veleta.functions.text import word_count
 from veleta.functions.values import iso_timestamp, iso_weekday
-from veleta.operators.concepts import LOCAL_LIMIT, count_expressions, joined_counts, local_dictionary
+from veleta.operators.concepts import count_expressions, dictionary_metadata
 
 # Model A's inputs in order, and the name prefixes that select model B's.
 COLUMNS_A = (
@@ -62,25 +62,16 @@ def _wide_local(df: DataFrame, concepts: dict[str, list[str]]) -> DataFrame:
     return arrays.withColumns(cols).drop("_t", "_x")
 
 
-def features_b(df: DataFrame, dictionary: DataFrame, limit: int = LOCAL_LIMIT) -> DataFrame:
+def features_b(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Features A plus, per concept, counts in title and body and a flag, and their totals.
 
-    Up to ``limit`` synonyms the columns are computed inside the row.  A larger dictionary is
-    matched by joining tokens, and only the totals are attached: one column per concept would
-    no longer fit a table, so per-concept counts stay in long form (``concept_counts``).
+    The columns are the same for every size of the dictionary: its concepts are the table's
+    metadata and are counted inside the row.  Counts agree with ``concepts.concept_counts``, the
+    long form for dictionaries with more concepts than a table should have columns.
     """
     base = features_a(df)
-    concepts = local_dictionary(dictionary, limit)
-    if concepts is not None:
-        return _wide_local(base, concepts) if concepts else base
-    per_post = joined_counts(df, dictionary).groupBy("id").agg(
-        F.sum("n_titulo").cast("int").alias("total_conceptos_titulo"),
-        F.sum("n_texto").cast("int").alias("total_conceptos_texto"),
-        F.count_if(F.col("n_titulo") > 0).cast("int").alias("diversidad_conceptos_titulo"),
-        F.count_if(F.col("n_texto") > 0).cast("int").alias("diversidad_conceptos_texto"))
-    totals = [c for c in per_post.columns if c != "id"]
-    return base.join(per_post, "id", "left").withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0)) for c in totals})
+    concepts = dictionary_metadata(dictionary)
+    return _wide_local(base, concepts) if concepts else base
 
 
 def _numeric(c: str) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, VectorAssembler
@@ -64,8 +66,12 @@ def load_or_train(path: str, train: Callable[[], PipelineModel] | None) -> Pipel
     """The stored model, or a freshly trained and stored one; never an untrained stand-in."""
     try:
         return PipelineModel.load(path)
-    except Exception:
-        if train is None:
+    except Py4JJavaError as problem:
+        # Any other trouble must not replace a stored model.
+        if train is None or "Input path does not exist" not in str(problem.java_exception):
+            raise
+    except AnalysisException as problem:
+        if train is None or problem.getCondition() != "PATH_NOT_FOUND":
             raise
     model = train()
     model.write().overwrite().save(path)
@@ -75,26 +81,29 @@ def load_or_train(path: str, train: Callable[[], PipelineModel] | None) -> Pipel
 def train_sentiment(train: DataFrame, val: DataFrame, text: str = "texto_model",
                     label: str = "label", features: int = 1 << 16,
                     strengths: tuple[float, ...] = (0.001, 0.01),
-                    max_iter: int = 30) -> tuple[PipelineModel, float]:
+                    max_iter: int = 30, least_documents: int = 2) -> tuple[PipelineModel, float]:
     """Three-class text classifier with class-weighted loss; the penalty is chosen by macro F1
-    on the validation part.  Text features are fitted once and shared by the candidates."""
+    on the validation part.  Text features are fitted once and shared by the candidates; words of
+    fewer than ``least_documents`` training texts get no weight."""
     prep = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=NOT_WORD, toLowercase=True),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="features", minDocFreq=2),
+        IDF(inputCol="_tf", outputCol="features", minDocFreq=least_documents),
     ]).fit(train)
     weight = weight_of(class_weights(train, label).withColumnRenamed(label, "label"), F.col(label))
     ready = prep.transform(train).select(label, "features").withColumn("_w", weight).persist()
     held = prep.transform(val).select(label, "features").persist()
     best: tuple[PipelineModel, float] | None = None
-    for strength in strengths:
-        fitted = LogisticRegression(labelCol=label, weightCol="_w", family="multinomial",
-                                    regParam=strength, maxIter=max_iter).fit(ready)
-        score = macro_f1(fitted.transform(held), label)
-        if best is None or score > best[1]:
-            best = (PipelineModel(stages=[*prep.stages, fitted]), score)
-    ready.unpersist()
-    held.unpersist()
+    try:
+        for strength in strengths:
+            fitted = LogisticRegression(labelCol=label, weightCol="_w", family="multinomial",
+                                        regParam=strength, maxIter=max_iter).fit(ready)
+            score = macro_f1(fitted.transform(held), label)
+            if best is None or score > best[1]:
+                best = (PipelineModel(stages=[*prep.stages, fitted]), score)
+    finally:
+        ready.unpersist()
+        held.unpersist()
     return best
 
 
