@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from veleta.functions.once import bind
+
 # Java classes written out, because \w and \s are ASCII-only there.
 WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]+"
@@ -30,8 +32,10 @@ def strip(c: Column) -> Column:
 
 
 def _drop(c: Column, marker: str, pattern: str, by: str = "") -> Column:
-    """Replace a pattern, skipping the pattern engine for texts without its fixed part."""
-    return F.when(F.contains(c, F.lit(marker)), F.regexp_replace(c, pattern, by)).otherwise(c)
+    """Replace a pattern, skipping the pattern engine for texts without its fixed part.
+
+    The value is bound once, so a chain of steps grows by one step each."""
+    return bind(c, lambda t: F.when(F.contains(t, F.lit(marker)), F.regexp_replace(t, pattern, by)).otherwise(t))
 
 
 def clean_text(c: Column, collapse: bool = True) -> Column:

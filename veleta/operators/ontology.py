@@ -128,8 +128,9 @@ def oquare_counts(schema: DataFrame, instances) -> DataFrame:
     """Basic counts over ontology ∪ instances in one row.
 
     ``schema`` is the small ontology table, ``instances`` a triple table or source without
-    schema statements; both are sets.  The wide side is only counted: its total, its posts
-    and its relations.  The list of declared relations is a fixed-size metadata read.
+    schema statements; both are sets.  The wide side is read once: its statements are counted by
+    subject, then its total, its posts and their relations are added up.  The list of declared
+    relations is a fixed-size metadata read.
     """
     is_a = lambda *o: (F.col("p") == V.RDF_TYPE) & F.col("o").isin(list(o))
     broader = F.col("p") == V.SKOS + "broader"
@@ -145,17 +146,19 @@ def oquare_counts(schema: DataFrame, instances) -> DataFrame:
         F.count_if((F.col("p") == V.RDFS + "subClassOf") | broader).alias("relaciones_jerarquicas"))
     declared = [r[0] for r in schema.filter(is_a(V.OWL + "ObjectProperty")).select("s").distinct()
                 .collect()]
-    rows = source_of(instances)
-    posts = rows(V.RDF_TYPE, obj=V.RR + "Post").select("s")
-    count = lambda d: d.agg(F.count(F.lit(1))).scalar()
+    subjects = source_of(instances)().groupBy("s").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(is_a(V.RR + "Post")).alias("post"),
+        F.count_if(F.col("p").isin(declared)).alias("rel"))
+    wide = subjects.agg(F.sum("n").alias("_total"), F.count_if("post").alias("_posts"),
+                        F.sum(F.when(F.col("post"), F.col("rel"))).alias("_rel"))
     big = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     names = ("clases", "propiedades_objeto", "propiedades_datos", "propiedades_anotacion",
              "relaciones_jerarquicas")
-    return small.select(
+    # Two tables of one row each.
+    return small.withColumn("_k", F.lit(1)).join(wide.withColumn("_k", F.lit(1)), "_k").select(
         *[big(F.col(c)).alias(c) for c in names],
-        big(F.col("_schema") + count(rows())).alias("total_triples"),
-        big(count(posts)).alias("instancias"),
-        big(count(rows(*declared).join(posts, "s", "left_semi"))).alias("relaciones_instancias"))
+        big(F.col("_schema") + F.coalesce("_total", F.lit(0))).alias("total_triples"),
+        big(F.col("_posts")).alias("instancias"), big(F.col("_rel")).alias("relaciones_instancias"))
 
 
 def oquare_metrics(counts: DataFrame) -> DataFrame:

@@ -124,42 +124,33 @@ def statement_source(posts: DataFrame):
     """Virtual triple table for questions: ``rows(p, …)`` gives the statements with these
     predicates, ``rows(V.RDF_TYPE, obj=…)`` those with one constant object.
 
-    Only the named statements are planned, each as a pruned scan of the posts; ``rows()``
-    gives all of them.
+    All wanted statements about posts come from one scan that builds only these, and all
+    statements about communities, authors and domains from another; ``rows()`` gives all of them.
     """
     base = _with_id(posts)
-
-    def names(key: Column) -> DataFrame:
-        return base.select(key.alias("n")).filter("n is not null").distinct()
-
-    def branch(source, cells):
-        return lambda: source().select(*cells).filter("o is not null")
-
-    parts = [(p, o, branch(lambda: base, cells)) for p, o, cells in _statement_list()]
-    for folder, key, cls in (("r/", V.norm_subreddit(F.col("subreddit_nombre")), "Subreddit"),
-                             ("u/", author_key(), "Author"), ("domain/", domain_key(), "Domain")):
-        source = (lambda k: lambda: names(k))(key)
-        s = F.concat(F.lit(V.BASE + folder), F.col("n"))
-        parts.append((V.RDF_TYPE, (V.RR + cls,),
-                      branch(source, _row(s, V.RDF_TYPE, F.lit(V.RR + cls)))))
-        if folder == "r/":
-            label = F.concat(F.lit("r/"), F.col("n"))
-            parts.append((V.RDFS + "label", None, branch(
-                source, _row(s, V.RDFS + "label", label, "literal", None, "en"))))
+    entities = tuple(V.RR + c for c in ("Subreddit", "Author", "Domain"))
 
     def rows(*predicates: str, obj: str | None = None) -> DataFrame:
-        picked = [make() for p, o, make in parts
-                  if (not predicates or p in predicates) and (obj is None or o is None or obj in o)]
+        wanted = lambda p, o: (not predicates or p in predicates) and (obj is None or o is None or obj in o)
+        cells = [c for p, o, c in _statement_list() if wanted(p, o)]
+        picked = []
+        if len(cells) == 1:
+            picked.append(base.select(*cells[0]))
+        elif cells:
+            picked.append(base.select(F.inline(F.array(*[F.struct(*c) for c in cells]))))
+        if wanted(V.RDF_TYPE, entities) or wanted(V.RDFS + "label", None):
+            named = entity_triples(posts)
+            picked.append(named.filter(F.col("p").isin(list(predicates))) if predicates else named)
         if not picked:
             return base.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in COLUMNS))
-        out = reduce(DataFrame.unionByName, picked)
+        out = reduce(DataFrame.unionByName, picked).filter("o is not null")
         return out if obj is None else out.filter(F.col("o") == obj)
 
     return rows
 
 
 def triple_view(posts: DataFrame) -> DataFrame:
-    """The rows of ``triples`` as a union with one branch per statement."""
+    """The rows of ``triples``, from the source of virtual statements."""
     return statement_source(posts)()
 
 

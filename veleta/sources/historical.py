@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from veleta.functions.lang import language
+from veleta.functions.once import add_once
 from veleta.functions.text import strip
 from veleta.functions.values import epoch_timestamp, month_key
 from veleta.schemas import ARCHIVE_END, ARCHIVE_START, LANGUAGES
@@ -54,7 +55,7 @@ def scan_archive(spark: SparkSession, path: str | list[str]) -> DataFrame:
     splittable: parallelism is the number of files, hence the month-wise layout of the sink.
     """
     lines = spark.read.text(path)
-    parsed = lines.withColumn("post", F.from_json("value", POST, {
+    parsed = add_once(lines, post=F.from_json("value", POST, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     # A numeric created_utc inside a string is a per-field error: the field is null.
     return parsed.filter(F.col("post").isNotNull() & F.col("post.subreddit").isNotNull())
