@@ -7,19 +7,21 @@ from pyspark.sql import DataFrame, functions as F
 from checks.bronze import raw_lines
 from checks.core import SQL_ISO, Views, big, check, iso
 from veleta.session import scratch
-from veleta.sources.bronze import BY_MONTH
 from veleta.streaming import ingest, metrics
 
 EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
-def _landing(v: Views, copies: int = 1) -> DataFrame:
-    """Events as landed files and as a stream over them."""
+def _landing(v: Views, copies: int = 1, late: bool = False) -> DataFrame:
+    """Events as three landed files a copy, in time order, one file per micro-batch; ``late`` lands
+    the first third once more at the end."""
     path = scratch(v.spark, "landing")
     events = v.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
-    for _ in range(copies):
-        events.write.mode("append").parquet(path)
-    return v.spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 100).parquet(path)
+    cut = events.agg(F.percentile(F.col("ts").cast("double"), F.array(F.lit(1 / 3), F.lit(2 / 3)))).first()[0]
+    third = F.when(F.col("ts").cast("double") < cut[0], 0).when(F.col("ts").cast("double") < cut[1], 1).otherwise(2)
+    for k in [0, 1, 2] * copies + [0] * late:
+        events.filter(third == k).coalesce(1).write.mode("append").parquet(path)
+    return v.spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @check("stream_bronze", """
@@ -29,11 +31,9 @@ def stream_bronze(v: Views) -> DataFrame:
     """Landed posts, each followed by a broken line: bronze rows and quarantined lines."""
     root = scratch(v.spark, "live")
     bad = v.posts().select(F.concat(F.lit("{broken "), "id").alias("value"))
-    raw_lines(v).unionByName(bad).write.text(root + "/landing")
-    for start, out in ((ingest.start_bronze, "bronze"), (ingest.start_quarantine, "quarantine")):
-        layout = {"by": BY_MONTH} if out == "bronze" else {}
-        start(v.spark, root + "/landing", f"{root}/{out}", f"{root}/cp-{out}", seconds=0, **layout) \
-            .awaitTermination()
+    raw_lines(v).unionByName(bad).repartition(3).write.text(root + "/landing")
+    ingest.start_live(v.spark, root + "/landing", root + "/bronze", root + "/quarantine", root + "/cp",
+                      seconds=0, files_per_batch=1).awaitTermination()
     good = v.spark.read.parquet(root + "/bronze").select(
         "id", "subreddit", "score", F.col("fecha").cast("string").alias("fecha"),
         F.lit("bueno").alias("estado"))
@@ -46,7 +46,7 @@ def stream_bronze(v: Views) -> DataFrame:
 
 @check("stream_dedup", f"select event_id, event_type, {SQL_ISO.format('ts')} as hora from events")
 def stream_dedup(v: Views) -> DataFrame:
-    """Every event lands twice; one copy survives."""
+    """Every event lands twice, in different batches; one copy survives."""
     root = scratch(v.spark, "dedup")
     unique = ingest.first_seen(_landing(v, copies=2), "event_id", "ts", "40 days")
     ingest.start_append(unique, root + "/out", root + "/cp", seconds=0).awaitTermination()
@@ -65,11 +65,12 @@ def stream_counts(v: Views) -> DataFrame:
 select {SQL_ISO.format("date_trunc('hour', ts)")} as hora, event_type, cast(count(*) as bigint) as n,
   round(sum(value), 2) as suma, true as media_exacta from events group by 1, 2""")
 def stream_hourly(v: Views) -> DataFrame:
+    """Four batches; the last one holds only rows behind the watermark, which do not count."""
     root = scratch(v.spark, "hourly")
-    result = metrics.hourly_metrics(_landing(v), "event_type", "value")
-    metrics.start_snapshot(result, root + "/out", root + "/cp", seconds=0).awaitTermination()
-    out = metrics.latest(v.spark, root + "/out", "hora timestamp, event_type string, n bigint, "
-                         "suma double, media double, lote bigint")
+    result = metrics.hourly_metrics(_landing(v, late=True), "event_type", "value")
+    metrics.start_updates(result, root + "/out", root + "/cp", seconds=0).awaitTermination()
+    out = metrics.newest_rows(v.spark, root + "/out", "hora timestamp, event_type string, n bigint, "
+                              "suma double, media double, lote bigint", ["hora", "event_type"])
     return out.select(iso("hora").alias("hora"), "event_type", "n",
                       F.round("suma", 2).alias("suma"),
                       (F.abs(F.col("media") - F.col("suma") / F.col("n")) < 1e-9).alias("media_exacta"))

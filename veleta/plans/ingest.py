@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 from veleta.schemas import MICROBATCH_SECONDS, SUBREDDITS
 from veleta.sources.historical import keep_posts, scan_archive, select_files, write_months
-from veleta.streaming.ingest import start_bronze, start_quarantine
+from veleta.sources.bronze import BY_MONTH
+from veleta.streaming.ingest import start_live
 
 
 def run_archive(spark: SparkSession, folder: str, out: str, subreddits=SUBREDDITS) -> None:
@@ -19,9 +20,6 @@ def run_archive(spark: SparkSession, folder: str, out: str, subreddits=SUBREDDIT
 
 
 def run_live(spark: SparkSession, landing: str, bronze: str, quarantine: str, checkpoints: str,
-             seconds: int = MICROBATCH_SECONDS) -> None:
-    """Both live queries; returns when they stop (at once drained for ``seconds`` <= 0)."""
-    queries = [start_bronze(spark, landing, bronze, f"{checkpoints}/bronze", seconds),
-               start_quarantine(spark, landing, quarantine, f"{checkpoints}/quarantine", seconds)]
-    for q in queries:
-        q.awaitTermination()
+             seconds: int = MICROBATCH_SECONDS, by: tuple[str, ...] = BY_MONTH) -> None:
+    """The live query; returns when it stops (at once drained for ``seconds`` <= 0)."""
+    start_live(spark, landing, bronze, quarantine, f"{checkpoints}/live", seconds, by=by).awaitTermination()

@@ -43,6 +43,27 @@ def latest(spark, out: str, schema) -> DataFrame:
     return table.filter(F.col("lote") == newest).drop("lote")
 
 
+def start_updates(result: DataFrame, out: str, checkpoint: str,
+                  seconds: int = MICROBATCH_SECONDS) -> StreamingQuery:
+    """Append the rows that a batch changed, one folder per batch; ``newest_rows`` reads the table.
+
+    State is dropped behind the watermark, late rows are left out, and a batch that is retried
+    overwrites its own folder.
+    """
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/lote={number:012d}")
+
+    return result.writeStream.outputMode("update").foreachBatch(save) \
+        .option("checkpointLocation", checkpoint).trigger(**trigger_for(seconds)).start()
+
+
+def newest_rows(spark, out: str, schema, keys: list[str]) -> DataFrame:
+    """The last written row of every key of an update table."""
+    table = spark.read.schema(schema).parquet(out)
+    rest = [c for c in table.columns if c not in keys and c != "lote"]
+    return table.groupBy(*keys).agg(F.max_by(F.struct(*rest), "lote").alias("r")).select(*keys, "r.*")
+
+
 def start_batch_counts(stream: DataFrame, group: str, out: str, checkpoint: str,
                        seconds: int = MICROBATCH_SECONDS) -> StreamingQuery:
     """Per-batch counters per group: (lote, group, n), one overwritable folder per batch."""
