@@ -80,11 +80,13 @@ def phrases(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(firsts), np.concatenate(anchors)
 
 
-def _symbols(data: bytes, first: np.ndarray) -> np.ndarray:
-    """A value for the bytes from each phrase to the next, the last one to the end of the text."""
-    view, ends = memoryview(data), np.r_[first[1:], len(data)].tolist()
-    return np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), ends)),
-                       np.uint64, len(first))
+def _symbols(data: bytes, first: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """A value for the bytes from each wanted phrase to the next, the last one to the end of the text."""
+    view, ends, at = memoryview(data), np.r_[first[1:], len(data)], np.flatnonzero(wanted)
+    out = np.zeros(len(first), np.uint64)
+    out[at] = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first[at].tolist(), ends[at].tolist())),
+                          np.uint64, len(at))
+    return out
 
 
 def _named(*columns: np.ndarray) -> np.ndarray:
@@ -94,19 +96,23 @@ def _named(*columns: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def suffix_keys(data: bytes, first: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(phrases, keys) of the three merged orders; keys are equal only if all windows that start
+def suffix_keys(data: bytes, first: np.ndarray, open_: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(phrases, keys) of the three merged orders for the open phrases; keys are equal only if all windows that start
     in the phrases are.
 
     A name stops at the symbol in which the last of these windows ends, so a suffix is settled up to
     the end of a repeat; deeper than nine symbols it is left to the comparison of starts.
     """
     n = len(first)
-    symbol = _symbols(data, first)
+    wanted = open_.copy()
+    for i in range(1, 9):
+        wanted[i:] |= open_[:-i]
+    symbol = _symbols(data, first, wanted)
     ends = np.r_[first[1:], len(data)]                               # bytes that a symbol reaches
     last = np.r_[first[1:], len(data) - length + 1] + length - 1      # where a phrase's windows end
-    k = np.arange(n)
-    depth = np.searchsorted(ends, last) - k + 1
+    k = np.flatnonzero(open_)
+    depth = np.searchsorted(ends, last[k]) - k + 1
+    k, depth = k[depth <= 9], depth[depth <= 9]
     # Names of the first 0, 1, 2 and 3 symbols at every place, zeros beyond the end.
     s = np.concatenate([symbol, np.zeros(12, np.uint64)])
     names = np.zeros((4, n + 10), np.uint64)
@@ -117,10 +123,10 @@ def suffix_keys(data: bytes, first: np.ndarray, length: int) -> list[tuple[np.nd
         """The recursion: a triple of names of triples."""
         return _named(*(names[np.clip(deep - 3 * i, 0, 3), np.minimum(at + 3 * i, n + 9)] for i in range(3)))
 
-    orders = ((k % 3 != 0, name(k, depth)), (k % 3 != 2, _named(s[:n], name(k + 1, depth - 1))),
-              (k % 3 != 1, _named(s[:n], np.where(depth > 1, s[1:n + 1], U64(0)), name(k + 2, depth - 2))))
-    return [(np.flatnonzero(own & (depth <= 9)), mix(key ^ U64(m + 1))[own & (depth <= 9)])
-            for m, (own, key) in enumerate(orders)]
+    after = s[np.minimum(k + 1, n)]
+    orders = ((k % 3 != 0, name(k, depth)), (k % 3 != 2, _named(s[k], name(k + 1, depth - 1))),
+              (k % 3 != 1, _named(s[k], np.where(depth > 1, after, U64(0)), name(k + 2, depth - 2))))
+    return [(k[own], mix(key ^ U64(m + 1))[own]) for m, (own, key) in enumerate(orders)]
 
 
 def _later(values, flags, ids, place):
@@ -167,8 +173,7 @@ def repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
                 open_ = frames.mask(places.as_py(), len(first))
                 if not open_.any():
                     continue
-                parts = [(p[open_[p]], key[open_[p]]) for p, key in suffix_keys(text, first, length)]
-                at, keys = (np.concatenate(x) for x in zip(*parts))
+                at, keys = (np.concatenate(x) for x in zip(*suffix_keys(text, first, open_, length)))
                 order = np.argsort(at, kind="stable")
                 gather.add(doc, keys[order], at[order], np.zeros(len(at), bool), len(first))
                 if gather.n >= GATHER:
