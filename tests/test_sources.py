@@ -72,7 +72,7 @@ def test_null_policy(spark):
 def test_bronze_layouts(spark, folder):
     df = spark.createDataFrame([("a", "News", 1704067200.0), ("b", None, 1704153600.0)],
                                "id string, subreddit string, created_utc double")
-    write_bronze(df, folder + "/day")
+    write_bronze(df, folder + "/day", by=("sub", "fecha"))
     write_bronze(df, folder + "/month", by=BY_MONTH)
     assert os.path.isdir(folder + "/day/sub=news/fecha=2024-01-01")
     assert os.path.isdir(folder + "/month/mes=2024-01")
