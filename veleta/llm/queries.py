@@ -89,3 +89,56 @@ def op1_html_extraction(spark, sf_dir):
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
     return extract.extract(pages, extract.fit(pages))
+
+
+# -- SQL twins ---------------------------------------------------------------------------------------
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str, separators: str) -> str:
+    return f"list_filter(regexp_split_to_array(coalesce({text}, ''), '{separators}'), lambda x: x <> '')"
+
+
+_BLANKS = r"[\x09-\x0D\x20]+"
+_MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_FOLDED = f"translate(text, '{_UPPER}', '{_LOWER}')"
+
+SQL["op2_ngram_jaccard_join"] = f"""
+with recursive w as (select doc_id, {_words(_FOLDED, _BLANKS)} as a from documents),
+s as (select distinct doc_id, array_to_string(a[i:i + least(5, len(a)) - 1], ' ') as g, least(5, len(a)) as k
+  from w, unnest(range(1, greatest(1, len(a) - 4) + 1)) t(i) where len(a) > 0),
+n as (select doc_id, count(*) as n from s group by 1),
+o as (select x.doc_id as a, y.doc_id as b, count(*) as o from s x join s y on x.g = y.g and x.k = y.k and x.doc_id <> y.doc_id group by 1, 2),
+l as (select a, b from o join n p on p.doc_id = a join n q on q.doc_id = b where 100 * o >= 75 * (p.n + q.n - o)),
+r as (select doc_id, doc_id as root from documents union select r.doc_id, l.b from r join l on l.a = r.root)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component_id
+from documents d left join n on n.doc_id = d.doc_id
+join (select doc_id, min(root) as component_id from r group by 1) c on c.doc_id = d.doc_id"""
+
+SQL["op7_decontamination"] = f"""
+with d as (select doc_id, {_words(_FOLDED, _MARKS)} as a from documents),
+b as (select cast(item_id as varchar) as item, {_words(_FOLDED, _MARKS)} as a from benchmark),
+v as (select distinct item, least(10, len(a)) as k, array_to_string(a[i:i + least(10, len(a)) - 1], ' ') as g
+  from b, unnest(range(1, greatest(1, len(a) - 9) + 1)) t(i) where len(a) > 0),
+f as (select doc_id, i, k, array_to_string(a[i:i + k - 1], ' ') as g
+  from d, (select distinct k from v) z, unnest(range(1, len(a) - k + 2)) t(i)),
+m as (select f.doc_id, f.i, f.k, v.item from f join v on v.g = f.g and v.k = f.k),
+h as (select doc_id, count(distinct i + j) as n from m, unnest(range(0, k)) t(j) group by 1),
+q as (select doc_id, count(distinct item) as n, string_agg(distinct item, ',' order by item) as s from m group by 1)
+select d.doc_id, cast(len(a) as bigint) as n_words, cast(coalesce(h.n, 0) as bigint) as n_hit, cast(coalesce(q.n, 0) as bigint) as n_items,
+  sha256(coalesce(q.s, '')) as items_sha256, h.n is not null as contaminated
+from d left join h on h.doc_id = d.doc_id left join q on q.doc_id = d.doc_id"""
+
+SQL["op10_substring_dedup"] = f"""
+with w as (select doc_id, {_words("text", _BLANKS)} as a from documents),
+f as (select doc_id, i, row_number() over (partition by array_to_string(a[i:i + 19], ' ') order by doc_id, i) as rn
+  from w, unnest(range(1, len(a) - 18)) t(i)),
+g as (select distinct doc_id, i + j as p from f, unnest(range(0, 20)) t(j) where rn > 1),
+u as (select doc_id, unnest(a) as x, generate_subscripts(a, 1) as p from w),
+k as (select u.doc_id, string_agg(x, ' ' order by u.p) as s from u left join g on g.doc_id = u.doc_id and g.p = u.p where g.p is null group by 1),
+z as (select doc_id, count(*) as n, count(*) filter (q is null or q <> p - 1) as runs
+  from (select doc_id, p, lag(p) over (partition by doc_id order by p) as q from g) y group by 1)
+select w.doc_id, cast(len(a) as bigint) as n_words, cast(coalesce(z.n, 0) as bigint) as n_removed, sha256(coalesce(k.s, '')) as kept_sha256,
+  cast(coalesce(z.runs, 0) as bigint) as n_repeats
+from w left join k on k.doc_id = w.doc_id left join z on z.doc_id = w.doc_id"""
