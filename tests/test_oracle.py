@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import core
 from checks.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(core.QUERIES))
 def test_query(spark, con, name):
     result = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
     assert result.startswith(("OK", "ROWS")) and "TYPES" not in result, result
