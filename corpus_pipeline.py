@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veleta.llm import decontaminate, jaccard, ordinal, packing, suffixes
-from veleta.llm.common import table
+from veleta.llm.common import remove_folder, table
 from veleta.llm.queries import quality_model
 from veleta.session import scratch
 
@@ -66,9 +66,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result is the last stage's, read back from its files."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         path = scratch(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from veleta.llm.common import stored
+from veleta.llm.common import release, stored
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -25,15 +25,19 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 def roots(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links(a, b)`` but the roots; root is the smallest node of
     the component.  Link tables are written between the steps and never collected; a hub's links are
-    aggregated before they are shuffled and its join is left to skew handling."""
+    aggregated before they are shuffled and its join is left to skew handling.  The result is a
+    stored table."""
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .distinct(), "links")
     digest = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = digest(edges)
     while before[0]:
-        edges = stored(_star(_star(edges, True), False), "links")
+        last, edges = edges, stored(_star(_star(edges, True), False), "links")
+        release(last)
         after = digest(edges)
         if after == before:
             break
         before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    out = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("root")), "roots")
+    release(edges)
+    return out

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from veleta.llm import frames
-from veleta.llm.common import U64, arrow_map, mix, octets, parts, raw_texts, stored, window_hashes, word_hashes
+from veleta.llm.common import U64, arrow_map, mix, octets, parts, raw_texts, release, stored, window_hashes, word_hashes
 from veleta.llm.components import roots
 from veleta.llm.substrings import GATHER, NO_ID, SENT, _Gatherer, _keyed, _with
 
@@ -252,7 +252,7 @@ def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple
     state = stored(arrow_map(chosen, full, "id long, n long, set binary").withColumn("grp", F.col("id")), "shingles")
     tokens = state.agg(F.sum("n")).first()[0] or 0
     bits = frames.fragment_bits(tokens, least=5, target=1 << 20)
-    groups = state.select("id", "grp")
+    groups = stored(state.select("id", "grp"), "groups")
     none = F.lit(None).cast("array<long>")
     for step in range(leader_rounds + 1):
         votes = stored(_cut(state.withColumn("partners", none), bits, _leaders(step + 1), PAIRS, narrow=True)
@@ -268,6 +268,7 @@ def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple
             pairs = _cut(rest, bits, _agreeing, PAIRS).select("id", "partner").distinct()
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
+            release(votes, pairs)
             break
         asks = (pairs.unionByName(pairs.select(F.col("partner").alias("id"), F.lit(None).cast("long").alias("partner")))
                 .groupBy("id").agg(F.collect_list("partner").alias("partners")))
@@ -277,11 +278,16 @@ def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple
         other = state.select(F.col("id").alias("partner"), F.col("n").alias("m"), F.col("grp").alias("b"))
         linked = (overlap.join(mine, "id").join(other, "partner")
                   .filter(F.expr(f"100 * same >= {PERCENT} * (n + m - same)")).select("a", "b"))
-        moved = stored(roots(linked).select(F.col("node").alias("grp"), "root"), "moved")
-        now = lambda g: g.join(moved, "grp", "left").select("id", F.coalesce("root", "grp").alias("grp"))
-        groups = stored(now(groups), "groups")
+        moved = roots(linked)
+        root_of = moved.withColumnRenamed("node", "grp")
+        now = lambda g: g.join(root_of, "grp", "left").select("id", F.coalesce("root", "grp").alias("grp"))
+        last, groups = groups, stored(now(groups), "groups")
+        release(last)
         if step < leader_rounds:
-            state = stored(state.drop("grp").join(now(still.select("id", "grp")), "id"), "shingles")
+            last, state = state, stored(state.drop("grp").join(now(still.select("id", "grp")), "id"), "shingles")
+            release(last)
+        release(votes, pairs, moved)
+    release(state)
     return sets, groups
 
 
