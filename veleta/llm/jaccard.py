@@ -185,33 +185,30 @@ def _leaders(seed: int):
 
 
 def _agreeing(rows):
-    """Per fragment: the pairs of different groups whose cuts have the similarity asked for."""
+    """Per fragment: the pairs of different groups whose cuts have the similarity asked for.
+
+    A document counts its shared shingles with all others at once; of two groups the smaller one
+    counts, so members of one large group do not count each other.
+    """
     ids, n, group, cuts, size, values, owner = _arrays(rows)
     order, starts, run = frames.runs(values)
-    count = np.diff(np.r_[starts, len(order)])
-    often = np.empty(len(values), np.int64)
-    often[order] = count[run]
-    # Rarest first; two cuts that agree share one of their first size - need(size) + 1 values.
-    rare = np.lexsort((values, often, owner))
-    nth = np.arange(len(values)) - np.repeat(np.r_[0, np.cumsum(size)[:-1]], size)
-    keep = rare[(nth < np.repeat(size - need(size) + 1, size)) & (often[rare] > 1)]
-    order, starts, _ = frames.runs(values[keep])
-    ends = np.r_[starts[1:], len(order)]
-    found = set()
-    for a, z in zip(starts, ends):
-        own = owner[keep[order[a:z]]]
-        for k in range(len(own) - 1):
-            x, rest = own[k], own[k + 1:]
-            ok = (group[rest] != group[x]) & _near_size(n[rest], n[x]) & _near_size(size[rest], size[x])
-            found.update((min(x, y), max(x, y)) for y in rest[ok].tolist())
-    good = []
-    for x, y in found:
-        same = len(np.intersect1d(cuts[x], cuts[y], assume_unique=True))
-        if 100 * same >= PERCENT * (size[x] + size[y] - same):
-            good.append((ids[x], ids[y]))
-    if good:
-        a = np.array(good, np.int64)
-        yield _pairs(a.max(1), a.min(1), np.ones(len(a), np.int64))
+    who, ends = owner[order], np.r_[starts[1:], len(order)]
+    run_of = np.empty(len(values), np.int64)
+    run_of[order] = run
+    first = np.r_[0, np.cumsum(size)]
+    _, code, members = np.unique(group, return_inverse=True, return_counts=True)
+    rank = np.argsort(np.argsort(members, kind="stable"), kind="stable")[code]   # larger groups later
+    for x in range(len(ids)):
+        own = run_of[first[x]:first[x + 1]]
+        own = own[ends[own] - starts[own] > 1]
+        if rank[x] == len(members) - 1 or not len(own):
+            continue
+        same = np.bincount(np.concatenate([who[starts[r]:ends[r]] for r in own.tolist()]), minlength=len(ids))
+        y = np.flatnonzero(same)
+        y = y[(rank[y] > rank[x]) & _near_size(n[y], n[x])]
+        y = y[100 * same[y] >= PERCENT * (size[x] + size[y] - same[y])]
+        if len(y):
+            yield _pairs(np.full(len(y), ids[x]), ids[y], same[y])
 
 
 def _overlaps(rows):
