@@ -22,6 +22,14 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
+def _flat(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node only, and that on none."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    per_node = ends.groupBy("v").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return per_node.filter("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def roots(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links(a, b)`` but the roots; root is the smallest node of
     the component.  Link tables are written between the steps and never collected; a hub's links are
@@ -29,15 +37,9 @@ def roots(links: DataFrame) -> DataFrame:
     stored table."""
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .distinct(), "links")
-    digest = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    before = digest(edges)
-    while before[0]:
+    while not _flat(edges):
         last, edges = edges, stored(_star(_star(edges, True), False), "links")
         release(last)
-        after = digest(edges)
-        if after == before:
-            break
-        before = after
     out = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("root")), "roots")
     release(edges)
     return out
