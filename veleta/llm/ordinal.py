@@ -75,7 +75,7 @@ def train(rows: list[tuple[np.ndarray, list[float]]], grades: np.ndarray, levels
     """Fit by full-batch Adam on the likelihood; words of fewer than ``least`` rows get no weight.
 
     Starts from zero, so equal rows give an equal model."""
-    lens = np.array([len(s) for s, _ in rows])
+    lens = np.array([len(s) for s, _ in rows], int)
     slots = np.concatenate([s for s, _ in rows]) if len(rows) else np.empty(0, np.int32)
     often = np.bincount(slots, minlength=1 << BITS) >= least
     used = np.flatnonzero(often)
@@ -87,7 +87,7 @@ def train(rows: list[tuple[np.ndarray, list[float]]], grades: np.ndarray, levels
     y = np.asarray(grades)
     share = np.bincount(y, minlength=levels) / max(1, len(y))
     balance = (1 / np.maximum(share, 1e-9) ** 0.5)[y]
-    balance = balance / max(1e-9, balance.mean())
+    balance = balance / max(1e-9, balance.mean() if len(y) else 1.0)
     # Parameters: words, measures, first threshold, log gaps.
     p = np.zeros(len(used) + SURFACE + levels - 1)
     below = np.clip(np.cumsum(share)[:-1], 0.01, 0.99)
