@@ -67,6 +67,15 @@ def test_jaccard_links_through_a_chain(spark):
     assert got == {0}
 
 
+def test_jaccard_links_behind_a_leader_of_another_size(spark):
+    """The longer text leads every shingle of the two copies and is too long for both: no candidate, one link."""
+    words = [f"w{k}" for k in range(104)]
+    near = words[:94] + [f"v{k}" for k in range(10)]
+    rows = [(1, " ".join(words + [f"u{k}" for k in range(50)])), (2, " ".join(words)), (3, " ".join(near))]
+    got = {r[0]: (r[1], r[2]) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (150, 1), 2: (100, 2), 3: (100, 2)}
+
+
 def brute_bytes(rows, size):
     seen, out = set(), {}
     for d, t in sorted(rows):

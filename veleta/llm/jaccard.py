@@ -265,8 +265,15 @@ def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple
             pairs = _cut(rest, bits, _agreeing, PAIRS).select("id", "partner").distinct()
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
+            # No candidate does not mean no link: one leader may be of the wrong size for all it leads.
+            last = None if step == leader_rounds or still.isEmpty() else state
+            if last is not None:
+                state = stored(last.drop("grp").join(still.select("id", "grp"), "id"), "shingles")
+                release(last)
             release(votes, pairs)
-            break
+            if last is None:
+                break
+            continue
         asks = (pairs.unionByName(pairs.select(F.col("partner").alias("id"), F.lit(None).cast("long").alias("partner")))
                 .groupBy("id").agg(F.collect_list("partner").alias("partners")))
         overlap = (_cut(state.join(asks, "id"), bits, _overlaps, PAIRS)
