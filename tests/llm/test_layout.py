@@ -49,6 +49,23 @@ def test_packing(spark, vocabulary):
         packing.pack(docs, vocabulary, longest=1000)
 
 
+def test_packing_gives_the_ids_of_tokenizers(spark, vocabulary):
+    """The tokenizer at its defaults: added tokens in a text are one id each."""
+    from tokenizers import Tokenizer
+
+    whole, end = Tokenizer.from_file(vocabulary), "<|endoftext|>"
+    texts = ["a<|endoftext|>b", end, end * 3, f"so  {end}  it's\n\n{end} ", f"<|endoftext{end}|>", f"x <|{end}", f"é{end}" * 900,
+             "<|endoftext |>", "<|ENDOFTEXT|>", "plain  words\t 12", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack(docs, vocabulary, keep_ids=True).collect()
+    for d, t in enumerate(texts):
+        want = whole.encode(t, add_special_tokens=False).ids + [0]
+        own = sorted((r for r in rows if r.doc_id == d), key=lambda r: r.start)
+        assert [i for r in own for i in r.ids] == want and own[0].doc_tokens == len(want)
+        for r in own:
+            assert r.ids_crc32 == zlib.crc32(np.array(want[r.start:r.start + r.length], "<u4").tobytes())
+
+
 def test_write_buckets(spark, vocabulary, folder):
     pieces = packing.pack(spark.createDataFrame([(1, "some words " * 99)], "doc_id long, text string"), vocabulary)
     packing.write_buckets(pieces, folder + "/out")

@@ -5,6 +5,7 @@ and none is padded.
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -38,6 +39,33 @@ def encoder(path: str):
                              special_tokens={}).encode_ordinary
 
 
+@lru_cache(maxsize=2)
+def file_encoder(path: str):
+    """text -> ids as ``tokenizers`` gives them for the file with ``add_special_tokens=False``: the
+    file's added tokens are cut out of a text first and are one id each, the rest is ``encoder``'s.
+    """
+    from tokenizers import Tokenizer
+
+    whole, plain = Tokenizer.from_file(path), encoder(path)
+    tokens = whole.get_added_tokens_decoder()
+    if any(t.single_word or t.lstrip or t.rstrip for t in tokens.values()):
+        return lambda text: whole.encode(text, add_special_tokens=False).ids
+    added = {t.content: i for i, t in tokens.items()}
+    if not added:
+        return plain
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> list[int]:
+        first, *rest = cut.split(text)
+        ids = plain(first)
+        for token, part in zip(rest[::2], rest[1::2]):
+            ids.append(added[token])
+            ids += plain(part)
+        return ids
+
+    return encode
+
+
 def binary_lengths(total: int, longest: int) -> list[int]:
     """``total`` as full pieces of ``longest`` (a power of two) and then falling powers of two."""
     rest = total % longest
@@ -51,7 +79,7 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 1024, end_id: int = 0,
     (log2 of the length) and, with ``keep_ids``, the token ids.
 
     ``tokenizer`` is the path of a vocabulary file that every executor can open.  A document is its
-    ids followed by ``end_id``; null and empty texts are that id alone.  Pieces follow each other,
+    ids (those of ``file_encoder``) followed by ``end_id``; null and empty texts are that id alone.  Pieces follow each other,
     so every id lies in exactly one.  Nothing is shuffled: a task numbers its own pieces, and a
     task that is run again reads the same split and gives the same numbers.  Repeated rows are
     packed once each; an empty table gives no piece; other columns are ignored.
@@ -62,7 +90,7 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 1024, end_id: int = 0,
     id_type = rows.schema["id"].dataType.simpleString()
 
     def cut(batches):
-        encode = encoder(tokenizer)
+        encode = file_encoder(tokenizer)
         for b in batches:
             who, start, length, crc, whole, ids = [], [], [], [], [], []
             for row, text in enumerate(raw_texts(b.column("text"))):
