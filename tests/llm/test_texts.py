@@ -179,3 +179,12 @@ def test_fingerprints(spark):
     assert fingerprint.next_and_edited(docs.limit(0)).count() == 0
     single = fingerprint.next_and_edited(docs.filter("doc_id = 0")).first()
     assert single.near_next == 1.0
+
+
+def test_fingerprints_cover_repetitive_texts(spark):
+    """A line said 400 times has hundreds of boundaries; its last half counts as much as its first."""
+    text, other = "Line 1 is said over and over.\n" * 400, "Other words stand in passage 1.\n" * 400
+    docs = spark.createDataFrame([(1, text), (2, other)], "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprint.next_and_edited(docs).collect()}
+    assert len(got[1].fingerprint.split(":")[1]) > 400
+    assert 0.4 < got[1].near_edited < 0.6 and got[1].near_next < 0.1

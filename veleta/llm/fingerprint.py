@@ -21,7 +21,6 @@ from veleta.llm.common import ODD, U64, arrow_map, octets, parts, stored
 CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 SPAN = 7           # bytes that decide about a boundary
 SIGNATURE = 64     # the signature length aimed at
-LONGEST = 128      # beyond it the rest of the text is one last chunk
 
 
 def _triggers(data: bytes) -> np.ndarray:
@@ -33,7 +32,7 @@ def _triggers(data: bytes) -> np.ndarray:
 
 
 def _signature(data: bytes, ends: np.ndarray) -> str:
-    cuts = [0, *(ends[:LONGEST - 1] + 1).tolist()]
+    cuts = [0, *(ends + 1).tolist()]
     if cuts[-1] < len(data):
         cuts.append(len(data))
     crc, chars, view = zlib.crc32, CHARACTERS, memoryview(data)
