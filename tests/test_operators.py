@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -290,3 +292,18 @@ def test_author_history_hot_author(spark):
     want = pdf.groupby("autor").valor_sentimiento.transform(lambda s: s.expanding().mean().shift())
     want.index = pdf.id
     pd.testing.assert_series_equal(got, want.sort_index(), check_names=False)
+
+
+def test_token_sample_with_a_repeated_key(spark):
+    """A third of the rows has one key of a late digest; the sample is full all the same."""
+    hot = next(k for k in map(str, range(100000, 200000)) if hashlib.md5(f"{k}|42".encode()).hexdigest() > "f")
+    rows = spark.range(60000).select(F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id").cast("string")).alias("k"))
+    assert profile.token_stats(rows, "k", F.lit(1)).first().muestra == 20000
+
+
+def test_token_sample_leaves_rows_without_key_to_the_end(spark):
+    for n in (300, 3000):
+        rows = spark.range(n + 50).select(F.when(F.col("id") < n, F.col("id").cast("string")).alias("k"))
+        tokens = F.when(F.col("k").isNull(), 9).otherwise(1)
+        assert profile.token_stats(rows, "k", tokens, sample=100).first().max == 1
+        assert profile.token_stats(rows, "k", tokens, sample=n + 10).first().max == 9

@@ -154,16 +154,18 @@ def token_stats(df: DataFrame, key: str, n_tokens: Column, sample: int = 20000,
                 max_length: int = 256, seed: int = 42) -> DataFrame:
     """Token-length figures of a deterministic sample of at most ``sample`` rows.
 
-    The sample is the feature here: the rows with the smallest seeded digests.  Rows are counted
-    first; digests far above where the sample must end (by twelve standard deviations) are left
-    out in the map tasks, and only the sample is tokenised.
+    The sample is the feature here: the rows with the smallest seeded digests; rows without key
+    have none and come last.  Rows are counted by the first digits of their digest; digests behind
+    the one where the sample is full are left out in the map tasks, and only the sample is tokenised.
     """
     digest = F.md5(F.concat(F.col(key), F.lit(f"|{seed}")))
-    enough, total = sample + 12 * sample**0.5 + 100, df.count()
-    rows = df.withColumn("_d", digest)
-    if total > 2 * enough:
-        rows = rows.filter(F.col("_d") < f"{int(enough / total * (1 << 32)):08x}")
-    picked = rows.orderBy("_d").limit(sample).select(n_tokens.cast("double").alias("n"))
+    rows, start = df.withColumn("_d", digest), F.substring("_d", 1, 4)
+    counts = rows.filter("_d is not null").groupBy(start.alias("start")).agg(F.count(F.lit(1)).alias("n"))
+    upto = counts.select("start", F.sum("n").over(Window.orderBy("start")).alias("upto"))
+    full = upto.filter(F.col("upto") >= sample).agg(F.min("start")).first()[0]
+    if full is not None:
+        rows = rows.filter(start <= full)
+    picked = rows.orderBy(F.asc_nulls_last("_d")).limit(sample).select(n_tokens.cast("double").alias("n"))
     p = lambda q: F.floor(F.percentile("n", F.lit(q))).cast("bigint")
     return picked.agg(
         F.count(F.lit(1)).cast("bigint").alias("muestra"), F.avg("n").alias("mean_tokens"),
