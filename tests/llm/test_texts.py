@@ -155,6 +155,26 @@ def test_license_scan(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_license_scan_against_every_place(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    notices = [f"Word {w}, then: {w.upper()}. {' '.join(w.split()[:-1])}\n{p} {p}" for _, w, _ in licenses.TEMPLATES for p, _ in licenses.BASE]
+    docs = docs.unionByName(spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(notices)], docs.schema)).cache()
+    before = lambda words, key: f" {words} ".split(f" {key} ")[0].split()
+    templates = [(label, {len(before(words, key)) + j: w for key in keys for j, w in enumerate(key.split())})
+                 for label, words, keys in licenses.TEMPLATES]
+    want = []
+    for d, t in docs.collect():
+        w = [x for x in words_of(t) if x]
+        at = [(k, label) for phrase, label in licenses.BASE for k in range(len(w)) if w[k:k + len(phrase.split())] == phrase.split()]
+        base = {label for _, label in at}
+        more = {label for label, must in templates
+                if any(all(k + i < len(w) and w[k + i] == x for i, x in must.items()) for k in range(len(w)))}
+        want.append((d, len(w), len(at), min(at)[0] if at else None, max(at)[0] if at else None,
+                     ",".join(sorted(base)), ",".join(sorted(base | more))))
+    got = licenses.scan(docs).drop("score").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len({x[6] for x in want}) > 10
+
+
 # -- op6
 
 def test_fingerprints(spark):
