@@ -60,6 +60,28 @@ def test_extract_keeps_whole_articles(pages, labeller):
         assert abs(len(known) - r.n_chars) <= 0.02 * len(known) + 12
 
 
+def test_all_name_words_are_read():
+    page = "<div class='col-12 col-md-8 offset-md-2 mt-4 mb-4 px-3 comments' id=x><p>t"
+    path = blocks(page)[0].path
+    assert ".comments" in path and ".x" in path
+
+
+def test_equal_pages_fill_one_place_of_the_sample(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def seen(sample):
+        raise Seen(sample)
+
+    monkeypatch.setattr(extract, "training_pages", seen)
+    own = spark.createDataFrame([(f"<p>page {k}",) for k in range(20)], "html string")
+    first = own.orderBy(F.pmod(F.xxhash64("html"), F.lit(1 << 32))).limit(1)
+    copies = first.crossJoin(spark.range(300)).select("html")
+    with pytest.raises(Seen) as found:
+        extract.fit(own.unionByName(copies))
+    assert sorted(found.value.args[0]) == sorted(r.html for r in own.collect())
+
+
 # -- op4
 
 def test_gradients_of_the_ordinal_model():

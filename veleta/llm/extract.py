@@ -330,11 +330,11 @@ def training_pages(sample: list[str], seed: int = 7) -> tuple[list[list[Block]],
 
 def fit(pages: DataFrame, sample: int = 200, longest: int = 1 << 16, html_col: str = "html") -> Labeller:
     """A labeller trained on at most ``sample`` pages of at most ``longest`` characters, those of smallest
-    hashed text; it bounds what is collected.  An empty table gives one trained on made-up pages."""
+    hashed text, equal pages counted once; it bounds what is collected.  An empty table gives one trained on made-up pages."""
     rows = pages.select(F.col(f"`{html_col}`").alias("html")).filter(F.col("html").isNotNull() & (F.length("html") <= longest))
     place = F.pmod(F.xxhash64("html"), F.lit(1 << 32))
-    share = min(1.0, 4 * sample / max(1, rows.count()))
-    few = rows.filter(place < F.lit(share * (1 << 32))).orderBy(place, "html").limit(sample)
+    share = min(1.0, 4 * sample / max(1, rows.select(F.xxhash64("html")).distinct().count()))
+    few = rows.filter(place < F.lit(share * (1 << 32))).distinct().orderBy(place, "html").limit(sample)
     found = training_pages([x[0] for x in few.collect()])
     return Labeller().fit(*found)
 

@@ -114,7 +114,7 @@ def blocks(page: str | None) -> list[Block]:
             attributes = found.group(3)
             if attributes and ("=" in attributes):
                 for m in _NAMES.finditer(attributes):
-                    names += ["." + w for w in _WORD.findall((m.group(1) or m.group(2) or m.group(3) or "").lower())][:8]
+                    names += ["." + w for w in _WORD.findall((m.group(1) or m.group(2) or m.group(3) or "").lower())]
             stack.append((tag, tuple(names)))
     flush()
     return out
