@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veleta.llm import (decontaminate, extract, fingerprint, jaccard, licenses, ordinal, packing,
-                        resample, sharding, substrings, suffixes, vectorcodes)
+from veleta.llm import (attention, decontaminate, extract, fingerprint, jaccard, licenses, ordinal,
+                        packing, resample, sharding, substrings, suffixes, vectorcodes)
 from veleta.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,15 @@ def op1_html_extraction(spark, sf_dir):
     return extract.extract(pages, extract.fit(pages))
 
 
+@query
+def op11_lm_scoring(spark, sf_dir):
+    """Log-probabilities of all texts under a causal self-attention model and under word counts."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return attention.score(docs, attention.fit(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 @query
 def op12_importance_resampling(spark, sf_dir):
     """A tenth of the documents, drawn to look like the benchmark texts."""
