@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from veleta.llm import frames, jaccard, substrings, suffixes
@@ -76,6 +77,123 @@ def test_jaccard_links_behind_a_leader_of_another_size(spark):
     assert got == {1: (150, 1), 2: (100, 2), 3: (100, 2)}
 
 
+def brute_components(rows):
+    """doc -> smallest id reachable, by comparing all pairs."""
+    sets = {}
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[d] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    order = sorted(sets)
+    for i, a in enumerate(order):
+        for b in order[:i]:
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+def star(copies, edits, centre, seed=4, words=120):
+    """Copies of one text with some words replaced, and perhaps that text itself."""
+    r = random.Random(seed)
+    base = [f"w{k}" for k in range(words)]
+    rows = [(0, " ".join(base))] if centre else []
+    for d in range(1, copies + 1):
+        c = list(base)
+        for k in r.sample(range(words), edits):
+            c[k] = f"x{d}.{k}"
+        rows.append((d, " ".join(c)))
+    return rows
+
+
+@pytest.mark.parametrize("block,centre,edits", [(3, True, 3), (16, False, 3), (7, False, 2), (2048, True, 6)])
+def test_jaccard_blocks_of_any_size(spark, monkeypatch, block, centre, edits):
+    """A block in one task or cut into parts: the groups are those of all pairs."""
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
+    rows = star(40, edits, centre) + [(d + 100, t) for d, t in star(12, 2, True, 5, 60)] + [(d * 3 + 500, t) for d, t in star(9, 1, False, 6, 30)]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == brute_components(rows)
+
+
+@pytest.mark.parametrize("centre", [True, False])
+def test_jaccard_makes_no_row_for_a_pair(spark, monkeypatch, centre):
+    """2,000 copies that hardly link to each other, and a line in a third of all texts: a step gives rows in proportion."""
+    made = {}
+    keep = jaccard.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    rows = star(2000, 3, centre, words=110)
+    r = random.Random(9)
+    line = " ".join(f"line{k}" for k in range(12))
+    rows += [(d, line + " " + " ".join(f"v{r.randrange(400)}" for _ in range(30))) for d in range(3000, 4000)]
+    got = {x[0]: x[2] for x in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert made["links"] <= 4 * len(rows) and made["members"] <= len(rows) and made["probes"] <= len(rows)
+    if centre:
+        assert len({got[d] for d in range(2001)}) < 200
+
+
+def test_spanning_links_agree_with_all_pairs():
+    r = random.Random(3)
+    for trial in range(60):
+        m, words = r.randint(2, 25), r.choice([12, 40, 90])
+        base = [r.sample(range(200), words) for _ in range(3)]
+        cuts = []
+        for _ in range(m):
+            c = set(r.choice(base))
+            c = (c - set(r.sample(sorted(c), r.randint(0, words // 6)))) | {r.randrange(10**6) for _ in range(r.randint(0, words // 6))}
+            cuts.append(np.array(sorted(c), np.uint64))
+        n, group = np.array([len(c) for c in cuts]), np.arange(m)
+        side = np.array([r.randint(0, 1) for _ in range(m)]) if trial % 2 else np.zeros(m, int)
+        two = len(set(side.tolist())) == 2
+        links = jaccard.spanning_links(np.arange(m), n, group, side, cuts)
+        alike = lambda i, j: (not two or side[i] != side[j]) and 100 * len(set(cuts[i]) & set(cuts[j])) >= 75 * len(set(cuts[i]) | set(cuts[j]))
+        assert all(alike(i, j) for i, j in links) and len(links) < m
+        root = list(range(m))
+        for i, j in links:
+            root = [root[i] if x == root[j] else x for x in root]
+        assert all(root[i] == root[j] for i in range(m) for j in range(i) if alike(i, j))
+
+
+def test_jaccard_one_id_with_different_texts(spark):
+    """They are documents of their own, whatever their id."""
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(5, a), (5, b), (3, a), (5, a), (9, b + " end"), (None, a)]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), keep_group=True).collect()
+    assert sorted((r[0] or 0, r[1], r[2] or 0) for r in got) == [(0, 36, 0), (3, 36, 3), (5, 36, 3), (5, 36, 3), (5, 36, 5), (9, 37, 5)]
+    assert len({r["grp"] for r in got if r["doc_id"]}) == 2
+
+
+@pytest.mark.parametrize("per_document", [1, 8, 300])
+def test_frames_do_not_grow_with_their_number(per_document):
+    """Whatever the number of fragments, a value costs its own bytes and at most those of its place."""
+    r = np.random.default_rng(1)
+    ids = np.sort(r.choice(10**6, 400_000 // per_document, replace=False))
+    counts = np.full(len(ids), per_document)
+    values, entry = r.integers(0, 2**64, counts.sum(), dtype=np.uint64), np.arange(counts.sum())
+    flags = r.random(len(entry)) < 0.1
+    cost = {}
+    for bits in (6, 10, 13):
+        got = frames.pack(values, entry, flags, ids, counts, bits, False)
+        size = sum(len(pa.compress(x, "lz4", asbytes=True)) for c in got.columns[1:] for x in (b"".join(c.to_pylist()),))
+        cost[bits] = size / len(values)
+        rests, some, owner, place, who = frames.unpack(list(zip(*(c.to_pylist() for c in got.columns[1:]))), False)
+        assert len(rests) == len(values) and some.sum() == flags.sum()
+        back = sorted(zip(who[owner].tolist(), place.tolist()))
+        assert back == sorted((int(i), k) for i in ids for k in range(per_document))
+    assert max(cost.values()) <= 4 + 1 / 8 + 8.5
+
+
 def brute_bytes(rows, size):
     seen, out = set(), {}
     for d, t in sorted(rows):

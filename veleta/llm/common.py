@@ -30,6 +30,9 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     # Workers import this package from where the driver did, if they have it there.
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    # A task has one core: small matrix products must not wait for helper threads.
+    for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):
+        spark.sparkContext.environment.setdefault(name, "1")
     return df.mapInArrow(fn, schema)
 
 

@@ -2,9 +2,10 @@
 
 A map task cuts the values of a batch of documents into fragments (ranges of the value) and sends
 one frame per fragment, so a fragment meets in one task as a few hundred arrays instead of millions
-of rows.  A frame holds, in document order, the gap to the previous entry and the rest of the value
-below the fragment's prefix; byte planes keep mostly-zero bytes together for the shuffle's compression.
-The number of fragments follows the number of values, so a fragment's size stays the same at any scale.
+of rows.  A frame holds the documents that own an entry of it and, in document order, the gap to the entry
+before and the rest of the value below the fragment's prefix; byte planes keep mostly-zero bytes together
+for the shuffle's compression.  The number of fragments follows the number of values, so a fragment's size
+stays the same at any scale, and a value costs at most its own bytes and those of its document's id.
 """
 
 from __future__ import annotations
@@ -79,26 +80,35 @@ def pack(values: np.ndarray, entry: np.ndarray, flags: np.ndarray, ids: np.ndarr
     """Frames of a batch.
 
     ``values`` are the entries' 64-bit values and ``entry`` their ascending place in the batch,
-    where document k (``ids[k]``) owns the next ``counts[k]`` places.  ``wide`` sends the whole
+    where document k (``ids[k]``) owns the next ``counts[k]`` places.  A frame names the documents that
+    own one of its entries, how many each, and the entries' places.  ``wide`` sends the whole
     value, otherwise the 32 bits below the fragment's prefix: enough to rule out nearly all values
     that occur once, as fragments stay equally large, if a later step compares exactly.
     """
     frag = (values >> U64(64 - bits)).astype(np.int64)
     order = np.argsort(frag.astype(np.uint16) if bits <= 16 else frag, kind="stable")
     bounds = np.searchsorted(frag[order], np.arange((1 << bits) + 1))
-    head = planes(_deltas(ids.astype(np.int64))) + planes(counts.astype(np.uint32))
-    head = np.int64(len(ids)).tobytes() + head
     rest = values if wide else ((values << U64(bits)) >> U64(32)).astype(np.uint32)
+    ends = np.cumsum(counts)
+    who = np.searchsorted(ends, entry[order], side="right")
+    place = (entry[order] - (ends - counts)[who]).astype(np.uint32)
+    # Where a document begins in a frame, over all frames at once.
+    new = np.ones(len(order), bool)
+    new[1:] = who[1:] != who[:-1]
+    new[bounds[:-1][bounds[:-1] < len(order)]] = True
+    gap = place.copy()
+    gap[1:][~new[1:]] -= place[:-1][~new[1:]]
+    first = np.flatnonzero(new)
+    at = np.searchsorted(first, bounds)
+    each = np.diff(np.r_[first, len(order)]).astype(np.uint32)
+    owners, rest, flags = ids[who[first]].astype(np.int64), rest[order], flags[order]
     rows = ([], [], [], [])
-    for f in range(1 << bits):
-        a, b = bounds[f], bounds[f + 1]
-        if a == b:
-            continue
-        own = order[a:b]
+    for f in np.flatnonzero(np.diff(bounds)).tolist():
+        a, b, x, y = bounds[f], bounds[f + 1], at[f], at[f + 1]
         rows[0].append(f)
-        rows[1].append(head + planes(_deltas(entry[own].astype(np.uint32))))
-        rows[2].append(np.packbits(flags[own]).tobytes())
-        rows[3].append(planes(rest[own]))
+        rows[1].append(np.int64(y - x).tobytes() + planes(_deltas(owners[x:y])) + planes(each[x:y]) + planes(gap[a:b]))
+        rows[2].append(np.packbits(flags[a:b]).tobytes())
+        rows[3].append(planes(rest[a:b]))
     return pa.RecordBatch.from_arrays(
         [pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
         ["frag", "batch", "flags", "rests"])
@@ -110,16 +120,15 @@ def unpack(rows: list[tuple[bytes, bytes, bytes]], wide: bool):
     base = 0
     for batch, flag, rest in rows:
         n = int(np.frombuffer(batch, np.int64, 1)[0])
-        own = np.cumsum(unplanes(batch[8:8 + 8 * n], np.int64))
-        counts = unplanes(batch[8 + 8 * n:8 + 12 * n], np.uint32)
-        entry = np.cumsum(unplanes(batch[8 + 12 * n:], np.uint32).astype(np.int64))
-        ends = np.cumsum(counts.astype(np.int64))
-        who = np.searchsorted(ends, entry, side="right")
+        each = unplanes(batch[8 + 8 * n:8 + 12 * n], np.uint32).astype(np.int64)
+        total = np.cumsum(unplanes(batch[8 + 12 * n:], np.uint32).astype(np.int64))
+        first = np.cumsum(each) - each
+        before = np.where(first > 0, total[first - 1], 0)
         rests.append(unplanes(rest, np.uint64 if wide else np.uint32))
-        flags.append(np.unpackbits(np.frombuffer(flag, np.uint8), count=len(entry)).astype(bool))
-        place.append((entry - (ends - counts)[who]).astype(np.int32))
-        owner.append((who + base).astype(np.int32))
-        ids.append(own)
+        flags.append(np.unpackbits(np.frombuffer(flag, np.uint8), count=len(total)).astype(bool))
+        place.append((total - np.repeat(before, each)).astype(np.int32))
+        owner.append((np.repeat(np.arange(n), each) + base).astype(np.int32))
+        ids.append(np.cumsum(unplanes(batch[8:8 + 8 * n], np.int64)))
         base += n
     cat = np.concatenate
     return cat(rests), cat(flags), cat(owner), cat(place), cat(ids)

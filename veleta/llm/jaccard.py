@@ -2,13 +2,15 @@
 
 The shingles of a document are ordered by their 64-bit value and that order is cut into fragments.
 Each fragment counts, apart from the others, which documents share its shingles; the partial counts
-are summed per document (how many of its shingles can match at all) and per pair (its overlap).
-
-Only groups are wanted, so members that are already connected need not meet again: documents
-are first compared with one leader of their neighbourhood, groups are merged, and only
-documents that still share enough shingles with other groups go on; at last every pair of those in different
-groups that agrees in some fragment is counted.  (If two sets have a Jaccard similarity of at least
-t, they have it in at least one fragment.)
+are summed per document (how many of its shingles can match at all, and how rare they are) and, where
+documents meet, per pair (its overlap).
+
+Only groups are wanted, so no row is ever made for a pair.  Of two sets that link, the first
+n - need(n) + 1 shingles in rare-first order have one in common; documents are joined into blocks over
+these.  A block is compared inside a task, or for a large block inside tasks for pairs of its parts: overlaps
+add up fragment by fragment until a pair cannot reach what it needs, and a task gives only links that
+join two groups, fewer than it has documents.  In a large block the document with the fewest
+shingles of its own goes first; only documents that do not link to it are compared with the rest.
 """
 
 from __future__ import annotations
@@ -19,11 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from veleta.llm import frames
-from veleta.llm.common import U64, arrow_map, mix, octets, parts, raw_texts, release, stored, window_hashes, word_hashes
+from veleta.llm.common import U64, arrow_map, octets, parts, raw_texts, release, stored, window_hashes, word_hashes
 from veleta.llm.components import roots
-from veleta.llm.substrings import GATHER, NO_ID, SENT, _Gatherer, _keyed, _with
+from veleta.llm.substrings import GATHER, NO_ID, SENT, _Gatherer, _keyed
 
 PERCENT = 75
+BLOCK_ROWS = 2048          # documents that meet in one task (twice as many where two parts meet)
+BLOCK_SHINGLES = 1 << 21   # and their shingles
+FRAGMENTS = 8              # steps in which a task adds overlaps up
 
 
 def shingles(text: bytes, size: int = 5) -> np.ndarray:
@@ -39,18 +44,22 @@ def need(n):
     return (PERCENT * n + 99) // 100
 
 
+def _signature(s: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(s.tobytes())
+
+
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(id, n, s1, s2): size and 128-bit signature of every document's set."""
+    """(id, text_hash, n, s1, s2): size and 128-bit signature of every document's set."""
     def run(batches):
         for b in batches:
-            found = [shingles(t, size) for t in raw_texts(b.column("text"))]
-            sign = [xxhash.xxh3_128_digest(s.tobytes()) for s in found]
-            half = np.frombuffer(b"".join(sign), np.int64).reshape(-1, 2)
+            texts = raw_texts(b.column("text"))
+            found = [shingles(t, size) for t in texts]
+            half = np.frombuffer(b"".join(map(_signature, found)), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([len(s) for s in found], pa.int64()),
-                 pa.array(half[:, 0]), pa.array(half[:, 1])], ["id", "n", "s1", "s2"])
+                [b.column("id"), pa.array(word_hashes(texts).view(np.int64)), pa.array([len(s) for s in found], pa.int64()),
+                 pa.array(half[:, 0]), pa.array(half[:, 1])], ["id", "text_hash", "n", "s1", "s2"])
 
-    return arrow_map(docs, run, "id long, n long, s1 long, s2 long")
+    return arrow_map(docs, run, "id long, text_hash long, n long, s1 long, s2 long")
 
 
 def _sharing(docs: DataFrame, size: int) -> DataFrame:
@@ -100,216 +109,268 @@ def _sharing(docs: DataFrame, size: int) -> DataFrame:
     return arrow_map(laid, meet, "id long, shared long").groupBy("id").agg(F.sum("shared").alias("shared"))
 
 
-def _cut(state: DataFrame, bits: int, worker, schema: str, narrow: bool = False) -> DataFrame:
-    """Cut (id, n, group, partners, set) into fragments and let ``worker`` see each fragment whole;
-    ``narrow`` sends 32 bits of a shingle, which is enough where a bound is counted."""
-    kind = np.uint32 if narrow else np.uint64
-
+def _profile(state: DataFrame, bits: int) -> DataFrame:
+    """(id, df, values): of every fragment a document has shared shingles in, these shingles and in how
+    many documents each occurs."""
     def cut(batches):
+        held, n = [], 0
         for b in batches:
-            out = ([], [], [], [], [], [])
-            for doc, n, group, partners, raw in zip(*(c.to_pylist() for c in b.columns)):
-                s = np.frombuffer(raw, np.uint64)
-                frag = (s >> U64(64 - bits)).astype(np.int64)
-                if narrow:
-                    s = (s << U64(bits) >> U64(32)).astype(np.uint32)
-                at = np.searchsorted(frag, np.arange((1 << bits) + 1)) if len(s) > 1 << bits else None
-                kinds = range(1 << bits) if at is not None else np.unique(frag).tolist()
-                for f in kinds:
-                    a, z = (at[f], at[f + 1]) if at is not None else np.searchsorted(frag, [f, f + 1])
-                    if a < z:
-                        for column, value in zip(out, (f, doc, n, group, partners, s[a:z].tobytes())):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.list_(pa.int64())), pa.array(out[5], pa.binary())],
-                ["frag", "id", "n", "grp", "partners", "set"])
+            for doc, raw in zip(b.column("id").to_pylist(), b.column("set").to_pylist()):
+                held.append((doc, np.frombuffer(raw, np.uint64)))
+                n += len(held[-1][1])
+                if n >= GATHER:
+                    yield send(held)
+                    held, n = [], 0
+        if held:
+            yield send(held)
+
+    def send(held):
+        counts = np.array([len(s) for _, s in held], np.int64)
+        values = np.concatenate([s for _, s in held])
+        return frames.pack(values, np.arange(len(values)), np.zeros(len(values), bool),
+                           np.array([doc for doc, _ in held], np.int64), counts, bits, True)
 
-    def work(batches):
+    def meet(batches):
         for _, rows in frames.by_fragment(batches):
-            yield from worker([(*r[:4], np.frombuffer(r[4], kind)) for r in rows])
-
-    state = state.select("id", "n", "grp", "partners", "set")
-    cuts = arrow_map(state, cut, "frag int, id long, n long, grp long, partners array<long>, set binary")
-    laid = cuts.repartition(max(parts(state), 1 << bits), "frag").sortWithinPartitions("frag")
-    return arrow_map(laid, work, schema)
-
-
-def _arrays(rows):
-    ids, n, group = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-    cuts = [r[4] for r in rows]
-    size = np.array([len(c) for c in cuts], np.int64)
-    return ids, n, group, cuts, size, np.concatenate(cuts), np.repeat(np.arange(len(rows)), size)
+            values, _, owner, _, ids = frames.unpack(rows, True)
+            order, starts, run = frames.runs(values)
+            df = np.diff(np.r_[starts, len(order)])[run]
+            own = order[df > 1]
+            by = np.argsort(owner[own], kind="stable")
+            own, df = own[by], df[df > 1][by].astype(np.uint32)
+            first = np.flatnonzero(np.r_[True, np.diff(owner[own]) > 0]) if len(own) else np.empty(0, np.int64)
+            ends = [*first[1:].tolist(), len(own)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[owner[own[first]]]), pa.array([df[a:z].tobytes() for a, z in zip(first, ends)], pa.binary()),
+                 pa.array([values[own[a:z]].tobytes() for a, z in zip(first, ends)], pa.binary())], ["id", "df", "values"])
 
+    sent = arrow_map(state.select("id", "set"), cut, frames.FRAME)
+    laid = sent.repartition(max(parts(sent), min(1 << bits, 1 << 16)), "frag").sortWithinPartitions("frag")
+    return arrow_map(laid, meet, "id long, df binary, values binary")
 
-def _near_size(a, b):
-    return 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
 
+def _probes(state: DataFrame, bits: int) -> DataFrame:
+    """(id, shared, keys): how many shingles a document shares with others at all, and its first shared
+    shingles in rare-first order; documents that share too few are left out."""
+    def choose(batches):
+        for b in batches:
+            out = ([], [], [])
+            for doc, n, df, values in zip(*(c.to_pylist() for c in b.columns)):
+                df, values = np.frombuffer(b"".join(df), np.uint32), np.frombuffer(b"".join(values), np.uint64)
+                take = len(values) - need(n) + 1
+                if take > 0:
+                    first = values[np.lexsort((values, df))[:take]]
+                    for column, value in zip(out, (doc, len(values), first.view(np.int64))):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
+                                              pa.array(out[2], pa.list_(pa.int64()))], ["id", "shared", "keys"])
 
-PAIRS = "id long, partner long, n long"
+    # Both lists come from the same rows in the same order.
+    both = _profile(state, bits).groupBy("id").agg(F.collect_list(F.struct("df", "values")).alias("x"))
+    rows = both.join(state.select("id", "n"), "id").select("id", "n", F.col("x.df").alias("df"), F.col("x.values").alias("values"))
+    return arrow_map(rows, choose, "id long, shared long, keys array<long>")
 
 
-def _pairs(id_, partner, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(id_, pa.int64()), pa.array(partner, pa.int64()),
-                                       pa.array(n, pa.int64())], ["id", "partner", "n"])
+def _blocks(probes: DataFrame) -> DataFrame:
+    """Stored (node, root): documents that are connected over common keys of ``probes``."""
+    keys = probes.select("id", F.explode("keys").alias("key"))
+    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last")
+    # A key of very many documents is one row of ``hubs``; the adaptive planner splits its other side.
+    return roots(keys.join(hubs, "key").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
 
 
-def _leaders(seed: int):
-    """Per fragment: how many shingles a document shares with other groups, and its votes for leaders.
+class _Groups:
+    """Which documents of a task are known to be connected."""
 
-    Of the documents with a shingle, the first by a random order leads; the first of another group
-    leads its own group."""
-    def worker(rows):
-        ids, n, group, _, _, values, owner = _arrays(rows)
-        order, starts, run = frames.runs(values)
-        who = owner[order]
-        by = np.argsort(mix(ids.astype(np.uint64) ^ U64(seed)), kind="stable")
-        rank = np.empty(len(ids), np.int64)
-        rank[by] = np.arange(len(ids))
-        lead = by[np.minimum.reduceat(rank[who], starts)]
-        far = len(ids)
-        other = np.minimum.reduceat(np.where(group[who] != group[lead[run]], rank[who], far), starts)
-        many = other < far
-        other = by[np.minimum(other, far - 1)]
-        own = many[run]
-        shared = np.bincount(who[own], minlength=len(ids))
-        some = shared > 0
-        yield _pairs(ids[some], pa.nulls(int(some.sum()), pa.int64()), shared[some])
-        x, r = who[own], run[own]
-        p = np.where(group[x] != group[lead[r]], lead[r], other[r])
-        ok = _near_size(n[x], n[p])
-        code, votes = np.unique(x[ok] * len(ids) + p[ok], return_counts=True)
-        yield _pairs(ids[code // len(ids)], ids[code % len(ids)], votes)
+    def __init__(self, group: np.ndarray):
+        self.of = np.unique(group, return_inverse=True)[1]
+        self.size = np.bincount(self.of)
 
-    return worker
+    def join(self, x: int, y: int) -> None:
+        a, b = self.of[x], self.of[y]
+        if self.size[a] < self.size[b]:
+            a, b = b, a
+        self.of[self.of == b] = a
+        self.size[a] += self.size[b]
+        self.size[b] = 0
 
 
-def _agreeing(rows):
-    """Per fragment: the pairs of different groups whose cuts have the similarity asked for.
+def spanning_links(ids: np.ndarray, n: np.ndarray, group: np.ndarray, side: np.ndarray, cuts: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect all groups of documents that links connect, at most one less than documents.
 
-    A document counts its shared shingles with all others at once; of two groups the smaller one
-    counts, so members of one large group do not count each other.
+    With two sides only documents of different sides are compared.  A document is compared with all of
+    other groups at once: the fragments of the shingle order add to the overlaps one after the other, and
+    a pair drops out as soon as what is left cannot make up what it needs.
     """
-    ids, n, group, cuts, size, values, owner = _arrays(rows)
-    order, starts, run = frames.runs(values)
-    who, ends = owner[order], np.r_[starts[1:], len(order)]
-    run_of = np.empty(len(values), np.int64)
+    m = len(ids)
+    size = np.array([len(c) for c in cuts], np.int64)
+    owner = np.repeat(np.arange(m), size)
+    order, starts, run = frames.runs(np.concatenate(cuts))
+    count = np.diff(np.r_[starts, len(order)])
+    who = owner[order]
+    run_of = np.empty(len(order), np.int64)
     run_of[order] = run
-    first = np.r_[0, np.cumsum(size)]
-    _, code, members = np.unique(group, return_inverse=True, return_counts=True)
-    rank = np.argsort(np.argsort(members, kind="stable"), kind="stable")[code]   # larger groups later
-    for x in range(len(ids)):
-        own = run_of[first[x]:first[x + 1]]
-        own = own[ends[own] - starts[own] > 1]
-        if rank[x] == len(members) - 1 or not len(own):
-            continue
-        same = np.bincount(np.concatenate([who[starts[r]:ends[r]] for r in own.tolist()]), minlength=len(ids))
-        y = np.flatnonzero(same)
-        y = y[(rank[y] > rank[x]) & _near_size(n[y], n[x])]
-        y = y[100 * same[y] >= PERCENT * (size[x] + size[y] - same[y])]
-        if len(y):
-            yield _pairs(np.full(len(y), ids[x]), ids[y], same[y])
-
-
-def _overlaps(rows):
-    """Per fragment: the partial overlap of every document with its partners."""
-    at = {r[0]: r[4] for r in rows}
-    out = ([], [], [])
-    for doc, _, _, partners, _ in rows:
-        for p in partners or ():
-            if p in at:
-                same = len(np.intersect1d(at[doc], at[p], assume_unique=True))
-                if same:
-                    for column, value in zip(out, (doc, p, same)):
-                        column.append(value)
-    yield _pairs(*out)
-
-
-def link_groups(docs: DataFrame, size: int = 5, leader_rounds: int = 3) -> tuple[DataFrame, DataFrame]:
-    """((id, n, s1, s2) of all documents, (node, root) of joined set representatives)."""
+    shared = count[run_of] > 1
+    held, own_runs = np.r_[0, np.cumsum(np.bincount(owner[shared], minlength=m))], run_of[shared]
+    groups, links, done = _Groups(group), [], np.zeros(m, bool)
+    two = bool(side.any()) and not side.all()
+
+    def compare(x: int) -> None:
+        left = int(held[x + 1] - held[x])
+        wanted = (PERCENT * (n[x] + n) + 99 + PERCENT) // (100 + PERCENT)
+        alive = (groups.of != groups.of[x]) & ~done & (100 * np.minimum(n, n[x]) >= PERCENT * np.maximum(n, n[x]))
+        if two:
+            alive &= side != side[x]
+        alive &= wanted <= left
+        same = np.zeros(m, np.int64)
+        for part in np.array_split(own_runs[held[x]:held[x + 1]], max(1, min(FRAGMENTS, left // 16))):
+            if not alive.any():
+                break
+            k = count[part]
+            at = np.arange(int(k.sum())) + np.repeat(starts[part] - (np.cumsum(k) - k), k)
+            same += np.bincount(who[at], minlength=m)
+            left -= len(part)
+            alive &= same + left >= wanted
+        for y in np.flatnonzero(alive).tolist():
+            if groups.of[y] != groups.of[x]:
+                groups.join(x, y)
+                links.append((int(ids[x]), int(ids[y])))
+
+    # First who has the fewest shingles of its own: it is the likeliest to link to many.
+    open_ = np.argsort(n - np.diff(held), kind="stable")
+    if two:
+        for x in open_[side[open_] == 0].tolist():
+            compare(x)
+        return links
+    while len(open_):
+        for x in open_.tolist():
+            # Members of the largest group wait: whoever is outside it compares itself with them.
+            if groups.size[groups.of[x]] == 1 or groups.of[x] != groups.size.argmax():
+                compare(x)
+                done[x] = True
+        rest = np.flatnonzero(~done)
+        open_ = rest[groups.of[rest] != groups.size.argmax()]
+    return links
+
+
+MEMBER = "id long, n long, grp long, side int, set binary"
+
+
+def _meet(rows: DataFrame) -> DataFrame:
+    """(a, b): the spanning links of every task of ``rows(block, x, y, id, n, grp, side, set)``."""
+    def work(batches):
+        for _, members in frames.by_fragment(batches):
+            if len(members) > 1:
+                ids, n, group = (np.array([r[k] for r in members], np.int64) for k in range(3))
+                links = spanning_links(ids, n, group, np.array([r[3] for r in members]),
+                                       [np.frombuffer(r[4], np.uint64) for r in members])
+                if links:
+                    a, b = zip(*links)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    rows = rows.select(F.struct("block", "x", "y").alias("task"), "id", "n", "grp", "side", "set")
+    laid = rows.repartition(F.col("task.block"), F.col("task.x"), F.col("task.y")).sortWithinPartitions("task", "id")
+    flat = laid.select(F.concat_ws(",", "task.block", "task.x", "task.y").alias("task"), "id", "n", "grp", "side", "set")
+    return arrow_map(flat, work, "a long, b long")
+
+
+def _links(members: DataFrame) -> DataFrame:
+    """Stored (a, b) links that connect what links connect, of ``members(block, id, n, shared, set)``."""
+    pieces = lambda rows, shingles: F.ceil(F.greatest(rows / BLOCK_ROWS, shingles / BLOCK_SHINGLES)).cast("int")
+    whole = members.groupBy("block").agg(pieces(F.count(F.lit(1)), F.sum("n")).alias("p"),
+                                         F.min_by("id", F.struct(F.col("n") - F.col("shared"), F.col("id"))).alias("leader"))
+    rows = members.join(whole, "block")
+    zero = F.lit(0)
+    near = stored(_meet(rows.filter("p = 1").select("block", zero.alias("x"), zero.alias("y"), "id", "n", F.col("id").alias("grp"),
+                                                    zero.alias("side"), "set")), "links")
+    large = rows.filter("p > 1")
+    if large.isEmpty():
+        return near
+    # The leader of a large block is sent to each of its parts.
+    part = F.when(F.col("id") == F.col("leader"), F.sequence(zero, F.col("p") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), "p").cast("int")))
+    star = stored(_meet(large.select("block", F.explode(part).alias("x"), zero.alias("y"), "id", "n", F.col("id").alias("grp"),
+                                     F.when(F.col("id") == F.col("leader"), 0).otherwise(1).alias("side"), "set")), "links")
+    linked = star.select(F.greatest("a", "b").alias("p1"), F.least("a", "b").alias("p2"))
+    linked = linked.select(F.explode(F.array("p1", "p2")).alias("id")).distinct().withColumn("closed", F.lit(True))
+    rest = large.join(linked, "id", "left").withColumn("closed", F.col("closed").isNotNull())
+    sizes = rest.groupBy("block").agg(
+        F.coalesce(pieces(F.count_if(~F.col("closed")), F.sum(F.when(~F.col("closed"), F.col("n")))), zero).alias("po"),
+        F.coalesce(pieces(F.count_if("closed"), F.sum(F.when(F.col("closed"), F.col("n")))), zero).alias("pc"))
+    rest = rest.drop("p").join(sizes, "block").filter("po > 0")
+    slot = F.pmod(F.xxhash64("id"), F.when(F.col("closed"), F.col("pc")).otherwise(F.col("po"))).cast("int")
+    rest = rest.withColumn("slot", F.when(F.col("closed"), F.col("po")).otherwise(0) + slot)
+    cell = lambda x, y, side: F.struct(x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
+    slot = F.col("slot")
+    # Part x (never of closed ones) against part y: all pairs of different parts, and open parts with themselves.
+    up = F.when(~F.col("closed"), F.transform(F.sequence(slot, F.col("po") + F.col("pc") - 1), lambda y: cell(slot, y, 0)))
+    down = F.transform(F.filter(F.sequence(zero, F.col("po")), lambda x: (x < slot) & (x < F.col("po"))), lambda x: cell(x, slot, 1))
+    tasks = F.explode(F.concat(F.coalesce(up, F.array().cast("array<struct<x:int,y:int,side:int>>")), down)).alias("t")
+    group = F.when(F.col("closed"), F.col("leader")).otherwise(F.col("id")).alias("grp")
+    far = stored(_meet(rest.select("block", tasks, "id", "n", group, "set")
+                       .select("block", "t.x", "t.y", "id", "n", "grp", "t.side", "set")), "links")
+    out = stored(near.unionByName(star).unionByName(far), "links")
+    release(near, star, far)
+    return out
+
+
+def link_groups(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(all rows (id, text_hash, n, s1, s2), their classes (s1, s2, n, id, node, grp)).
+
+    A class holds the rows with one set of shingles, ``id`` is its smallest id; classes with the same
+    ``grp`` are connected by links.  Both tables are stored.
+    """
     sets = stored(_sets(docs, size), "sets")
     docs = docs.filter(F.col("id") != NO_ID)
-    first = sets.filter((F.col("n") > 0) & (F.col("id") != NO_ID)).groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first("n").alias("n"),
-                                                         F.count(F.lit(1)).alias("copies"))
-    # A document goes on if it may link; of equal sets only the smallest id does.
+    classes = stored(sets.filter((F.col("n") > 0) & (F.col("id") != NO_ID)).groupBy("s1", "s2")
+                     .agg(F.min("id").alias("id"), F.first("n").alias("n")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    # A class goes on if it may link.
     least = F.greatest(F.lit(1), F.floor(F.expr(f"15 * floor({PERCENT} * n / 100) / 100")))
     share = _sharing(docs, size)
     # Copies of a set are skipped inside a batch, so any member may carry the count.
-    fate = (sets.join(share, "id").groupBy("s1", "s2").agg(F.max("shared").alias("shared")))
-    open_ids = (first.join(fate, ["s1", "s2"]).filter(F.col("shared") >= least).select("id", "n"))
+    fate = sets.join(share, "id").groupBy("s1", "s2").agg(F.max("shared").alias("shared"))
+    chosen = classes.join(fate, ["s1", "s2"]).filter(F.col("shared") >= least).select("id", "node", "s1", "s2")
 
     def full(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("n"),
-                 pa.array([shingles(t, size).tobytes() for t in raw_texts(b.column("text"))], pa.binary())],
-                ["id", "n", "set"])
-
-    chosen = docs.join(open_ids, "id").select("id", "n", "text").dropDuplicates(["id"])
-    state = stored(arrow_map(chosen, full, "id long, n long, set binary").withColumn("grp", F.col("id")), "shingles")
-    tokens = state.agg(F.sum("n")).first()[0] or 0
-    bits = frames.fragment_bits(tokens, least=5, target=1 << 20)
-    groups = stored(state.select("id", "grp"), "groups")
-    none = F.lit(None).cast("array<long>")
-    for step in range(leader_rounds + 1):
-        votes = stored(_cut(state.withColumn("partners", none), bits, _leaders(step + 1), PAIRS, narrow=True)
-                       .groupBy("id", "partner").agg(F.sum("n").alias("votes")), "votes")
-        # Who shares too little with other groups can never link to one: groups only grow.
-        still = (votes.filter("partner is null").join(state.select("id", "n", "grp"), "id")
-                 .filter(F.col("votes") >= F.expr(f"floor(({PERCENT} * n + 99) / 100)")).select("id", "n", "grp"))
-        if step < leader_rounds:
-            pairs = (votes.filter("partner is not null").join(still.select("id"), "id").groupBy("id")
-                     .agg(F.max_by("partner", F.struct("votes", "partner")).alias("partner")))
-        else:
-            rest = state.join(still.select("id"), "id").withColumn("partners", none)
-            pairs = _cut(rest, bits, _agreeing, PAIRS).select("id", "partner").distinct()
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            # No candidate does not mean no link: one leader may be of the wrong size for all it leads.
-            last = None if step == leader_rounds or still.isEmpty() else state
-            if last is not None:
-                state = stored(last.drop("grp").join(still.select("id", "grp"), "id"), "shingles")
-                release(last)
-            release(votes, pairs)
-            if last is None:
-                break
-            continue
-        asks = (pairs.unionByName(pairs.select(F.col("partner").alias("id"), F.lit(None).cast("long").alias("partner")))
-                .groupBy("id").agg(F.collect_list("partner").alias("partners")))
-        overlap = (_cut(state.join(asks, "id"), bits, _overlaps, PAIRS)
-                   .groupBy("id", "partner").agg(F.sum("n").alias("same")))
-        mine = state.select("id", "n", F.col("grp").alias("a"))
-        other = state.select(F.col("id").alias("partner"), F.col("n").alias("m"), F.col("grp").alias("b"))
-        linked = (overlap.join(mine, "id").join(other, "partner")
-                  .filter(F.expr(f"100 * same >= {PERCENT} * (n + m - same)")).select("a", "b"))
-        moved = roots(linked)
-        root_of = moved.withColumnRenamed("node", "grp")
-        now = lambda g: g.join(root_of, "grp", "left").select("id", F.coalesce("root", "grp").alias("grp"))
-        last, groups = groups, stored(now(groups), "groups")
-        release(last)
-        if step < leader_rounds:
-            last, state = state, stored(state.drop("grp").join(now(still.select("id", "grp")), "id"), "shingles")
-            release(last)
-        release(votes, pairs, moved)
-    release(state)
-    return sets, groups
-
-
-def join(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            out = ([], [], [])
+            for node, s1, s2, text in zip(*(b.column(c).to_pylist() for c in ("node", "s1", "s2")), raw_texts(b.column("text"))):
+                s = shingles(text, size)
+                if np.frombuffer(_signature(s), np.int64).tolist() == [s1, s2]:   # not another text with the id
+                    for column, value in zip(out, (node, len(s), s.tobytes())):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
+                                             ["id", "n", "set"])
+
+    texts = (docs.join(chosen, "id").withColumn("h", F.xxhash64("text")).dropDuplicates(["id", "node", "h"])
+             .select("node", "s1", "s2", "text"))
+    state = stored(arrow_map(texts, full, "id long, n long, set binary"), "shingles")
+    bits = frames.fragment_bits(state.agg(F.sum("n")).first()[0] or 0, least=5, target=1 << 20)
+    probes = stored(_probes(state, bits), "probes")
+    blocks = _blocks(probes)
+    of = blocks.unionByName(blocks.select(F.col("root").alias("node"), "root").distinct()).select(F.col("node").alias("id"), F.col("root").alias("block"))
+    members = stored(state.join(of, "id").join(probes.select("id", "shared"), "id"), "members")
+    links = _links(members)
+    moved = roots(links)
+    grouped = stored(classes.join(moved, "node", "left").withColumn("grp", F.coalesce("root", "node")).drop("root"), "groups")
+    release(classes, state, probes, blocks, members, links, moved)
+    return sets, grouped
+
+
+def join(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", keep_group: bool = False) -> DataFrame:
     """Per row: id, n_shingles and component_id, the smallest id reachable over links; two documents
-    link at a Jaccard similarity of 0.75 or more of their sets of ``size``-word shingles.
-
-    Equal sets form one class and only its smallest id is compared; links between classes are
-    exact.  Null, empty and blank texts have no shingle and stand alone; texts of fewer words are
-    one shingle.  A row without id links with nothing and has no component.  Rows that repeat an id with
-    the same text get the same result (an id should not stand for different texts).
-    An empty table gives an empty one; other columns are ignored.
+    link at a Jaccard similarity of 0.75 or more of their sets of ``size``-word shingles.  With
+    ``keep_group`` also text_hash (64 bits of the text) and grp (one value per component).
+
+    Equal sets form one class that is compared once; links between classes are exact.  Null, empty and
+    blank texts have no shingle and stand alone; texts of fewer words are one shingle.  A row without id
+    links with nothing and has no component.  Rows that repeat an id are documents of their own: the same
+    text gives the same result, different texts are linked by their shingles only.  Very long texts
+    are compared whole.  An empty table gives an empty one; other columns are ignored.
     """
-    sets, groups = link_groups(_keyed(docs, id_col, text_col), size)
-    first = sets.filter((F.col("n") > 0) & (F.col("id") != NO_ID)).groupBy("s1", "s2").agg(F.min("id").alias("rep"))
-    root = first.join(groups.select(F.col("id").alias("rep"), "grp"), "rep", "left").select(
-        F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("grp", "rep").alias("root"))
-    out = sets.join(root, (F.col("id") != NO_ID) & (F.col("n") > 0) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
+    sets, classes = link_groups(_keyed(docs, id_col, text_col), size)
+    least = classes.groupBy("grp").agg(F.min("id").alias("least"))
+    found = classes.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), "grp").join(least, "grp")
+    out = sets.join(found, (F.col("id") != NO_ID) & (F.col("n") > 0) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
     real = lambda c: F.when(c != NO_ID, c)
     return out.select(real(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
-                      real(F.coalesce("root", "id")).alias("component_id"))
+                      real(F.coalesce("least", "id")).alias("component_id"), *(["text_hash", "grp"] if keep_group else []))

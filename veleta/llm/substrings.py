@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veleta.llm import frames
-from veleta.llm.common import arrow_map, octets, parts, raw_texts, window_hashes, word_hashes
+from veleta.llm.common import U64, arrow_map, mix, octets, parts, raw_texts, window_hashes, word_hashes
 
 NO_ID = -2**63     # stands for a missing id
 GATHER = 2 << 20   # values a map task gathers before it sends frames
@@ -93,23 +93,23 @@ class _Gatherer:
         by_entry = np.argsort(first)
         first = first[by_entry]
         sent = frames.pack(values[first], entry[first], any_flag[by_entry], ids, counts, self.bits, self.wide)
-        yield _with(sent, None)
+        yield _with(sent, None, self.bits)
         if len(known):
-            yield _with(None, frames.coded(ids[owner[known]], place[known]))
+            yield _with(None, frames.coded(ids[owner[known]], place[known]), self.bits)
 
 
 SENT = frames.FRAME + ", id long, places binary"
 
 
-def _with(sent: pa.RecordBatch | None, known: pa.RecordBatch | None) -> pa.RecordBatch:
-    """Rows of frames, or of places that need no exchange, in the common layout."""
+def _with(sent: pa.RecordBatch | None, known: pa.RecordBatch | None, bits: int) -> pa.RecordBatch:
+    """Rows of frames, or of places that need no exchange (dealt over all fragments), in the common layout."""
     if sent is not None:
         n = len(sent)
         return pa.RecordBatch.from_arrays(
             [*sent.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
             ["frag", "batch", "flags", "rests", "id", "places"])
     n = len(known)
-    frag = pa.array((known.column("id").to_numpy() & 63).astype(np.int32))
+    frag = pa.array((mix(known.column("id").to_numpy().astype(np.uint64)) >> U64(64 - bits)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [frag, *(pa.nulls(n, pa.binary()) for _ in range(3)), known.column("id"), known.column("places")],
         ["frag", "batch", "flags", "rests", "id", "places"])
