@@ -150,3 +150,22 @@ def test_stages_with_odd_rows(spark):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SF)
             assert out.count() <= max(1, 3 * len(rows)), name
+
+
+def test_stages_with_clashing_columns(spark):
+    """Extra columns of any name come through the two duplicate stages; texts decide, not ids alone."""
+    words = lambda p, n=40: " ".join(f"{p}{k}" for k in range(n))
+    schema = "doc_id long, text string, _null int, text_hash string, c0 int, no_text int, grp int, id long, n_removed int, n_chars int"
+    texts = [(1, words("a")), (2, words("a") + " more"), (3, words("b")), (3, words("c")), (3, words("b")), (4, None), (5, ""),
+             (6, words("d", 60)), (7, words("e", 30) + " " + words("d", 60)), (None, words("a"))]
+    docs = spark.createDataFrame([(i, t, 1, "h", 2, 3, 4, 5, 6, len(t or "")) for i, t in texts], schema)
+    one = corpus_pipeline.one_of_each(spark, docs, SF)
+    assert one.columns == docs.columns
+    assert sorted((r[0] or 0, (r[1] or "")[:2]) for r in one.collect()) == [
+        (0, "a0"), (1, "a0"), (3, "b0"), (3, "c0"), (4, ""), (5, ""), (6, "d0"), (7, "e0")]
+    cut = corpus_pipeline.without_repeats(spark, docs, SF)
+    assert cut.columns == docs.columns
+    rows = {(r["doc_id"], r["text"]): r for r in cut.collect()}
+    assert all(tuple(r)[2:9] == (1, "h", 2, 3, 4, 5, 6) for r in rows.values())
+    assert (4, None) in rows and (5, "") in rows and (7, words("e", 30) + " ") in rows
+    assert rows[(7, words("e", 30) + " ")]["n_chars"] == len(words("e", 30)) + 1

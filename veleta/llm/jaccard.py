@@ -52,14 +52,13 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     """(id, text_hash, n, s1, s2): size and 128-bit signature of every document's set."""
     def run(batches):
         for b in batches:
-            texts = raw_texts(b.column("text"))
-            found = [shingles(t, size) for t in texts]
+            found = [shingles(t, size) for t in raw_texts(b.column("text"))]
             half = np.frombuffer(b"".join(map(_signature, found)), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(word_hashes(texts).view(np.int64)), pa.array([len(s) for s in found], pa.int64()),
+                [b.column("id"), b.column("text_hash"), pa.array([len(s) for s in found], pa.int64()),
                  pa.array(half[:, 0]), pa.array(half[:, 1])], ["id", "text_hash", "n", "s1", "s2"])
 
-    return arrow_map(docs, run, "id long, text_hash long, n long, s1 long, s2 long")
+    return arrow_map(with_text_hash(docs, "text_hash"), run, "id long, text_hash long, n long, s1 long, s2 long")
 
 
 def _sharing(docs: DataFrame, size: int) -> DataFrame:
@@ -313,6 +312,11 @@ def _links(members: DataFrame) -> DataFrame:
     return out
 
 
+def with_text_hash(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with the ``text_hash`` of ``join`` as column ``name``."""
+    return docs.withColumn(name, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+
+
 def link_groups(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
     """(all rows (id, text_hash, n, s1, s2), their classes (s1, s2, n, id, node, grp)).
 
