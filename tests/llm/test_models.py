@@ -82,8 +82,11 @@ def slow_log10(model, tokens):
         a = (x[-1] @ p["query"]) @ (x @ p["key"]).T / math.sqrt(d) + p["near"][t - np.arange(begin, t + 1)]
         a = np.exp(a - a.max())
         mixed = (a / a.sum()) @ (x @ p["value"])
-        z = np.maximum(mixed @ p["out"] + x[-1] @ p["skip"] + p["bias"], 0) @ p["last"] + p["prior"]
-        total += z[model.class_of[want]] - math.log(np.exp(z).sum()) + model.inside[want]
+        h = np.maximum(mixed @ p["out"] + x[-1] @ p["skip"] + p["bias"], 0)
+        g, c = divmod(int(model.class_of[want]), attention.CLASSES)
+        for z, k in ((h @ p["last"] + p["prior"], g), (h @ p["deep"][g] + p["deep_prior"][g], c)):
+            total += z[k] - z.max() - math.log(np.exp(z - z.max()).sum())
+        total += model.inside[want]
     return total / math.log(10)
 
 
@@ -94,7 +97,7 @@ def test_model_scores(docs, fitted):
     texts = {r[0]: r[1] for r in sentences(300) + ODD}
     for r in got:
         if r["doc_id"] in (0, 1, 2, 3, 4, 5, 6, 7, 900, 901, 902, 903, 904, 906):
-            raw = ids.text((texts[r["doc_id"]] or "").encode().lower().split(), np.uint32(model.end).tobytes())
+            raw = ids.texts([(texts[r["doc_id"]] or "").encode().lower().split()], np.uint32(model.end).tobytes())[0]
             assert abs(slow_log10(model, np.frombuffer(raw, np.uint32).tolist()) - r["score"]) < 1e-3
     pairs = [r["score"] for r in got if r["doc_id"] == 905]
     assert len(pairs) == 2 and abs(pairs[0] - pairs[1]) < 1e-6
@@ -103,10 +106,19 @@ def test_model_scores(docs, fitted):
 
 def test_probabilities_sum_to_one(fitted):
     model = fitted.model
-    logits = model.class_logits(model.row_of[np.full((1, 16), model.end)], model.row_of[np.full((1, 16), model.end)], np.array([True]))
-    p = np.exp(logits[3] - logits[3].max())
-    p /= p.sum()
-    assert abs(float((p[model.class_of] * np.exp(model.inside)).sum()) - 1) < 1e-5
+    p, row = model.parameters, model.row_of[np.full((1, 16), model.end)]
+    h = model.hidden(row, row, np.array([True]))[3]
+    share = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    classes = np.concatenate([share(h @ p["last"] + p["prior"])[g] * share(h @ p["deep"][g] + p["deep_prior"][g]) for g in range(attention.GROUPS)])
+    assert abs(float((classes[model.class_of] * np.exp(model.inside)).sum()) - 1) < 1e-5
+
+
+def test_words_encoded_together_give_their_own_ids():
+    words = [w.encode() for w in ["alpha", "don't", "'s", "x\u00a0y", "\u00a0", "\u2003\u2003", "123abc", "émile", "--", "a" * 300, "<|endoftext|>", "\u200b"]]
+    ids = attention.WordIds(TOKENIZER)
+    ids.learn(words)
+    for w in words:
+        assert np.frombuffer(ids[w], np.uint32).tolist() == ids.encode(" " + w.decode())
 
 
 def test_training_helps_on_held_out_texts(docs, fitted):
@@ -123,13 +135,13 @@ def test_training_helps_on_held_out_texts(docs, fitted):
 
 def test_gradients():
     r = np.random.default_rng(1)
-    rows, classes = 30, 9
-    flat = r.normal(0, 0.3, sum(int(np.prod(s)) for s in attention.shapes(rows, classes).values())).astype(np.float64)
-    p = attention.views(flat, rows, classes)
+    rows, classes = 30, attention.GROUPS * attention.CLASSES
+    flat = r.normal(0, 0.3, sum(int(np.prod(s)) for s in attention.shapes(rows).values())).astype(np.float64)
+    p = attention.views(flat, rows)
     now, before = r.integers(0, rows, (3, 16)), r.integers(0, rows, (3, 16))
     want, real, first = r.integers(0, classes, (3, 16)), r.random((3, 16)) < 0.8, np.array([True, False, False])
     _, g = attention.gradients(p, now, before, first, want, real)
-    whole = np.concatenate([g[n].ravel() for n in attention.shapes(rows, classes)])
+    whole = np.concatenate([g[n].ravel() for n in attention.shapes(rows)])
     for k in r.integers(0, len(flat), 60):
         keep = flat[k]
         flat[k] = keep + 1e-4
