@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from checks.core import CONCEPTS, TOKENS, Views, big, check, r6
+from veleta.functions.text import tokens
 from veleta.operators import concepts as C, features as X
 from veleta.session import scratch
 from veleta.sources.tables import read_concepts
@@ -72,10 +73,23 @@ def _hard(v: Views) -> tuple[DataFrame, DataFrame]:
 
 @check("concept_counts_joined", f"with h as (select id, {_HARD_HITS} from ({_HARD_POSTS}) p) {_HARD_LONG}")
 def concept_counts_joined(v: Views) -> DataFrame:
-    """Long form: candidates by keyword, then the concept's pattern."""
+    """Long form: every synonym by its first word, confirmed where it stands."""
     return C.concept_counts(*_hard(v))
 
 
+@check("concept_counts_large", f"""
+with d as (select distinct substr(tok, 1, 1) as concepto, tok as sinonimo from (select unnest({TOKENS.format("text")}) as tok from benchmark) b where tok <> ''),
+t as (select id, unnest({TOKENS.format('titulo')}) as tok, 1 as ti, 0 as tx from silver
+  union all select id, unnest({TOKENS.format('texto')}), 0, 1 from silver)
+select id, concepto, cast(sum(ti) as bigint) as n_titulo, cast(sum(tx) as bigint) as n_texto
+from t join d on tok = sinonimo group by 1, 2""")
+def concept_counts_large(v: Views) -> DataFrame:
+    """A dictionary that grows with a table: every word of the benchmark, by its first letter."""
+    word = F.explode(F.array_distinct(tokens(F.col("text"))))
+    d = v.table("benchmark").select(word.alias("sinonimo")).filter("sinonimo <> ''").distinct()
+    return C.concept_counts(v.silver(), d.select(F.substring("sinonimo", 1, 1).alias("concepto"), "sinonimo"))
+
+
 @check("concept_phrases", f"with h as (select id, {_HARD_HITS} from ({_HARD_POSTS}) p) {_HARD_LONG}")
 def concept_phrases(v: Views) -> DataFrame:
     """The in-row route that the wide features use, unpivoted."""

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import pandas as pd
@@ -127,6 +128,27 @@ def test_concept_symbols_and_overlaps(spark):
     assert sorted(map(tuple, C.concept_counts(p, d).collect())) == want == in_row(p, d)
 
 
+def test_concept_matcher_on_random_texts(spark):
+    """Nested, touching, symbol-only and blank-edged synonyms against one pattern per concept."""
+    r = random.Random(8)
+    pieces = ["a", "b", "ab", "é", "+", "-", ".", " ", "  ", "\n", "a b", "a-b", "\u00a0"]
+    text = lambda n: "".join(r.choice(pieces) for _ in range(r.randint(0, n)))
+    for trial in range(3):
+        d = [(f"c{r.randrange(4)}", text(4)) for _ in range(14)] + ([("c0", " a"), ("c1", "b ")] if trial else [])
+        d = spark.createDataFrame([x for x in d if x[1].strip()], "concepto string, sinonimo string")
+        p = spark.createDataFrame([(i, text(25), text(40)) for i in range(40)], "id bigint, titulo string, texto string")
+        assert sorted(map(tuple, C.concept_counts(p, d).collect())) == in_row(p, d)
+
+
+def test_concept_matcher_has_one_plan_for_all_dictionaries(spark):
+    """50,000 synonyms: the plan has the steps of a plan for two, and the text is read once."""
+    few = spark.createDataFrame([("a", "ia"), ("b", "machine learning")], "concepto string, sinonimo string")
+    some, many = (spark.range(n).selectExpr("'c' || id % 700 as concepto", "'palabra ' || id as sinonimo").unionByName(few) for n in (5, 50_000))
+    size = lambda d: len(C.concept_counts(posts(spark), d)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(many) == size(some)
+    assert sorted(map(tuple, C.concept_counts(posts(spark), many).collect())) == sorted(map(tuple, C.concept_counts(posts(spark), few).collect()))
+
+
 def silver(spark):
     return spark.sql("""select 'p1' id, 'HOLA?' titulo, 'a  b' texto, timestamp'2024-01-07 23:10:00' fecha_creacion,
       10L puntaje, 0L total_comentarios, 0.5D ratio_upvotes, true es_adulto, false es_video, true es_texto,

@@ -77,32 +77,78 @@ def count_expressions(text: Column, concepts: dict[str, list[str]]) -> Column:
     return bind(hits, all_counts)
 
 
+FIRST = rf"^(?:{WORD}+|(?s:.))"
+
+
+def _starts(around: str, blanks: bool) -> str:
+    """Places where a synonym may begin: a word, or another character that follows no word.  White space
+    counts only where the dictionary has synonyms that begin with it."""
+    other = "(?s:[^" + WORD[1:] + ")" if blanks else SYMBOL
+    return f"(?<!{WORD}){around}(?:{WORD}+|{other})"
+
+
+def synonym_index(dictionary: DataFrame) -> DataFrame:
+    """(concepto, sinonimo, primera, largo, sencillo): the synonyms by their first word or symbol;
+    ``sencillo`` where all synonyms of the concept are single words, which cannot overlap."""
+    entries = _entries(dictionary)
+    simple = entries.groupBy("concepto").agg(F.every(F.col("sinonimo").rlike(rf"^{WORD}+$")).alias("sencillo"))
+    return entries.join(simple, "concepto").select(
+        "concepto", "sinonimo", F.regexp_extract("sinonimo", FIRST, 0).alias("primera"),
+        F.length("sinonimo").alias("largo"), "sencillo")
+
+
+def concept_matches(posts: DataFrame, dictionary: DataFrame, key: str = "id", title: str = "titulo",
+                    body: str = "texto") -> DataFrame:
+    """(id, concepto, sinonimo, campo, lugar, ocupa, largo, sencillo): every whole-word occurrence of a
+    synonym, overlapping ones too; ``campo`` is 0 for the title and 1 for the body.
+
+    A text is walked once.  At every place where a synonym may begin (numbered by ``lugar``) the
+    next characters, as many as the longest synonym has, are taken along, so a synonym found by its first word is
+    confirmed where it stands and no text is joined back.  ``ocupa`` is how many such places it covers.
+    The plan is the same for every dictionary; the engine broadcasts the index when its measured size allows it.
+    """
+    index = synonym_index(dictionary)
+    # The only two facts about the dictionary that the expressions need.
+    ahead, blanks = index.agg(F.max(F.col("largo") - F.length("primera")),
+                              F.max(F.col("sinonimo").rlike(r"^\s"))).first()
+    here = _starts("", bool(blanks))
+    ahead = 0 if not ahead else ahead + 1
+    context = _starts(rf"(?=((?:{WORD}+|(?s:.))(?s:.{{0,{ahead}}})))", bool(blanks))
+    index = index.withColumn("ocupa", F.regexp_count("sinonimo", F.lit(here)))
+    fields = F.array(*[F.struct(F.lit(i).alias("campo"), F.lower(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias("t"))
+                       for i, c in enumerate((title, body))])
+    places = (posts.select(F.col(key).alias("_id"), F.inline(fields))
+              .select("_id", "campo", F.posexplode(F.regexp_extract_all("t", F.lit(context), F.lit(1))).alias("lugar", "_texto"))
+              .withColumn("primera", F.regexp_extract("_texto", FIRST, 0) if ahead else F.col("_texto")))
+    after = F.substr("_texto", F.col("largo") + 1, F.lit(1))
+    whole = F.startswith("_texto", "sinonimo") & ~after.rlike(WORD) if ahead else F.lit(True)
+    return places.join(index, "primera").filter(whole).select(
+        F.col("_id").alias(key), "concepto", "sinonimo", "campo", "lugar", "ocupa", "largo", "sencillo")
+
+
 def concept_counts(posts: DataFrame, dictionary: DataFrame, key: str = "id",
                    title: str = "titulo", body: str = "texto") -> DataFrame:
     """(id, concepto, n_titulo, n_texto) for the concepts that occur in a post, for a dictionary
     of any size.
 
-    A concept counts its synonyms as whole words, phrases and symbols as written, the longest
-    first and without overlap.  Every synonym is indexed by one keyword; the distinct words of a
-    post are joined with these, and the concept's pattern is counted on the candidates only.
-    The engine broadcasts the index when its measured size allows it.
+    A concept counts its synonyms as whole words, phrases and symbols as written, the first place
+    first, there the longest, and without overlap.  Single words are counted as they come; only the matches
+    of concepts with phrases or symbols are gathered, per post, to drop the overlapping ones.
     """
-    entries = _entries(dictionary)
-    words = F.array_remove(tokens(F.col("sinonimo")), "")
-    longest = F.element_at(F.array_sort(words, lambda a, b: F.length(b) - F.length(a)), 1)
-    index = entries.select("concepto", F.when(F.size(words) > 0, longest).otherwise(
-        F.substring(F.trim("sinonimo"), 1, 1)).alias("_clave")).distinct()
-    quoted = F.concat(F.lit(r"\Q"), F.replace("sinonimo", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    patterns = (entries.groupBy("concepto")
-                .agg(F.sort_array(F.collect_set(F.struct((-F.length("sinonimo")).alias("l"),
-                                                         F.col("sinonimo").alias("s"), quoted.alias("q")))).alias("a"))
-                .select("concepto", F.concat(F.lit(f"(?<!{WORD})(?:"), F.array_join(F.transform("a", lambda x: x["q"]), "|"),
-                                             F.lit(f")(?!{WORD})")).alias("_patron")))
-    text = F.concat_ws("\n", title, body)
-    seen = F.array_distinct(F.concat(tokens(text), F.regexp_extract_all(text, F.lit(SYMBOL), F.lit(0))))
-    candidates = (posts.select(F.col(key).alias("_id"), F.explode(seen).alias("_clave"))
-                  .join(index, "_clave").select("_id", "concepto").distinct().join(patterns, "concepto"))
-    times = lambda c: F.regexp_count(F.lower(F.coalesce(F.col(c), F.lit(""))), F.col("_patron")).cast("bigint")
-    return (posts.select(key, title, body).join(candidates, F.col(key) == F.col("_id"))
-            .select(key, "concepto", times(title).alias("n_titulo"), times(body).alias("n_texto"))
-            .filter("n_titulo + n_texto > 0"))
+    found = concept_matches(posts, dictionary, key, title, body)
+    match = F.struct("campo", "lugar", (-F.col("largo")).alias("corto"), "ocupa")
+    hits = found.groupBy(key, "concepto").agg(
+        F.count_if(F.col("sencillo") & (F.col("campo") == 0)).alias("s0"),
+        F.count_if(F.col("sencillo") & (F.col("campo") == 1)).alias("s1"),
+        F.sort_array(F.collect_list(F.when(~F.col("sencillo"), match))).alias("m"))
+    start = F.struct(F.lit(0).alias("n0"), F.lit(0).alias("n1"), F.lit(-1).alias("campo"), F.lit(0).alias("libre"))
+
+    def step(state: Column, x: Column) -> Column:
+        free = (x["campo"] != state["campo"]) | (x["lugar"] >= state["libre"])
+        one = lambda f: F.when(free & (x["campo"] == f), 1).otherwise(0)
+        return F.struct((state["n0"] + one(0)).alias("n0"), (state["n1"] + one(1)).alias("n1"), x["campo"].alias("campo"),
+                        F.when(free, x["lugar"] + x["ocupa"]).otherwise(state["libre"]).cast("int").alias("libre"))
+
+    return (hits.withColumn("c", F.aggregate("m", start, step))
+            .select(key, "concepto", (F.col("s0") + F.col("c.n0")).cast("bigint").alias("n_titulo"),
+                    (F.col("s1") + F.col("c.n1")).cast("bigint").alias("n_texto")))
