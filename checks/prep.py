@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks.core import Views, big, check, r6, sql_basic, sql_language
 from veleta.functions.lang import language
+from veleta.operators import langmodel
 from veleta.functions.text import clean_basic, token_count
 from veleta.operators import profile
 from veleta.operators.dedup import first_by_text
@@ -47,6 +48,26 @@ def prep_filter(v: Views) -> DataFrame:
     return usable(v).select("id", big("longitud_texto").alias("longitud_texto"))
 
 
+_POINTS = "list_transform(string_split(' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}]+', ' ', 'g')) || ' ', ''), lambda c: unicode(c))"
+
+
+@check("lang_model", f"""
+with p as (select doc_id, lang, {_POINTS} as p from documents),
+t as (select doc_id, lang, unnest(list_transform(range(1, greatest(len(p) - 1, 1)), lambda i: (p[i] + 127 * p[i + 1] + 16129 * p[i + 2]) % 8192)) as b from p),
+c as (select lang, b, count(*) as n from t group by 1, 2), s as (select lang, sum(n) as total from c group by 1),
+w as (select s.lang, k.b, cast(floor(1000 * ln((coalesce(c.n, 0) + 1) / (cast(s.total as double) + 8192))) as bigint) as w
+  from s cross join (select distinct b from c) k left join c on c.lang = s.lang and c.b = k.b),
+d as (select doc_id, b, count(*) as n from t group by 1, 2),
+z as (select doc_id, w.lang, sum(n * w) as peso from d join w using (b) group by 1, 2),
+m as (select doc_id, lang, row_number() over (partition by doc_id order by peso desc, lang) as rn from z)
+select q.doc_id, coalesce(m.lang, 'und') as idioma, q.lang as real from documents q left join m on m.doc_id = q.doc_id and rn = 1""")
+def lang_model(v: Views) -> DataFrame:
+    """A model of letter triples from all documents, applied to all of them."""
+    docs = v.table("documents")
+    model = langmodel.fit(docs, "text", "lang")
+    return docs.select("doc_id", model.language(F.col("text")).alias("idioma"), F.col("lang").alias("real"))
+
+
 @check("lang_detect", f"""
 with {sql_language('con_texto', 'texto_model', 'unk')}
 select idioma.id, lengua as idioma_detectado, s.lang as real from idioma join silver s on s.id = idioma.id""")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veleta.operators import ab, concepts as C, evaluate as E, features as X, labels as L
-from veleta.operators import ontology as O, profile, questions as Q, ranks, triples as T
+from veleta.operators import langmodel, ontology as O, profile, questions as Q, ranks, triples as T
 from veleta.operators.dedup import dedup_report, first_by_text, latest_by_key
 from veleta.functions import vocab as V
 
@@ -329,3 +329,29 @@ def test_token_sample_leaves_rows_without_key_to_the_end(spark):
         tokens = F.when(F.col("k").isNull(), 9).otherwise(1)
         assert profile.token_stats(rows, "k", tokens, sample=100).first().max == 1
         assert profile.token_stats(rows, "k", tokens, sample=n + 10).first().max == 9
+
+
+def test_language_model_on_held_out_texts(spark, folder):
+    """Fitted on one half of the documents, right on the other: macro accuracy over the languages."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    half = F.xxhash64("doc_id") % 2 == 0
+    model = langmodel.fit(docs.filter(half), "text", "lang")
+    rows = docs.filter(~half).select("lang", (model.language(F.col("text")) == F.col("lang")).cast("int").alias("ok"))
+    shares = [r[0] for r in rows.groupBy("lang").agg(F.avg("ok")).select("avg(ok)").collect()]
+    assert len(shares) == 4 and sum(shares) / 4 >= 0.95
+    model.save(spark, folder + "/model")
+    again = langmodel.load(spark, folder + "/model")
+    assert again == model
+
+
+def test_language_model_of_odd_texts(spark):
+    rows = [("abc abd", "x"), ("xyz xyw", "y"), (None, "x"), ("", "y"), ("123 !", "y"), ("éé", None)]
+    texts = spark.createDataFrame(rows, "t string, l string")
+    model = langmodel.fit(texts, "t", "l")
+    got = [r[0] for r in texts.select(model.language(F.col("t"))).collect()]
+    assert got[:5] == ["x", "y", "und", "und", "und"] and got[5] in ("x", "y")
+    many = spark.range(70).selectExpr("'a' as t", "'l' || id as l")
+    with pytest.raises(ValueError, match="languages"):
+        langmodel.fit(many, "t", "l")
+    none = langmodel.fit(texts.limit(0), "t", "l")
+    assert texts.select(none.language(F.col("t"))).distinct().first()[0] == "und"

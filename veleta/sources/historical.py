@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -61,16 +61,19 @@ def scan_archive(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parsed.filter(F.col("post").isNotNull() & F.col("post.subreddit").isNotNull())
 
 
-def keep_posts(scanned: DataFrame, subreddits: Iterable[str],
-               languages: Iterable[str] = LANGUAGES) -> DataFrame:
-    """Wanted community, numeric time in range, wanted language — cheapest test first."""
+def keep_posts(scanned: DataFrame, subreddits: Iterable[str], languages: Iterable[str] = LANGUAGES,
+               detect: Callable[[Column], Column] = language) -> DataFrame:
+    """Wanted community, numeric time in range, wanted language — cheapest test first.
+
+    ``detect`` tells the language of a text: by stop words, or ``LanguageModel.language``.
+    """
     wanted = sorted({s.lower() for s in subreddits})
     low = F.lower("post.subreddit")
     timed = F.floor("post.created_utc").between(ARCHIVE_START, ARCHIVE_END)
     text = strip(F.concat(F.coalesce("post.title", F.lit("")), F.lit(" "),
                           F.coalesce("post.selftext", F.lit(""))))
     return scanned.filter(low.isin(wanted) & timed) \
-        .filter(language(text).isin(list(languages))) \
+        .filter(detect(text).isin(list(languages))) \
         .withColumn("sub", low) \
         .withColumn("mes", month_key(epoch_timestamp(F.col("post.created_utc"))))
 
