@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from checks.bronze import raw_lines
 from checks.core import SQL_ISO, Views, big, check, iso
 from veleta.session import scratch
-from veleta.streaming import ingest, metrics
+from veleta.streaming import ingest, metrics, upsert
 
 EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
@@ -85,3 +85,36 @@ def batch_metrics(v: Views) -> DataFrame:
     metrics.start_batch_counts(_landing(v), "event_type", root + "/out", root + "/cp", seconds=0) \
         .awaitTermination()
     return v.spark.read.parquet(root + "/out").groupBy("event_type").agg(big(F.sum("n")).alias("n"))
+
+
+@check("stream_upsert", f"""
+select event_id, cast(case when event_id % 7 = 0 then 3 when event_id % 3 = 0 then 2 else 1 end as bigint) as version,
+  case when event_id % 7 = 0 then value + 3 when event_id % 3 = 0 then value + 2 else value + 1 end as value,
+  cast(1 + cast(event_id % 3 = 0 as int) + cast(event_id % 7 = 0 as int) as bigint) as aceptadas from events""")
+def stream_upsert(v: Views) -> DataFrame:
+    """Three landings, the last one after a restart: repeats, edits, late older versions and a newest one."""
+    root = scratch(v.spark, "upsert")
+    events = v.table("events").select("event_id", "event_type", "value")
+    files = 1 + events.count() // 3_000_000
+
+    def land(rows: DataFrame) -> None:
+        rows.repartition(files, "event_id").write.mode("append").parquet(root + "/in")
+
+    def version(k: int, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"version": F.lit(k).cast("bigint"), "value": F.col("value") + k})
+
+    def drain() -> DataFrame:
+        stream = v.spark.readStream.schema("event_id bigint, event_type string, value double, version bigint") \
+            .option("maxFilesPerTrigger", files).parquet(root + "/in")
+        versions = upsert.newest_versions(stream, "event_id", "version")
+        upsert.start_upserts(versions, root + "/out", root + "/cp", seconds=0).awaitTermination()
+        return versions
+
+    land(version(1, events))
+    land(version(1, events.filter("event_id % 2 = 0")).unionByName(version(2, events.filter("event_id % 3 = 0"))))
+    drain()
+    land(version(0, events.filter("event_id % 5 = 0")).unionByName(version(3, events.filter("event_id % 7 = 0"))))
+    schema = drain().schema.add("lote", "long")
+    kept = v.spark.read.schema(schema).parquet(root + "/out").groupBy("event_id").agg(big(F.count(F.lit(1))).alias("aceptadas"))
+    now = upsert.current(v.spark, root + "/out", schema, "event_id").select("event_id", "version", "value")
+    return now.join(kept, "event_id")

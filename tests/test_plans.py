@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from checks.bronze import raw_lines
+from checks.bronze import json_lines, raw_lines
 from checks.core import Views
 from veleta.operators import models as M
-from veleta.plans import gold, graph, ingest, prep, silver
-from veleta.streaming.ingest import trigger_for
+from veleta.plans import gold, graph, incremental, ingest, prep, silver
+from veleta.sources.bronze import read_bronze
+from veleta.streaming.ingest import start_live, trigger_for
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,3 +88,30 @@ def test_external_model(spark):
     df = spark.createDataFrame([("a", "xyz"), ("b", None)], "id string, texto_model string")
     got = {r.id: r.probs for r in M.score_with(df, load, batch=1).collect()}
     assert got == {"a": [3.0, 0.0, 1.0], "b": [0.0, 0.0, 1.0]}
+
+
+def test_incremental_silver_equals_the_full_run(spark, folder):
+    """Two posts change: only their buckets are rewritten; ties and older crawls end as in the full run."""
+    posts = Views(spark, SF).posts()
+    edited = posts.filter("id in ('d3', 'd4')").withColumn("title", F.lit("edited"))
+    tied = posts.filter("id = 'd5'").withColumn("title", F.lit("same time, another text"))
+
+    def land(k, rows, epoch):
+        json_lines(rows).coalesce(1).write.text(f"{folder}/in/{k}")
+        start_live(spark, folder + "/in", folder + "/bronze", folder + "/bad", folder + "/cp", seconds=0,
+                   ingest_epoch=F.lit(float(epoch))).awaitTermination()
+        return incremental.update(spark, folder + "/bronze", folder + "/silver", buckets=32)
+
+    assert len(land(0, posts, 1000)) > 16
+    before = incremental.manifest(spark, folder + "/silver").count()
+    assert len(land(1, edited, 2000)) <= 2
+    assert incremental.update(spark, folder + "/bronze", folder + "/silver", buckets=32) == []
+    assert len(land(2, tied.unionByName(posts.filter("id = 'd3'")), 1000)) <= 2
+    assert incremental.vacuum(spark, folder + "/silver") >= 2 and incremental.vacuum(spark, folder + "/silver") == 0
+    now = incremental.manifest(spark, folder + "/silver")
+    assert now.count() == before and now.select("version").distinct().count() == 1
+    full = silver.silver(read_bronze(spark, folder + "/bronze").drop("lote", "mes"))
+    columns = [c for c in full.columns if full.schema[c].dataType.typeName() in ("string", "long", "double", "boolean")]
+    got = incremental.read_silver(spark, folder + "/silver").select(columns)
+    assert got.count() == posts.count() and got.exceptAll(full.select(columns)).isEmpty()
+    assert {r[0] for r in got.filter("id in ('d3', 'd4')").select("titulo").collect()} == {"edited"}

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from checks import streams
 from checks.core import Views
+from veleta.operators.dedup import latest_by_key
+from veleta.streaming import upsert
 
 
 def test_a_third_lands_in_several_files_and_one_batch(spark, folder):
@@ -18,3 +20,21 @@ def test_a_third_lands_in_several_files_and_one_batch(spark, folder):
     first = [min(r.a for r in rows if r.batch == k) for k in range(4)]
     last = [max(r.z for r in rows if r.batch == k) for k in range(4)]
     assert last[0] <= first[1] and last[1] <= first[2] and (first[3], last[3]) == (first[0], last[0])
+
+
+def test_upsert_ties_nulls_and_restart(spark, folder):
+    """Ties by content as in the batch rule, a null order loses, a restart keeps what was seen."""
+    rows = [[(1, "b", 1.0), (1, "a", 1.0), (2, "x", None), (3, "p", 5.0)],
+            [(1, "b", 1.0), (1, "a", 1.0), (2, "y", 0.5), (3, "old", 4.0)], [(3, "p", 5.0), (3, "q", 6.0), (4, "n", None)]]
+    schema = "k long, t string, o double"
+    counts = []
+    for batch in rows:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(folder + "/in")
+        stream = spark.readStream.schema(schema).parquet(folder + "/in")
+        versions = upsert.newest_versions(stream, "k", "o")
+        upsert.start_upserts(versions, folder + "/out", folder + "/cp", seconds=0).awaitTermination()
+        counts.append(spark.read.parquet(folder + "/out").count())
+    every = spark.createDataFrame(sum(rows, []), schema)
+    want = sorted(map(tuple, latest_by_key(every, "k", "o").collect()))
+    got = upsert.current(spark, folder + "/out", versions.schema.add("lote", "long"), "k").select("k", "t", "o")
+    assert sorted(map(tuple, got.collect())) == want and counts == [3, 4, 6]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 
-from veleta.plans import gold, graph, ingest, prep, silver
+from veleta.operators import langmodel
+from veleta.plans import gold, graph, incremental, ingest, prep, silver
 from veleta.session import build_session
 
 
@@ -20,8 +21,10 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument(f"--{option}", type=type(default), default=default)
 
     stage("live", "landing", "bronze", "quarantine", "checkpoints", seconds=60)
-    stage("archive", "folder", "out")
+    stage("archive", "folder", "out", languages="")
     stage("silver", "bronze", "out")
+    stage("silver-update", "bronze", "out")
+    stage("language-model", "texts", "model", text="text", lang="lang")
     stage("features", "silver", "out_a", "out_b", concepts="")
     stage("predict-a", "features", "model", "out", labels="")
     stage("predict-b", "features", "model", "out", labels="")
@@ -38,8 +41,10 @@ def main(argv: list[str] | None = None) -> None:
     {
         "live": lambda: ingest.run_live(spark, a.landing, a.bronze, a.quarantine, a.checkpoints,
                                         a.seconds),
-        "archive": lambda: ingest.run_archive(spark, a.folder, a.out),
+        "archive": lambda: ingest.run_archive(spark, a.folder, a.out, model=a.languages),
         "silver": lambda: silver.run(spark, a.bronze, a.out),
+        "silver-update": lambda: print(len(incremental.update(spark, a.bronze, a.out)), "buckets rewritten"),
+        "language-model": lambda: langmodel.fit(table(a.texts), a.text, a.lang).save(spark, a.model),
         "features": lambda: gold.run_features(spark, a.silver, [c for c in a.concepts.split(",") if c],
                                               a.out_a, a.out_b),
         "predict-a": lambda: gold.run_predict_a(spark, a.features, a.model, a.out, table(a.labels)),

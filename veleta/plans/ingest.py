@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from veleta.functions.lang import language
+from veleta.operators import langmodel
 from veleta.schemas import MICROBATCH_SECONDS, SUBREDDITS
 from veleta.sources.historical import keep_posts, scan_archive, select_files, write_months
 from veleta.sources.bronze import BY_MONTH
 from veleta.streaming.ingest import start_live
 
 
-def run_archive(spark: SparkSession, folder: str, out: str, subreddits=SUBREDDITS) -> None:
-    """Select archive files by path, filter their posts and write them by month."""
+def run_archive(spark: SparkSession, folder: str, out: str, subreddits=SUBREDDITS, model: str = "") -> None:
+    """Select archive files by path, filter their posts and write them by month; ``model`` is a folder with
+    a fitted language model that takes the place of the stop words."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder) \
         .select("path")
     chosen = [r["path"] for r in select_files(files, subreddits).select("path").toLocalIterator()]
     if chosen:
-        write_months(keep_posts(scan_archive(spark, chosen), subreddits), out)
+        detect = langmodel.load(spark, model).language if model else language
+        write_months(keep_posts(scan_archive(spark, chosen), subreddits, detect=detect), out)
 
 
 def run_live(spark: SparkSession, landing: str, bronze: str, quarantine: str, checkpoints: str,
