@@ -273,24 +273,31 @@ def _meet(rows: DataFrame) -> DataFrame:
     return arrow_map(flat, work, "a long, b long")
 
 
-def _links(members: DataFrame) -> DataFrame:
-    """Stored (a, b) links that connect what links connect, of ``members(block, id, n, shared, set)``."""
+def _links(members: DataFrame, state: DataFrame) -> DataFrame:
+    """Stored (a, b) links that connect what links connect, of ``members(block, id, n, shared)`` with the
+    sets of ``state``.
+
+    Tasks are laid out with thin rows; the sets are joined by document and dealt by task, so a large
+    block is never in one place.
+    """
+    def meet(rows: DataFrame) -> DataFrame:
+        return stored(_meet(rows.join(state.select("id", "set"), "id")), "links")
+
     pieces = lambda rows, shingles: F.ceil(F.greatest(rows / BLOCK_ROWS, shingles / BLOCK_SHINGLES)).cast("int")
     whole = members.groupBy("block").agg(pieces(F.count(F.lit(1)), F.sum("n")).alias("p"),
                                          F.min_by("id", F.struct(F.col("n") - F.col("shared"), F.col("id"))).alias("leader"))
-    rows = members.join(whole, "block")
+    rows = members.select("block", "id", "n").join(whole, "block")
     zero = F.lit(0)
-    near = stored(_meet(rows.filter("p = 1").select("block", zero.alias("x"), zero.alias("y"), "id", "n", F.col("id").alias("grp"),
-                                                    zero.alias("side"), "set")), "links")
-    large = rows.filter("p > 1")
+    near = meet(rows.filter("p = 1").select("block", zero.alias("x"), zero.alias("y"), "id", "n", F.col("id").alias("grp"), zero.alias("side")))
+    large = stored(rows.filter("p > 1"), "large")
     if large.isEmpty():
+        release(large)
         return near
     # The leader of a large block is sent to each of its parts.
     part = F.when(F.col("id") == F.col("leader"), F.sequence(zero, F.col("p") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), "p").cast("int")))
-    star = stored(_meet(large.select("block", F.explode(part).alias("x"), zero.alias("y"), "id", "n", F.col("id").alias("grp"),
-                                     F.when(F.col("id") == F.col("leader"), 0).otherwise(1).alias("side"), "set")), "links")
-    linked = star.select(F.greatest("a", "b").alias("p1"), F.least("a", "b").alias("p2"))
-    linked = linked.select(F.explode(F.array("p1", "p2")).alias("id")).distinct().withColumn("closed", F.lit(True))
+    star = meet(large.select("block", F.explode(part).alias("x"), zero.alias("y"), "id", "n", F.col("id").alias("grp"),
+                             F.when(F.col("id") == F.col("leader"), 0).otherwise(1).alias("side")))
+    linked = star.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("closed", F.lit(True))
     rest = large.join(linked, "id", "left").withColumn("closed", F.col("closed").isNotNull())
     sizes = rest.groupBy("block").agg(
         F.coalesce(pieces(F.count_if(~F.col("closed")), F.sum(F.when(~F.col("closed"), F.col("n")))), zero).alias("po"),
@@ -305,10 +312,9 @@ def _links(members: DataFrame) -> DataFrame:
     down = F.transform(F.filter(F.sequence(zero, F.col("po")), lambda x: (x < slot) & (x < F.col("po"))), lambda x: cell(x, slot, 1))
     tasks = F.explode(F.concat(F.coalesce(up, F.array().cast("array<struct<x:int,y:int,side:int>>")), down)).alias("t")
     group = F.when(F.col("closed"), F.col("leader")).otherwise(F.col("id")).alias("grp")
-    far = stored(_meet(rest.select("block", tasks, "id", "n", group, "set")
-                       .select("block", "t.x", "t.y", "id", "n", "grp", "t.side", "set")), "links")
+    far = meet(rest.select("block", tasks, "id", "n", group).select("block", "t.x", "t.y", "id", "n", "grp", "t.side"))
     out = stored(near.unionByName(star).unionByName(far), "links")
-    release(near, star, far)
+    release(near, star, far, large)
     return out
 
 
@@ -352,8 +358,8 @@ def link_groups(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
     probes = stored(_probes(state, bits), "probes")
     blocks = _blocks(probes)
     of = blocks.unionByName(blocks.select(F.col("root").alias("node"), "root").distinct()).select(F.col("node").alias("id"), F.col("root").alias("block"))
-    members = stored(state.join(of, "id").join(probes.select("id", "shared"), "id"), "members")
-    links = _links(members)
+    members = stored(state.select("id", "n").join(of, "id").join(probes.select("id", "shared"), "id"), "members")
+    links = _links(members, state)
     moved = roots(links)
     grouped = stored(classes.join(moved, "node", "left").withColumn("grp", F.coalesce("root", "node")).drop("root"), "groups")
     release(classes, state, probes, blocks, members, links, moved)
