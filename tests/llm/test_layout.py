@@ -5,6 +5,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from veleta.llm import packing, queries, sharding
 
@@ -91,6 +93,17 @@ def test_sharding(spark):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def test_shards_of_documents_are_even(spark):
+    """Within a hundredth, also where a text that many rows have makes one slot long."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    many = docs.unionByName(spark.range(10**6, 10**6 + 30_000).selectExpr("id as doc_id", "cast(null as string) as text"))
+    for table in (docs, many):
+        rows = sharding.shard(table).groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"),
+                                                          F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+        assert len(rows) == 8 and max(r.b for r in rows) <= 1.01 * min(r.b for r in rows)
+        assert all(r.n == r.d == r.m + 1 for r in rows)
+
+
 def test_equal_texts_share_a_shard_unless_hot(spark):
     docs = spark.createDataFrame([(k, f"text {k % 40}" if k < 400 else "hot") for k in range(1600)], "doc_id long, text string")
     got = sharding.shard(docs, 4).join(docs, "doc_id").select("text", "shard").distinct().collect()

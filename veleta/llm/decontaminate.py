@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from veleta.llm.common import arrow_map, octets, raw_texts
+from veleta.llm.common import arrow_map, octets, raw_texts, release, stored
 
 # Every byte that no word contains becomes a blank; A-Z become a-z.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -84,14 +84,31 @@ class Searcher:
         return hit, items
 
 
-def _blocks(benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int) -> Iterator:
+def _between(done: DataFrame, last: DataFrame | None, blocks: int) -> DataFrame:
+    """With several blocks each is searched in a job of its own, so a task holds one at a time."""
+    if blocks == 1:
+        return done
+    done = stored(done, "hits")
+    if last is not None:
+        release(last)
+    return done
+
+
+def _count(benchmark: DataFrame, item_text: str, block_bytes: int) -> int:
+    body = benchmark.select(F.col(f"`{item_text}`").alias("body")).filter("body is not null")
+    return max(1, -(-octets(body, "body") // block_bytes))
+
+
+def _blocks(benchmark: DataFrame, item_col: str, item_text: str, blocks: int) -> Iterator:
     """The benchmark as broadcasts of (item, text) lists, each of about ``block_bytes`` at most."""
     bench = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"),
                              F.col(f"`{item_text}`").cast("binary").alias("body")).filter("body is not null")
-    blocks = max(1, -(-octets(bench, "body") // block_bytes))
     for k in range(blocks):
         part = bench.filter(F.pmod(F.xxhash64("body"), F.lit(blocks)) == k) if blocks > 1 else bench
-        yield benchmark.sparkSession.sparkContext.broadcast([(r[0], bytes(r[1])) for r in part.collect()])
+        found = benchmark.sparkSession.sparkContext.broadcast([(r[0], bytes(r[1])) for r in part.collect()])
+        yield found
+        if blocks > 1:   # its job is done
+            found.destroy()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id",
@@ -101,21 +118,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     it), n_items, items_sha256 and contaminated.
 
     The benchmark is measured first and searched for in blocks of at most about ``block_bytes``
-    of its text, so what is broadcast at once is bounded however large it grows; each block passes
-    over all documents, and every word of every document is searched.
+    of its text, one job after the other, so what is broadcast and held at once is bounded however
+    large it grows; each block passes over all documents, and every word of every document is searched.
 
     Null or empty texts have no words and are never hit; a benchmark row without text has no
     window; one without id still marks words but is not listed.  Repeated documents give repeated
     rows, repeated items count once per id.  An empty benchmark hits nothing.  Other columns are
     ignored.
     """
-    blocks = _blocks(benchmark, item_col, item_text, block_bytes)
+    blocks, last = _count(benchmark, item_text, block_bytes), None
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
                        F.lit(0).cast("long").alias("n_words"),
                        F.array().cast("array<int>").alias("hit"),
                        F.array().cast("array<string>").alias("items"))
     id_type = rows.schema["id"].dataType.simpleString()
-    for found in blocks:
+    for found in _blocks(benchmark, item_col, item_text, blocks):
         def search(batches, found=found):
             searcher = Searcher(found.value, window)
             for b in batches:
@@ -132,8 +149,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                      pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
                     ["id", "text", "n_words", "hit", "items"])
 
-        rows = arrow_map(rows, search,
-                         f"id {id_type}, text string, n_words long, hit array<int>, items array<string>")
+        rows = last = _between(arrow_map(rows, search, f"id {id_type}, text string, n_words long, hit array<int>, items array<string>"),
+                               last, blocks)
     return rows.select(
         F.col("id").alias(id_col), "n_words", F.size("hit").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), "items",
@@ -145,12 +162,13 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text
                    item_col: str = "item_id", item_text: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no benchmark window occurs."""
     place, schema = docs.columns.index(text_col), docs.schema
-    for found in _blocks(benchmark, item_col, item_text, block_bytes):
+    blocks, last = _count(benchmark, item_text, block_bytes), None
+    for found in _blocks(benchmark, item_col, item_text, blocks):
         def clean(batches, found=found):
             searcher = Searcher(found.value, window)
             for b in batches:
                 yield b.filter(pa.array([not searcher.search(fold_words(t))[0] for t in raw_texts(b.column(place))],
                                         pa.bool_()))
 
-        docs = arrow_map(docs, clean, schema)
+        docs = last = _between(arrow_map(docs, clean, schema), last, blocks)
     return docs

@@ -58,12 +58,15 @@ def fingerprint_bytes(data: bytes) -> str:
 
 def likeness(a: Column, b: Column) -> Column:
     """Likeness of two fingerprints, 0 to 1: one less the edit distance over the longer signature,
-    at the block sizes that both have; 0 where they share none."""
+    at the block sizes that both have; 0 where they share none.  Runs of one character count as three of
+    it, so long equal stretches stay cheap to compare."""
     x, y = F.split(a, ":"), F.split(b, ":")
     part = lambda p, i: F.get(p, F.lit(i))
     size = lambda p: part(p, 0).cast("bigint")
 
     def near(s: Column, t: Column) -> Column:
+        # A character more than three times in a row says no more than three times.
+        s, t = (F.regexp_replace(v, r"(.)\1{3,}", "$1$1$1") for v in (s, t))
         longer = F.greatest(F.length(s), F.length(t))
         return F.when(longer == 0, F.lit(0.0)).otherwise(1 - F.levenshtein(s, t) / longer)
 
@@ -113,16 +116,16 @@ def next_and_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The texts are ranged by id once.  A task walks its slice in order and needs only the row
     before; for its first row that is the last row of the slice before, so these two rows of each
     slice are put aside and joined by slice number.  Null texts are empty; rows without id come
-    first, equal ids are ordered by text; a single row is its own next; an empty table gives an
+    first, equal ids are ordered by a hash of the text; a single row is its own next; an empty table gives an
     empty one.  Other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     slices = max(parts(docs), octets(rows, "text") >> 25)
-    order = [F.asc_nulls_first("id"), F.asc("text")]
-    # Ranged by the id alone: the keys that are sampled for the ranges go to the driver.
-    laid = rows.repartitionByRange(slices, order[0]).sortWithinPartitions(*order)
+    # Ranged by the id and 64 bits of the text: sampled keys go to the driver, and equal or missing ids spread.
+    keys = [F.asc_nulls_first("id"), F.xxhash64("text").asc()]
+    laid = rows.repartitionByRange(slices, *keys).sortWithinPartitions(*keys, F.asc("text"))
 
     def walk(batches):
         here, before, before_fp, seen = TaskContext.get().partitionId(), None, "", None

@@ -134,10 +134,11 @@ def fit(docs: DataFrame, ratings: DataFrame, levels: int = 3, sample: int = 20_0
 
     At most ``sample`` rated documents are used, those of smallest hashed id; that bounds the join,
     which is broadcast, and the hashed features that are collected.  Ratings outside the levels or
-    null are ignored; without any rating every document scores the same.
+    null are ignored, of several ratings of an id the lowest counts; without any rating every document
+    scores the same.  Null and empty texts are documents without words, very long ones are read whole.
     """
     rated = (ratings.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{grade_col}`").cast("int").alias("grade"))
-             .filter(F.col("id").isNotNull() & F.col("grade").between(0, levels - 1)).dropDuplicates(["id"]))
+             .filter(F.col("id").isNotNull() & F.col("grade").between(0, levels - 1)).groupBy("id").agg(F.min("grade").alias("grade")))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 32))
     total = rated.count()
     # Thinned before the sort, so that no task sees more than about the sample.

@@ -72,7 +72,7 @@ def grow(mapping: DataFrame, weights: DataFrame) -> DataFrame:
                       F.when(before <= fair, F.col("new")).otherwise(F.col("shard")).cast("int").alias("shard"))
 
 
-def shard(docs: DataFrame, shards: int = 8, slots: int = 4096, parts_per_slot: int = 4,
+def shard(docs: DataFrame, shards: int = 8, slots: int = 4096, rows_per_part: int = 8192, most_parts: int = 64,
           id_col: str = "doc_id", text_col: str = "text", mapping: DataFrame | None = None) -> DataFrame:
     """Put every row into a shard of nearly equal bytes and number the rows of a shard.
 
@@ -81,12 +81,15 @@ def shard(docs: DataFrame, shards: int = 8, slots: int = 4096, parts_per_slot: i
     slot map (its newest version) in place of a new one.
 
     Places need no sort of a whole shard: rows are counted per (virtual slot, part), a small table
-    of at most slots x parts_per_slot rows gives each its first place, and rows are ordered by id
-    inside it.  Null texts have size 1, null ids come first, repeated rows are separate rows with
+    of at most slots x ``most_parts`` rows gives each its first place, and rows are ordered by id
+    inside it.  A slot of many rows, as that of a text that many rows have, has more parts.  Null texts have size 1, null ids come first, repeated rows are separate rows with
     separate places, an empty table gives an empty one, other columns are ignored.
     """
-    rows = slotted(docs, slots, id_col, text_col).withColumn(
-        "part", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(parts_per_slot)).cast("int"))
+    rows = slotted(docs, slots, id_col, text_col)
+    cuts = F.least(F.lit(most_parts), F.ceil(F.count(F.lit(1)) / rows_per_part)).cast("int")
+    # One row a slot.
+    rows = (rows.join(F.broadcast(rows.groupBy("v").agg(cuts.alias("cuts"))), "v")
+            .withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), "cuts").cast("int")))
     counted = rows.groupBy("v", "part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     if mapping is None:
         mapping = slot_map(counted.groupBy("v").agg(F.sum("bytes").alias("bytes")), shards, slots)
