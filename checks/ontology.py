@@ -100,6 +100,35 @@ def onto_subclass(v: Views) -> DataFrame:
     return O.subclass_closure(O.type_membership(v.silver()))
 
 
+_DEEP = f"""deep as (select '{RR}k' || p_partkey as s, '{RR}k' || p_partkey // 3 as o from part union all select '{RR}k0', '{RR}k1'),
+up as (select s, o from deep union select up.s, d.o from up join deep d on d.s = up.o)"""
+
+
+def deep_types(v: Views) -> DataFrame:
+    """A hierarchy that grows with a table, about log3(rows) deep, with a cycle at its top, as triples."""
+    null = F.lit(None).cast("string")
+    name = lambda e: F.concat(F.lit(RR + "k"), F.expr(e).cast("bigint").cast("string"))
+    rows = v.table("part").select(name("p_partkey").alias("s"), name("floor(p_partkey / 3)").alias("o"))
+    rows = rows.unionByName(v.spark.createDataFrame([(RR + "k0", RR + "k1")], "s string, o string"))
+    return rows.select("s", F.lit(V.RDFS + "subClassOf").alias("p"), "o", F.lit("iri").alias("o_kind"), null.alias("o_dtype"), null.alias("o_lang"))
+
+
+@check("onto_closure", f"""
+with recursive {_DEEP}
+select s as sub, o as top from up union select s, s from deep union select o, o from deep""")
+def onto_closure(v: Views) -> DataFrame:
+    return O.closure(O.subclass_edges(deep_types(v)))
+
+
+@check("onto_deep_members", f"""
+with recursive {_DEEP}, c as (select c_custkey as id, '{RR}k' || c_custkey as clase from customer)
+select id, clase from c union select c.id, up.o from c join up on up.s = c.clase""")
+def onto_deep_members(v: Views) -> DataFrame:
+    """Members of a class belong to all its ancestors; classes the hierarchy does not know stay alone."""
+    types = v.table("customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit(RR + "k"), F.col("c_custkey").cast("string")).alias("clase"))
+    return O.members_of(types, O.closure(O.subclass_edges(deep_types(v))))
+
+
 @check("sentiment_value", "select id, round(v, 6) as valor, round(confianza, 6) as confianza from valor")
 def sentiment_value(v: Views) -> DataFrame:
     w = weak(v)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from checks.ab import rounded
 from checks.bronze import raw_lines
-from checks.core import SQL_ISO, Views, big, check, iso
+from checks.core import BODIES, SQL_ISO, Views, big, check, iso
+from veleta.functions.values import epoch_timestamp
 from veleta.session import scratch
-from veleta.streaming import ingest, metrics, upsert
+from veleta.streaming import ab as live_ab, ingest, metrics, upsert
 
 EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
@@ -118,3 +120,27 @@ def stream_upsert(v: Views) -> DataFrame:
     kept = v.spark.read.schema(schema).parquet(root + "/out").groupBy("event_id").agg(big(F.count(F.lit(1))).alias("aceptadas"))
     now = upsert.current(v.spark, root + "/out", schema, "event_id").select("event_id", "version", "value")
     return now.join(kept, "event_id")
+
+
+@check("stream_ab_hourly", BODIES["ab_metrics_hourly"])
+def stream_ab_hourly(v: Views) -> DataFrame:
+    """Three landings of both models' predictions; every third prediction of the second model lands one batch
+    after its partner, and the hours it falls into are brought up to date."""
+    root = scratch(v.spark, "ab")
+    time = epoch_timestamp(F.col("fecha_creacion"))
+    a, b = v.pred_a().withColumn("fecha_creacion", time), v.pred_b().withColumn("fecha_creacion", time)
+    turn = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int")
+    late = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0
+    wait = "100000 days"   # posts land in no order of time here
+
+    def drain() -> None:
+        stream = lambda name, like: v.spark.readStream.schema(like.schema).parquet(f"{root}/{name}")
+        pairs = live_ab.paired(stream("a", a), stream("b", b), wait)
+        live_ab.start_pairs(pairs, root + "/pairs", root + "/cp1", seconds=0).awaitTermination()
+        live_ab.start_hourly(v.spark, root + "/pairs", pairs.schema, root + "/hours", root + "/cp2", wait, seconds=0).awaitTermination()
+
+    for k in range(3):
+        a.filter(turn == k).write.mode("append").parquet(root + "/a")
+        b.filter(turn + late.cast("int") == k).write.mode("append").parquet(root + "/b")
+        drain()
+    return rounded(live_ab.hourly(v.spark, root + "/hours")).withColumn("hora", iso("hora"))

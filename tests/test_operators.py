@@ -355,3 +355,28 @@ def test_language_model_of_odd_texts(spark):
         langmodel.fit(many, "t", "l")
     none = langmodel.fit(texts.limit(0), "t", "l")
     assert texts.select(none.language(F.col("t"))).distinct().first()[0] == "und"
+
+
+def test_closure_of_odd_hierarchies(spark):
+    """Self loops, cycles, repeated and null edges, a diamond and a long chain."""
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "d"), ("a", "b"), (None, "x"), ("y", None),
+             ("p", "q"), ("p", "r"), ("q", "t"), ("r", "t")] + [(f"n{k}", f"n{k + 1}") for k in range(9)]
+    up = {}
+    for s, o in edges:
+        if s and o:
+            up.setdefault(s, set()).add(o)
+            up.setdefault(o, set())
+    want = set()
+    for s in up:
+        seen, todo = {s}, [s]
+        while todo:
+            new = up[todo.pop()] - seen
+            seen |= new
+            todo += new
+        want |= {(s, t) for t in seen}
+    got = O.closure(spark.createDataFrame(edges, "s string, o string")).collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    types = spark.createDataFrame([(1, "n7"), (1, "n8"), (2, "unknown")], "id int, clase string")
+    members = O.members_of(types, spark.createDataFrame(sorted(want), "sub string, top string"))
+    assert sorted(map(tuple, members.collect())) == [(1, "n7"), (1, "n8"), (1, "n9"), (2, "unknown")]
+    assert O.closure(spark.createDataFrame([], "s string, o string")).count() == 0

@@ -11,6 +11,7 @@ from veleta.functions import vocab as V
 from veleta.operators.ranks import running_sum
 from veleta.operators.triples import COLUMNS, source_of
 from veleta.schemas import FIELDS
+from veleta.session import durable
 
 # Classes with their superclass.
 CLASSES = {
@@ -249,6 +250,35 @@ def subclass_closure(types: DataFrame) -> DataFrame:
     return types.select("id", F.explode(own).alias("clase")).distinct()
 
 
+def closure(edges: DataFrame, sub: str = "s", top: str = "o") -> DataFrame:
+    """(sub, top): every class with itself and all its ancestors, for a hierarchy of any depth.
+
+    Rounds of joins over written tables, each for the pairs the round before has found; pairs that are known
+    are left out, so a cycle ends like a chain and the classes in it become ancestors of each other.
+    """
+    up = durable(edges.select(F.col(sub).alias("sub"), F.col(top).alias("top")).filter("sub is not null and top is not null").distinct())
+    nodes = up.select("sub").unionByName(up.select(F.col("top").alias("sub"))).distinct()
+    known = durable(nodes.select("sub", F.col("sub").alias("top")))
+    fresh = durable(up.filter("sub <> top"))
+    while not fresh.isEmpty():
+        known = durable(known.unionByName(fresh))
+        step = fresh.join(up.select(F.col("sub").alias("top"), F.col("top").alias("next")), "top").select("sub", F.col("next").alias("top"))
+        fresh = durable(step.distinct().join(known, ["sub", "top"], "left_anti"))
+    return known
+
+
+def subclass_edges(triples: DataFrame) -> DataFrame:
+    """(s, o) of all subclass statements between named classes."""
+    return triples.filter((F.col("p") == V.RDFS + "subClassOf") & (F.col("o_kind") == "iri")).select("s", "o")
+
+
+def members_of(types: DataFrame, ancestors: DataFrame, key: str = "id", clase: str = "clase") -> DataFrame:
+    """Membership in all superclasses by a ``closure``: (key, clase), each once; a class that the hierarchy
+    does not have stays as it is."""
+    joined = types.join(ancestors, F.col(clase) == F.col("sub"), "left")
+    return joined.select(key, F.coalesce("top", F.col(clase)).alias(clase)).distinct()
+
+
 def author_history(df: DataFrame, author: str = "autor", ts: str = "fecha_creacion_utc",
                    value: str = "valor_sentimiento", key: str = "id") -> DataFrame:
     """Mean value of the author's earlier posts, null for the first: adds ``historial``.
