@@ -179,6 +179,19 @@ def test_license_scan(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_license_index_of_any_size(spark):
+    """Two hundred templates: a longer literal, not a longer plan, and every notice is found where it stands."""
+    words = lambda k: f"notice w{k % 7} w{k % 11} name{k} grants use of w{k % 5} under terms{k % 50}"
+    many = tuple((f"l{k}", words(k), (f"name{k} grants use",)) for k in range(200))
+    docs = spark.createDataFrame([(k, f"x {words(k)} y {words(k + 1)[:60]}") for k in range(0, 200, 9)], "doc_id long, text string")
+    plan = lambda ts: len(licenses.scan(docs, ts)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert plan(many) == plan(many[:2])
+    got = {r.doc_id: r for r in licenses.scan(docs, many).collect()}
+    for k, r in got.items():
+        full = f"name{k + 1} grants use" in f"x {words(k)} y {words(k + 1)[:60]}"
+        assert set(r.labels.split(",")) == {f"l{k}"} | ({f"l{k + 1}"} if full and k < 199 else set()) and abs(r.score - 1) < 1e-9
+
+
 def test_license_scan_against_every_place(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     notices = [f"Word {w}, then: {w.upper()}. {' '.join(w.split()[:-1])}\n{p} {p}" for _, w, _ in licenses.TEMPLATES for p, _ in licenses.BASE]

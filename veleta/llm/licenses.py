@@ -1,19 +1,20 @@
 """License scan with a positional rare-token index, in DataFrame functions only.
 
-Templates are short word sequences of license notices.  The index holds, for every template word,
-its inverse document frequency over the scanned files and its places in the templates.  A file
-looks up its rarest indexed words; their places minus the template places vote for an alignment;
-an aligned template counts if all its mandatory key phrases stand at their places.
+Templates are word sequences of license notices.  The index is a literal table: every template with its
+words, their inverse document frequency over the scanned files, and the places of its mandatory key phrases.
+A file looks up which templates have their rarest words in it; the places of these words, less their
+places in the template, are intersected to alignments; an alignment counts if all mandatory key phrases
+stand at their places.  The index is data, so the plan is the same for any number of templates.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veleta.functions.once import add_once
+from veleta.functions.once import add_once, bind
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The only other character whose lower case is an ASCII letter; it is not part of A-Z.
@@ -55,57 +56,61 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, SEPARATORS), "")
 
 
-def _strings(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+INDEX = ("array<struct<label:string, base:boolean, words:array<string>, idf:array<double>, total:double, whole:boolean, "
+         "must:array<struct<at:int, word:string>>, rare:array<struct<at:int, word:string>>>>")
 
 
 def document_counts(docs: DataFrame, templates=TEMPLATES, text_col: str = "text") -> DataFrame:
     """(word, df) for every template word that occurs, and ('', number of rows); one row per
     template word at most, counted over all rows."""
     vocabulary = sorted({w for _, words, _ in templates for w in words.split()})
-    have = F.array_intersect(words_of(F.col(f"`{text_col}`")), _strings(vocabulary))
+    have = F.array_intersect(words_of(F.col(f"`{text_col}`")), _literal(vocabulary, "array<string>"))
     return (docs.select(F.explode(F.concat(F.array(F.lit("")), have)).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("df")))
 
 
-class Template:
-    """A notice with its mandatory places and, by document counts, its rarest words."""
-
-    def __init__(self, label: str, words: str, keys: tuple[str, ...], df: dict[str, int], rarest: int):
-        self.label, self.words = label, words.split()
-        self.must: dict[int, str] = {}
-        for key in keys:
-            k = key.split()
-            at = next(i for i in range(len(self.words)) if self.words[i:i + len(k)] == k)
-            self.must |= {at + j: w for j, w in enumerate(k)}
-        rows = df.get("", 0)
-        self.idf = [math.log((rows + 1) / max(1, df.get(w, 0))) for w in self.words]
-        ranked = sorted(self.must, key=lambda i: (-self.idf[i], i))
-        self.rare: list[tuple[str, int]] = []
-        for i in ranked:
-            if len(self.rare) < rarest and self.words[i] not in [w for w, _ in self.rare]:
-                self.rare.append((self.words[i], i))
-
-    def places(self, words: Column, postings: Column) -> Column:
-        """Starts of all alignments on which the rare words agree and every key phrase stands."""
-        def aligned(word, offset):
-            own = F.filter(postings, lambda p: p["word"] == word)
-            return F.transform(own, lambda p: p["at"] - offset)
-
-        common = reduce(F.array_intersect, [aligned(w, i) for w, i in self.rare])
-        stands = lambda s: reduce(lambda a, b: a & b, [
-            F.coalesce(F.get(words, s + i) == w, F.lit(False)) for i, w in self.must.items()])
-        return F.filter(common, lambda s: (s >= 0) & stands(s))
-
-    def coverage(self, words: Column, places: Column) -> Column:
-        """Best share of the notice's words that stand at a verified place, weighted by idf."""
-        total = sum(self.idf) or 1.0
-        if len(self.must) == len(self.words) or not sum(self.idf):
-            return F.when(F.size(places) > 0, F.lit(1.0))
-        part = lambda s: reduce(lambda a, b: a + b, [
-            F.when(F.get(words, s + i) == w, F.lit(self.idf[i] / total)).otherwise(F.lit(0.0))
-            for i, w in enumerate(self.words)])
-        return F.array_max(F.transform(places, lambda s: F.least(F.lit(1.0), part(s))))
+def _literal(value, kind: str) -> Column:
+    """A nested literal; it is parsed once, when the query is planned."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def entry(label: str, words: str, keys: tuple[str, ...], base: bool, df: dict[str, int], rarest: int) -> dict:
+    """The index entry of a template: mandatory places and, by document counts, its rarest words."""
+    listed = words.split()
+    must: dict[int, str] = {}
+    for key in keys:
+        k = key.split()
+        at = next(i for i in range(len(listed)) if listed[i:i + len(k)] == k)
+        must |= {at + j: w for j, w in enumerate(k)}
+    idf = [math.log((df.get("", 0) + 1) / max(1, df.get(w, 0))) for w in listed]
+    rare: dict[str, int] = {}
+    for i in sorted(must, key=lambda i: (-idf[i], i)):
+        if len(rare) < rarest:
+            rare.setdefault(listed[i], i)
+    pairs = lambda d: [{"at": i, "word": w} for i, w in d]
+    return {"label": label, "base": base, "words": listed, "idf": idf, "total": sum(idf) or 1.0,
+            "whole": len(must) == len(listed) or not sum(idf), "must": pairs(sorted(must.items())),
+            "rare": pairs((i, w) for w, i in rare.items())}
+
+
+def _starts(t: Column, words: Column, postings: Column) -> Column:
+    """Starts of all alignments of template ``t`` on which its rare words agree and every key phrase stands."""
+    def aligned(r: Column) -> Column:
+        return F.transform(F.filter(postings, lambda p: p["word"] == r["word"]), lambda p: p["at"] - r["at"])
+
+    first = aligned(F.get(t["rare"], F.lit(0)))
+    common = F.aggregate(F.slice(t["rare"], 2, F.size(t["rare"])), first, lambda found, r: F.array_intersect(found, aligned(r)))
+    stands = lambda s: F.forall(t["must"], lambda m: F.coalesce(F.get(words, s + m["at"]) == m["word"], F.lit(False)))
+    return F.filter(common, lambda s: (s >= 0) & stands(s))
+
+
+def _coverage(t: Column, words: Column, starts: Column) -> Column:
+    """Best share of the notice's words that stand at a verified place, weighted by idf."""
+    def share(s: Column) -> Column:
+        part = F.transform(t["words"], lambda w, i: F.when(F.get(words, s + i) == w, F.get(t["idf"], i)).otherwise(0.0))
+        return F.least(F.lit(1.0), F.aggregate(part, F.lit(0.0), lambda a, x: a + x) / t["total"])
+
+    return F.when(t["whole"], F.lit(1.0)).otherwise(F.array_max(F.transform(starts, share)))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rarest: int = 3, id_col: str = "doc_id",
@@ -117,35 +122,40 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rarest: int = 3, id_co
 
     The document counts of the template words (at most one row each) are collected first and choose
     every template's ``rarest`` words; the scan itself is row by row and shuffles nothing.  All
-    words and places of a text count.
+    words and places of a text count, however long it is.
 
-    Null and empty texts have no words and no labels.  Repeated rows are scanned once each, an
-    empty table gives an empty one, other columns are ignored.
+    Null and empty texts have no words and no labels.  Several templates of one label or at one place each
+    count; the best decides the score.  Repeated rows are scanned once each, an empty table gives an empty
+    one, other columns are ignored.
     """
     known = [(label, phrase, (phrase,)) for phrase, label in base]
     extra = [t for t in templates if t not in known]
     df = {r[0]: r[1] for r in document_counts(docs, (*known, *extra), text_col).collect()}
-    basic = [Template(*t, df, rarest) for t in known]
-    more = [Template(*t, df, rarest) for t in extra]
-    rare = _strings(sorted({w for t in (*basic, *more) for w, _ in t.rare}))
+    entries = [entry(*t, k < len(known), df, rarest) for k, t in enumerate((*known, *extra))]
+    rare_words = _literal(sorted({r["word"] for e in entries for r in e["rare"]}), "array<string>")
+    index = _literal(entries, INDEX)
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = add_once(rows, w=words_of(F.col("text"))).drop("text")
-    posted = F.filter(F.transform("w", lambda x, i: F.struct(x.alias("word"), i.alias("at"))),
-                      lambda p: F.array_contains(rare, p["word"]))
-    none = F.array().cast("array<struct<word:string,at:int>>")
-    rows = add_once(rows, p=F.when(F.arrays_overlap("w", rare), posted).otherwise(none))
+    # The rare license words of the file (by hash), and the templates that have all of theirs in it.
+    rows = add_once(rows, here=F.array_intersect("w", rare_words))
+    possible = lambda here: F.filter(index, lambda t: F.forall(t["rare"], lambda r: F.array_contains(here, r["word"])))
+    none = F.lit(None).cast(INDEX)
+    rows = add_once(rows, t=F.when(F.size("here") > 0, possible(F.col("here"))).otherwise(none))
+    wanted = F.array_distinct(F.flatten(F.transform("t", lambda t: F.transform(t["rare"], lambda r: r["word"]))))
+    posted = bind(wanted, lambda own: F.filter(F.transform("w", lambda x, i: F.struct(x.alias("word"), i.alias("at"))),
+                                               lambda p: F.array_contains(own, p["word"])))
+    rows = add_once(rows, p=F.when(F.size("t") > 0, posted))
     w, p = F.col("w"), F.col("p")
-    rows = add_once(rows, found=F.array(*[t.places(w, p) for t in (*basic, *more)]))
-    at = lambda i: F.get(F.col("found"), F.lit(i))
-    names = lambda ts, offset: F.array_compact(F.array(*[
-        F.when(F.size(at(offset + i)) > 0, F.lit(t.label)) for i, t in enumerate(ts)]))
-    places = F.flatten(F.slice("found", 1, len(basic)))
-    joined = lambda a: F.concat_ws(",", F.array_sort(F.array_distinct(a)))
-    best = F.array_max(F.array(*[t.coverage(w, at(i)) for i, t in enumerate((*basic, *more))]))
+    found = F.filter(F.transform("t", lambda t: F.struct(t.alias("t"), _starts(t, w, p).alias("s"))), lambda x: F.size(x["s"]) > 0)
+    rows = add_once(rows, n=F.size("w"), f=F.transform(found, lambda x: F.struct(
+        x["t"]["label"].alias("label"), x["t"]["base"].alias("base"), x["s"].alias("s"), _coverage(x["t"], w, x["s"]).alias("share"))))
+    found = F.when(F.size("p") > 0, F.col("f")).otherwise(F.array().cast("array<struct<label:string, base:boolean, s:array<int>, share:double>>"))
+    own = F.filter(found, lambda x: x["base"])
+    places = F.flatten(F.transform(own, lambda x: x["s"]))
+    joined = lambda a: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(a, lambda x: x["label"]))))
     return rows.select(
-        F.col("id").alias(id_col), F.size("w").cast("long").alias("n_words"),
+        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_words"),
         F.size(places).cast("long").alias("n_base"), F.array_min(places).cast("long").alias("first_word"),
-        F.array_max(places).cast("long").alias("last_word"), joined(names(basic, 0)).alias("base_labels"),
-        joined(F.concat(names(basic, 0), names(more, len(basic)))).alias("labels"),
-        F.coalesce(best, F.lit(0.0)).alias("score"))
+        F.array_max(places).cast("long").alias("last_word"), joined(own).alias("base_labels"), joined(found).alias("labels"),
+        F.coalesce(F.array_max(F.transform(found, lambda x: x["share"])), F.lit(0.0)).alias("score"))
