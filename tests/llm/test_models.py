@@ -106,8 +106,8 @@ def test_model_scores(docs, fitted):
 
 def test_probabilities_sum_to_one(fitted):
     model = fitted.model
-    p, row = model.parameters, model.row_of[np.full((1, 16), model.end)]
-    h = model.hidden(row, row, np.array([True]))[3]
+    p, row = model.parameters, model.row_of[np.full((2, attention.STRIDE), model.end)]
+    h = model.hidden(row, np.array([True]))[3]
     share = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
     classes = np.concatenate([share(h @ p["last"] + p["prior"])[g] * share(h @ p["deep"][g] + p["deep_prior"][g]) for g in range(attention.GROUPS)])
     assert abs(float((classes[model.class_of] * np.exp(model.inside)).sum()) - 1) < 1e-5
@@ -138,8 +138,9 @@ def test_gradients():
     rows, classes = 30, attention.GROUPS * attention.CLASSES
     flat = r.normal(0, 0.3, sum(int(np.prod(s)) for s in attention.shapes(rows).values())).astype(np.float64)
     p = attention.views(flat, rows)
-    now, before = r.integers(0, rows, (3, 16)), r.integers(0, rows, (3, 16))
-    want, real, first = r.integers(0, classes, (3, 16)), r.random((3, 16)) < 0.8, np.array([True, False, False])
+    s = attention.STRIDE
+    now, before = r.integers(0, rows, (3, s)), r.integers(0, rows, (3, s))
+    want, real, first = r.integers(0, classes, (3, s)), r.random((3, s)) < 0.8, np.array([True, False, False])
     _, g = attention.gradients(p, now, before, first, want, real)
     whole = np.concatenate([g[n].ravel() for n in attention.shapes(rows)])
     for k in r.integers(0, len(flat), 60):
