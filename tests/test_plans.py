@@ -46,6 +46,20 @@ def test_live_to_reports(spark, folder):
     assert len(ids) == len(set(ids)) > 0
     assert parts[0].columns[:4] == ["id", "subreddit_nombre", "fecha_creacion_utc", "texto_model"]
     assert spark.read.json(folder + "/prep/class_weights").count() >= 2
+    silver.run_report(spark, folder + "/silver", folder + "/rep")
+    per = spark.read.parquet(folder + "/rep_comunidades.parquet")
+    assert per.agg(F.sum("total_registros_limpios")).first()[0] == n
+    assert all(spark.read.parquet(f"{folder}/rep_{x}.parquet").count() > 0 for x in ("fechas", "nulos", "diccionario"))
+    assert all(spark.read.parquet(f"{folder}/report_{x}.parquet").count() > 0 for x in ("concordancia", "histogramas"))
+    labelled, doubtful = (spark.read.parquet(f"{folder}/prep/{x}") for x in ("silver_sentimiento", "silver_revision"))
+    assert 0 < doubtful.count() < labelled.count() and doubtful.agg(F.min("confianza")).first()[0] > 0
+    prep.run_train(spark, folder + "/prep", folder + "/ms")
+    prep.run_score(spark, folder + "/silver", folder + "/ms", folder + "/scored")
+    prep.run_evaluate(spark, folder + "/prep", folder + "/ms", folder + "/eval")
+    assert spark.read.parquet(folder + "/scored").select("id").distinct().count() == n
+    rows = {r.clase: r.support for r in spark.read.parquet(folder + "/eval_clases.parquet").collect()}
+    assert rows["accuracy"] == parts[2].count() == spark.read.parquet(folder + "/eval_confusion.parquet").agg(F.sum("n")).first()[0]
+    assert 0 <= spark.read.parquet(folder + "/eval_macro.parquet").first()["f1_macro"] <= 1
 
 
 def test_trigger():

@@ -35,6 +35,9 @@ def main(argv: list[str] | None = None) -> None:
     stage("quality", "triples", "report")
     stage("sentiment", "silver", "stars", "folder")
     stage("train", "folder", "model")
+    stage("score", "silver", "model", "out")
+    stage("evaluate", "folder", "model", "report")
+    stage("silver-report", "silver", "report")
     a = parser.parse_args(argv)
     spark = build_session(f"veleta-{a.stage}")
     table = lambda path: spark.read.parquet(path) if path else None
@@ -56,6 +59,9 @@ def main(argv: list[str] | None = None) -> None:
         "quality": lambda: graph.run_quality(spark, a.triples, a.report),
         "sentiment": lambda: prep.run(spark, a.silver, table(a.stars), a.folder),
         "train": lambda: print(prep.run_train(spark, a.folder, a.model)),
+        "score": lambda: prep.run_score(spark, a.silver, a.model, a.out),
+        "evaluate": lambda: prep.run_evaluate(spark, a.folder, a.model, a.report),
+        "silver-report": lambda: silver.run_report(spark, a.silver, a.report),
     }[a.stage]()
 
 

@@ -44,6 +44,9 @@ def run_predict_b(spark: SparkSession, features_path: str, model_path: str, out:
 
 
 def run_compare(spark: SparkSession, path_a: str, path_b: str, report: str) -> None:
+    """Metrics, agreement per community and probability histograms of two prediction tables."""
     joined = ab.ab_join(spark.read.parquet(path_a), spark.read.parquet(path_b))
     write_report(ab.ab_metrics(joined).withColumn(
         "timestamp_calculo", F.current_timestamp().cast("string")), report)
+    write_report(ab.ab_agreement(joined), f"{report}_concordancia")
+    write_report(ab.probability_histograms(joined), f"{report}_histogramas")

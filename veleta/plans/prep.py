@@ -8,13 +8,14 @@ from veleta.functions.lang import language
 from veleta.functions.once import add_once
 from veleta.functions.text import model_text
 from veleta.functions.values import epoch_timestamp
-from veleta.operators import labels, models
+from veleta.functions import probs as P
+from veleta.operators import evaluate, labels, models
 from veleta.operators.dedup import first_by_text
 from veleta.operators.harmonize import require
 from veleta.schemas import (DROPPED, KEEP_FIRST, LANGUAGES, MIN_TEXT_LENGTH, TARGET_SUBREDDITS,
                             TEXT_CHOICES, TRAINING_FIRST)
 from veleta.session import scratch
-from veleta.sources.tables import write_json, write_table
+from veleta.sources.tables import write_json, write_report, write_table
 
 
 def ordered(df: DataFrame, first, drop=()) -> DataFrame:
@@ -81,9 +82,16 @@ def balanced(labelled: DataFrame) -> DataFrame:
     return labels.binary_fallback(full)
 
 
+def for_review(labelled: DataFrame) -> DataFrame:
+    """Rows whose own class does not reach its threshold, the least certain first in a file: these are read
+    by people before they are used."""
+    return labels.with_confidence(labelled).filter(~F.coalesce("alta_confianza", F.lit(False))).drop("alta_confianza") \
+        .sortWithinPartitions("confianza", "id")
+
+
 def run(spark: SparkSession, silver_path: str, stars: DataFrame, folder: str,
         exact_split: bool = False) -> None:
-    """Write clean, ready, labelled, train / val / test tables and the class weights."""
+    """Write clean, ready, labelled, review, train / val / test tables and the class weights."""
     write_table(clean(spark.read.parquet(silver_path)), f"{folder}/silver_clean")
     ready = targeted(spark.read.parquet(f"{folder}/silver_clean"))
     write_table(ready, f"{folder}/silver_sentiment_ready")
@@ -91,6 +99,7 @@ def run(spark: SparkSession, silver_path: str, stars: DataFrame, folder: str,
     # Without any target community the whole clean set is used.
     source = ready if not ready.isEmpty() else spark.read.parquet(f"{folder}/silver_clean")
     write_table(label_and_select(source, stars), f"{folder}/silver_sentimiento")
+    write_table(for_review(spark.read.parquet(f"{folder}/silver_sentimiento")), f"{folder}/silver_revision")
     chosen = balanced(spark.read.parquet(f"{folder}/silver_sentimiento"))
     split = labels.ranked_split(chosen) if exact_split else labels.hash_split(chosen)
     parts = scratch(spark, "split")
@@ -108,3 +117,24 @@ def run_train(spark: SparkSession, folder: str, model_path: str) -> float:
     model, score = models.train_sentiment(train, val, text_column(train.columns))
     model.write().overwrite().save(model_path)
     return score
+
+
+def run_score(spark: SparkSession, silver_path: str, model_path: str, out: str) -> None:
+    """Class, probabilities and confidence of every post by a stored model; blank texts get the neutral record."""
+    texts = with_model_text(spark.read.parquet(silver_path)).select("id", "texto_model")
+    scored = models.score_sentiment(models.load_or_train(model_path, None), texts)
+    record = P.prediction_record(F.col("texto_model"), F.col("probs"))
+    write_table(scored.select("id", record.alias("r")).select("id", "r.*"), out)
+
+
+def run_evaluate(spark: SparkSession, folder: str, model_path: str, report: str) -> None:
+    """Classification report, macro measures and confusion matrix of a stored model on the test part."""
+    test = spark.read.parquet(f"{folder}/test")
+    scored = models.score_sentiment(models.load_or_train(model_path, None), test.withColumn(
+        "texto_model", F.col(text_column(test.columns)))).select("id", "label", "prediccion")
+    path = scratch(spark, "scored")
+    write_table(scored, path)
+    scored = spark.read.parquet(path)
+    write_report(evaluate.classification_report(scored), f"{report}_clases")
+    write_report(evaluate.macro_metrics(scored), f"{report}_macro")
+    write_report(evaluate.confusion_matrix(scored), f"{report}_confusion")
