@@ -62,6 +62,32 @@ def test_extract_keeps_whole_articles(pages, labeller):
         assert abs(len(known) - r.n_chars) <= 0.02 * len(known) + 12
 
 
+PROSE = "A fairly long paragraph of ordinary prose that tells the reader something about the matter at hand."
+LAYOUTS = [  # (page, the blocks to keep)
+    (f"<article><h1>Title here</h1><p>{PROSE}</p><p>{PROSE} {PROSE}</p><div class=comments><p>Great text, thanks!</p></div></article>",
+     ["Title here", PROSE, f"{PROSE} {PROSE}"]),
+    (f"<article><p>{PROSE}</p><p>{PROSE}</p><div class=discussion><p>I do not agree with this.</p><p>Me neither</p></div></article>", [PROSE] * 2),
+    (f"<div class=post><h1>Rivers</h1><p>{PROSE}</p><p>{PROSE}</p></div>", ["Rivers", PROSE, PROSE]),
+    (f"<article><p>{PROSE}</p><table><tr><td>Length</td><td>12 km</td></tr></table><p>{PROSE}</p></article>", [PROSE, "Length", "12 km", PROSE]),
+    (f"<div class=content><p>{PROSE}</p><p>{PROSE}</p></div><div>Copyright 2020 The Site</div>", [PROSE] * 2),
+    (f"<div class=site><div class=top><a href=/>Home</a><a href=/x>News</a></div><div class=col><h1>Rivers</h1><p>{PROSE}</p><p>{PROSE}</p></div>"
+     "<div class=bottom>All rights reserved</div></div>", ["Rivers", PROSE, PROSE]),
+    (f"<article><p>{PROSE}<svg><path d=1></p><p>{PROSE}</p></article>", [PROSE] * 2),
+    (f"<article><script src=/a.js/>var a;</script><p>{PROSE}</p></article>", [PROSE]),
+    (f"<article><p>{PROSE} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>", [f"{PROSE} x=2 holds."]),
+    (f"<table><tr><td><h1>Rivers</h1><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></td></tr></table>", ["Rivers", PROSE, PROSE, PROSE]),
+    (f"<select><option>One<option>Two</select><article><p>{PROSE}</p><ul><li>{PROSE}</li></ul></article>", [PROSE] * 2),
+    (f"<main><p>{PROSE}</p><aside class=ad><p>Buy now</p></aside><p>{PROSE}</p></main><footer><p>Terms of use</p></footer>", [PROSE] * 2),
+]
+
+
+def test_extract_other_layouts(spark, labeller):
+    """Pages whose markup the test tables do not have, compared exactly."""
+    rows = [(k, None, page) for k, (page, _) in enumerate(LAYOUTS)]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), labeller).collect()}
+    assert got == {k: " ".join(keep) for k, (_, keep) in enumerate(LAYOUTS)}
+
+
 def test_all_name_words_are_read():
     page = "<div class='col-12 col-md-8 offset-md-2 mt-4 mb-4 px-3 comments' id=x><p>t"
     path = blocks(page)[0].path

@@ -245,17 +245,19 @@ _FOOT = ("All rights reserved.", "Terms of use", "Privacy policy", "Contact us",
 def _wrapped(r: random.Random, kind: str, inner: str) -> str:
     choices = {
         "content": ("article", "main", 'div class="content"', 'div id="main"', 'div class="post-content"', 'section class="article-body"',
-                    'div class="entry"', 'div role="main"', 'div class="story"', "div", "section", 'div class="text"'),
-        "menu": ("nav", 'div class="menu"', 'ul class="nav"', 'div id="navigation"', 'div class="navbar"', 'div class="breadcrumbs"', "div"),
-        "head": ("header", 'div class="header"', 'div id="masthead"', 'div class="site-header"'),
-        "side": ("aside", 'div class="sidebar"', 'div id="sidebar"', 'div class="widget"', 'div class="related"', "div"),
+                    'div class="entry"', 'div role="main"', 'div class="story"', "div", "section", 'div class="text"', 'div class="col"',
+                    'div class="post"', 'div class="middle"', "td"),
+        "menu": ("nav", 'div class="menu"', 'ul class="nav"', 'div id="navigation"', 'div class="navbar"', 'div class="breadcrumbs"', "div", 'div class="top"', 'div class="left"'),
+        "head": ("header", 'div class="header"', 'div id="masthead"', 'div class="site-header"', 'div class="top"'),
+        "side": ("aside", 'div class="sidebar"', 'div id="sidebar"', 'div class="widget"', 'div class="related"', "div", 'div class="right"'),
         "note": ('div class="notice"', 'div class="cookie-banner"', 'div id="alert"', 'div class="newsletter"', 'div class="popup"',
                  'div role="alert"', 'div class="share"', 'div class="promo"'),
         "ad": ('div class="ad"', 'div class="advert"', 'aside class="ads"', 'div id="sponsored"', 'section class="advertisement"'),
         "form": ("form", 'form class="login"', 'div class="signup"', 'form id="search"'),
         "comments": ('div id="comments"', 'section class="comments"', 'div class="comment-list"', 'ol class="replies"',
-                     'div class="disqus"', 'section id="respond"'),
-        "foot": ("footer", 'div class="footer"', 'div id="footer"', 'div class="site-footer"'),
+                     'div class="disqus"', 'section id="respond"', 'div class="discussion"', 'div class="responses"', 'ul class="commentlist"'),
+        "foot": ("footer", 'div class="footer"', 'div id="footer"', 'div class="site-footer"', 'div class="bottom"', "div"),
+        "shell": ('div class="site"', 'div id="page"', 'div class="wrap"', "table", "main"),
     }[kind]
     start = r.choice(choices)
     return f"<{start}>{inner}</{start.split()[0]}>"
@@ -272,13 +274,25 @@ def rearranged(r: random.Random, texts: list[str], loose: list[str]) -> tuple[li
     # An article may hold very short blocks and what elsewhere is boilerplate.
     texts = [r.choice(_NOTE + _FOOT + _MENU + _SIDE) if (u := r.random()) < 0.08 else " ".join(t.split()[:r.randint(1, 4)])
              if u < 0.25 else t for t in texts]
-    body = [f"<h1>{mark}{texts[0][:60]}</h1>"] if r.random() < 0.7 else []
+    head = texts[0][:60] if r.random() < 0.6 else " ".join(texts[0].split()[:r.randint(1, 3)])
+    body = [f"<h1>{mark}{head}</h1>"] if r.random() < 0.7 else []
     for k, t in enumerate(texts):
         kind = r.random()
         body.append(paragraph(t) if kind < 0.75 else f"<div>{mark}{t}</div>" if kind < 0.8 else f"<blockquote>{paragraph(t)}</blockquote>"
                     if kind < 0.85 else f"<ul><li>{mark}{t}</li></ul>" if kind < 0.92 else f"<h2>{mark}{t[:50]}</h2>" + paragraph(t))
-        if r.random() < 0.12:
-            body.append(_wrapped(r, r.choice(("ad", "note", "side")), f"<p>{r.choice(loose)[:120]}</p>"))
+        if r.random() < 0.06:   # a table or a list of short facts
+            facts = [" ".join(t.split()[i:i + r.randint(1, 3)]) for i in range(0, 6, 2)]
+            rows = "".join(f"<tr><td>{mark}{f}</td><td>{mark}{r.randint(1, 99)} {r.choice(('km', 'kg', 'years', 'EUR'))}</td></tr>" for f in facts if f)
+            body.append(f"<table>{rows}</table>" if r.random() < 0.6 else "<ul>" + "".join(f"<li>{mark}{f}</li>" for f in facts if f) + "</ul>")
+        if r.random() < 0.18:
+            aside = f"<p>{r.choice(loose)[:120]}</p>" if r.random() < 0.6 else r.choice(_SIDE + tuple(t[:r.choice((8, 30))] for t in loose[:4]))
+            body.append(_wrapped(r, r.choice(("ad", "note", "side", "side")), aside))
+    talk = lambda: "<h3>Comments</h3>" * (r.random() < 0.5) + "".join(
+        f'<div class="{r.choice(("comment", "reply", "item", "user-comment"))}"><p>{r.choice(loose)[:r.choice((20, 60, 400))]}</p></div>'
+        if r.random() < 0.6 else f"<p>{r.choice(loose)[:r.choice((20, 60, 400))]}</p>" for _ in range(r.randint(1, 5)))
+    nested = r.random() < 0.45
+    if nested:                  # readers' comments inside the article's own element
+        body.append(_wrapped(r, "comments", talk()))
     words = tuple(_MENU) + tuple(w for t in loose[:3] for w in t.split()[:6])
     parts = []
     maybe = lambda p, kind, inner: parts.append(_wrapped(r, kind, inner)) if r.random() < p else None
@@ -291,13 +305,14 @@ def rearranged(r: random.Random, texts: list[str], loose: list[str]) -> tuple[li
     parts.append(_wrapped(r, "content", "".join(body)))
     maybe(0.4, "ad", f"<p>{r.choice(loose)[:150]}</p>")
     maybe(0.4, "form", "".join(f"<p>{r.choice(_FORM)}</p>" for _ in range(r.randint(1, 4))))
-    if r.random() < 0.5:
-        inner = "".join(f'<div class="{r.choice(("comment", "reply", "item", "user-comment"))}"><p>{r.choice(loose)}</p></div>'
-                        if r.random() < 0.7 else f"<p>{r.choice(loose)}</p>" for _ in range(r.randint(1, 5)))
-        parts.append(_wrapped(r, "comments", f"<h3>Comments</h3>{inner}"))
+    if not nested and r.random() < 0.5:
+        parts.append(_wrapped(r, "comments", talk()))
     maybe(0.4, "side", side())
-    maybe(0.8, "foot", f"<p>{r.choice(_FOOT)}</p><p>&copy; {r.choice(loose)[:40]}</p>")
-    page = blocks("<html><body>" + "".join(parts) + "</body></html>")
+    maybe(0.8, "foot", f"<p>{r.choice(_FOOT)}</p><p>{r.choice(("&copy;", "Copyright 2020"))} {r.choice(loose)[:40]}</p>")
+    inner = "".join(parts)
+    if r.random() < 0.25:
+        inner = _wrapped(r, "shell", inner)
+    page = blocks("<html><body>" + inner + "</body></html>")
     labels = [int(mark in b.text) for b in page]
     for b in page:
         b.text = b.text.replace(mark, "")
@@ -312,7 +327,7 @@ def training_pages(sample: list[str], seed: int = 7) -> tuple[list[list[Block]],
     articles = [[b.text.replace("<", " ").replace("&", " ") for b, y in zip(p, ys) if y == 1] for p, ys in zip(pages, labels)]
     articles = [a for a in articles if a] or [["A short text about nothing.", "It goes on, and then it ends."]]
     made = []
-    for _ in range(2 * max(60, len(pages))):
+    for _ in range(3 * max(120, len(pages))):
         own, others = r.choice(articles), [t for _ in range(3) for t in r.choice(articles)]
         at = r.randrange(len(own))
         made.append(rearranged(r, own[at:at + r.randint(1, 14)], others))

@@ -12,11 +12,14 @@ _NAMES = re.compile(r"""(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"
 _WORD = re.compile(r"[a-z]+")
 
 # Elements whose content is not text to read (fixed values of the markup language).
-HIDDEN = frozenset("script style noscript template iframe object svg math canvas audio video textarea select button "
-                   "option title head datalist".split())
+HIDDEN = frozenset("script style noscript template iframe object svg canvas audio video textarea select button "
+                   "option title head datalist annotation".split())
+# Of these, the ones that only their own end tag ends, and those that may close themselves.
+RAW, FOREIGN = frozenset("script style textarea title iframe noscript".split()), frozenset(["svg", "annotation"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output q s "
-                   "samp small span strike strong sub sup time tt u var img wbr".split())
+                   "samp small span strike strong sub sup time tt u var img wbr math semantics mrow mi mn mo ms mtext "
+                   "mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mspace".split())
 # A start tag of the key closes an open element of the value.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}}
@@ -78,16 +81,25 @@ def blocks(page: str | None) -> list[Block]:
         if hidden is not None:
             if closing and tag == hidden:
                 hidden = None
-            elif hidden in ("script", "style", "textarea", "title") and not closing:
+            elif hidden in RAW:
                 at = left + 1      # markup inside raw text is text
             elif hidden == "head" and tag == "body":
                 hidden = None
+            elif closing and any(t == tag for t, _ in stack) or tag == "select" and closing:
+                hidden = None      # an element without an end tag ends with its parent
+                if tag != "select":
+                    flush()
+                    for k in range(len(stack) - 1, -1, -1):
+                        if stack[k][0] == tag:
+                            del stack[k:]
+                            break
+                continue
             else:
                 continue
             if tag != "body" or closing:
                 continue
         if tag in HIDDEN and not closing:
-            if not found.group(3).rstrip().endswith("/"):
+            if not (tag in FOREIGN and found.group(3).rstrip().endswith("/")):
                 hidden = tag
             continue
         if tag not in INLINE:
