@@ -1,19 +1,16 @@
-"""Suffix-array dedup of byte strings by a distributed difference-cover sort.
-
-Only prefixes of ``length`` bytes of the suffixes matter.  Texts are parsed so that equal text is parsed
-alike: every start has an anchor, the smallest of the ``length * 3 / 5``-byte strings inside its
-window, and starts with one anchor form a phrase.  Anchors that occur once rule out their starts; the
-phrases that remain are the symbols of the difference-cover sort:
-
-1. the suffixes at phrase numbers 1 and 2 modulo 3 are the sample; triples of symbols are named and
-   the recursion names triples of names, as deep as the windows of a phrase reach;
-2. the remaining suffixes (0 modulo 3) merge with either sample class by the symbols in front of
-   the next sampled name: (symbol, name) against class 1, (symbol, symbol, name) against class 2;
-3. each merged order is sorted in ranges, a fragment per task, and neighbours are compared: a suffix
-   that equals its neighbour as deep as its windows reach repeats the first of them.
-
-Starts whose phrase is not settled so (around the ends of repeats) are sorted by their ``length``-byte
-prefixes in the same way, and adjacent equal prefixes are the remaining repeats.
+"""Dedup of repeated byte strings by hashes of anchored phrases.
+
+Equality of ``length`` bytes is asked for, not the order of suffixes, so no suffix is ranked: this is not the
+difference-cover sort that the operator is named after (see the README).  What runs:
+
+1. Texts are parsed so that equal text is parsed alike.  Every start has an anchor, the smallest of the
+   ``length * 3 / 5``-byte strings inside its window, and starts with one anchor form a phrase.  Anchors
+   that occur once rule out their starts.
+2. Phrases that remain are symbols; runs of up to nine symbols are hashed from triples of symbols and
+   triples of those, once for each of the groupings of places modulo 3.  Equal hashes are grouped, a
+   fragment per task, and all but the first of a group repeat it as deep as the windows of a phrase reach.
+3. Starts that are not settled so (around the ends of repeats) are grouped by the hash of their
+   ``length`` bytes.
 """
 
 from __future__ import annotations
