@@ -230,7 +230,7 @@ select cast(count(*) as bigint) as muestra, round(avg(n), 6) as mean_tokens,
 from (select cast(len(list_filter(regexp_split_to_array(lower(texto_model), '[^\\p{L}\\p{N}_]+'), lambda x: x <> '')) as double) as n
   from con_texto order by md5(id || '|42') limit 20000) q""")
 def token_stats(v: Views) -> DataFrame:
-    out = profile.token_stats(texts(v), "id", token_count(F.col("texto_model")))
+    out = profile.token_stats(texts(v), "id", token_count(F.col("texto_model")), keys=v.posts().select("id"))
     return out.withColumns({c: r6(c) for c in ("mean_tokens", "trunc_rate")})
 
 

@@ -151,16 +151,18 @@ def rolling_mean(monthly: DataFrame, months: int = 3) -> DataFrame:
 
 
 def token_stats(df: DataFrame, key: str, n_tokens: Column, sample: int = 20000,
-                max_length: int = 256, seed: int = 42) -> DataFrame:
+                max_length: int = 256, seed: int = 42, keys: DataFrame | None = None) -> DataFrame:
     """Token-length figures of a deterministic sample of at most ``sample`` rows.
 
     The sample is the feature here: the rows with the smallest seeded digests; rows without key
     have none and come last.  Rows are counted by the first digits of their digest; digests behind
     the one where the sample is full are left out in the map tasks, and only the sample is tokenised.
+    ``keys`` are the keys of ``df`` from a table that is cheaper to read, so that its texts are computed once.
     """
     digest = F.md5(F.concat(F.col(key), F.lit(f"|{seed}")))
     rows, start = df.withColumn("_d", digest), F.substring("_d", 1, 4)
-    counts = rows.filter("_d is not null").groupBy(start.alias("start")).agg(F.count(F.lit(1)).alias("n"))
+    all_keys = (df if keys is None else keys).select(digest.alias("_d"))
+    counts = all_keys.filter("_d is not null").groupBy(start.alias("start")).agg(F.count(F.lit(1)).alias("n"))
     upto = counts.select("start", F.sum("n").over(Window.orderBy("start")).alias("upto"))
     full = upto.filter(F.col("upto") >= sample).agg(F.min("start")).first()[0]
     if full is not None:
