@@ -129,7 +129,7 @@ def test_training_helps_on_held_out_texts(docs, fitted):
     start = attention.start_model(counts, fitted.model.end, TOKENIZER, [b""] * len(counts))
     total = lambda f: sum(r["score"] for r in attention.score(docs, f).collect() if r["held_out"])
     untrained = total(attention.Fitted(start, fitted.words, fitted.texts, fitted.tokens, fitted.distinct))
-    assert total(fitted) > 0.97 * untrained
+    assert total(fitted) > 0.99 * untrained
     assert total(attention.fit(docs, TOKENIZER, share=1)) > 0.85 * untrained
 
 
