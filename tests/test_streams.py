@@ -38,3 +38,15 @@ def test_upsert_ties_nulls_and_restart(spark, folder):
     want = sorted(map(tuple, latest_by_key(every, "k", "o").collect()))
     got = upsert.current(spark, folder + "/out", versions.schema.add("lote", "long"), "k").select("k", "t", "o")
     assert sorted(map(tuple, got.collect())) == want and counts == [3, 4, 6]
+
+
+def test_upserts_stay_native(spark, folder):
+    """No Python for a key: the plan has none, and the newest of many versions of a key wins in one batch."""
+    rows = spark.range(20_000).selectExpr("id % 10000 as k", "id as o", "cast(id as string) as t")
+    rows.repartition(3).write.parquet(folder + "/in")
+    versions = upsert.newest_versions(spark.readStream.schema(rows.schema).parquet(folder + "/in"), "k", "o")
+    assert "Python" not in versions._jdf.queryExecution().analyzed().toString()
+    assert "InPandas" not in versions._jdf.queryExecution().analyzed().toString()
+    upsert.start_upserts(versions, folder + "/out", folder + "/cp", seconds=0).awaitTermination()
+    got = spark.read.parquet(folder + "/out")
+    assert got.columns[:3] == ["k", "o", "t"] and got.count() == 10_000 and got.filter("o != k + 10000").count() == 0
