@@ -131,7 +131,10 @@ def stream_ab_hourly(v: Views) -> DataFrame:
     a, b = v.pred_a().withColumn("fecha_creacion", time), v.pred_b().withColumn("fecha_creacion", time)
     turn = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int")
     late = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0
-    wait = "100000 days"   # posts land in no order of time here
+    # Posts land in no order of time here: the delay is the time that they span, or hours would close before their posts.
+    span = a.select("fecha_creacion").unionByName(b.select("fecha_creacion")).agg(
+        F.max(F.unix_seconds("fecha_creacion")) - F.min(F.unix_seconds("fecha_creacion"))).first()[0]
+    wait = f"{(span or 0) // 86_400 + 2} days"
 
     def drain() -> None:
         stream = lambda name, like: v.spark.readStream.schema(like.schema).parquet(f"{root}/{name}")

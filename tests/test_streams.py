@@ -50,3 +50,14 @@ def test_upserts_stay_native(spark, folder):
     upsert.start_upserts(versions, folder + "/out", folder + "/cp", seconds=0).awaitTermination()
     got = spark.read.parquet(folder + "/out")
     assert got.columns[:3] == ["k", "o", "t"] and got.count() == 10_000 and got.filter("o != k + 10000").count() == 0
+
+
+def test_live_hours_count_posts_of_any_time(spark, folder):
+    """Posts centuries apart land in no order of time; none of them is late."""
+    from checks import ab
+    ids = [1, 2, 3, 4, 5, 6, 7, 8] + [900_000 + k for k in range(8)]
+    docs = spark.createDataFrame([(k, "a text. more", "en", "s", 12) for k in ids], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(folder + "/documents.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(folder + "/pages.parquet")
+    v = Views(spark, folder)
+    assert sorted(map(tuple, streams.stream_ab_hourly(v).collect())) == sorted(map(tuple, ab.ab_metrics_hourly(v).collect()))
