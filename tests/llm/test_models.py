@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from veleta.llm import attention, resample, vectorcodes
 
@@ -285,3 +286,16 @@ def test_odd_vectors(spark):
     assert sorted((r[0] or 0, r["error"]) for r in got) == [(0, 0), (1, 0), (1, 0), (3, 0)]
     with pytest.raises(Exception, match="components must be below"):
         vectorcodes.encode(spark.createDataFrame([(1, [0.0] * 8, 1, "c", 1, 1), (2, [1e9] * 8, 1, "c", 1, 1)], VECTORS)).collect()
+
+
+def test_every_place_of_every_training_text_is_learnt_from(docs, fitted, monkeypatch):
+    counts = attention.subword_counts(fitted.words, TOKENIZER, len(fitted.model.inside))
+    seen, averaged = [], attention._averaged
+
+    def noted(rows, size):
+        seen.append(rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        return averaged(rows, size)
+
+    monkeypatch.setattr(attention, "_averaged", noted)
+    attention.fit(docs, TOKENIZER)
+    assert sum(seen) == int(counts.sum()) + fitted.texts and min(seen) > 0

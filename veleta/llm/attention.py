@@ -33,7 +33,7 @@ ROWS = 2048                # frequent ids with an embedding of their own; the ot
 HEAVY = 1 << 20            # a word with at least this part of all tokens has its count in every task
 FLUSH = 250_000            # different words that a task holds at a time
 SLICE = 1 << 20            # bytes of text that a task turns into arrays at a time
-PIECE = 64                 # words of a piece that is learnt from
+BEGIN = 64                 # words at a text's beginning that deal it to a round of training
 
 
 # -- the model ------------------------------------------------------------------------------------------
@@ -442,12 +442,12 @@ def _averaged(rows: DataFrame, size: int, slices: int = 16) -> np.ndarray | None
     return np.frombuffer(b"".join(r[1] for r in sorted(found)), np.float32).copy()
 
 
-def train(docs: DataFrame, model: Model, rounds: int, share: int, batch: int = 128, rate: float = 0.03) -> Model:
+def train(docs: DataFrame, model: Model, rounds: int, share: int = 1, batch: int = 128, rate: float = 0.03) -> Model:
     """Local steps in every task, averaged after each round.
 
-    A round learns from every ``share * rounds``-th piece of ``PIECE`` words of every training text (where it
-    begins follows from the text), so all texts and all their parts take part and the work grows
-    with the corpus.
+    The rounds deal the training texts among them (by a hash of how a text begins), so every place of every training text
+    is learnt from once, in the windows that score it.  ``share`` above 1, for trials, leaves out the texts that
+    fall on no round.
     """
     for step in range(rounds):
         now = model
@@ -471,20 +471,12 @@ def train(docs: DataFrame, model: Model, rounds: int, share: int, batch: int = 1
 
             for b in batches:
                 for _, texts in _slices(b):
-                    pieces, last = [], []
-                    for words in texts:
-                        begin = zlib.crc32(b" ".join(words[:PIECE])) + share * step
-                        for k in range(-(begin % (share * rounds)) % (share * rounds), len(words) // PIECE + 1, share * rounds):
-                            pieces.append(words[k * PIECE:(k + 1) * PIECE])
-                            last.append((k + 1) * PIECE > len(words))
-                    if not pieces:
+                    own = [words for words in texts if zlib.crc32(b" ".join(words[:BEGIN])) % (share * rounds) == step]
+                    if not own:
                         continue
-                    # The end id is a target only where the text ends.
-                    found = ids.texts(pieces, end)
+                    found = ids.texts(own, end)
                     lengths = np.array([len(t) // 4 for t in found], np.int64)
                     inputs, targets, real, first, _ = chunks(np.frombuffer(b"".join(found), np.uint32).astype(np.int32), lengths, now.end)
-                    open_ = np.cumsum(-(-lengths // STRIDE))[~np.array(last)] - 1
-                    real[open_, (lengths[~np.array(last)] - 1) % STRIDE] = False
                     held.append([inputs, inputs[np.maximum(np.arange(len(inputs)) - 1, 0)], targets, real, first])
                     steps(False)
             if held:
@@ -496,7 +488,7 @@ def train(docs: DataFrame, model: Model, rounds: int, share: int, batch: int = 1
         rows = arrow_map(docs.filter("not held_out").select("text"), learn, "part int, n long, flat binary")
         flat = _averaged(rows, len(model.flat))
         if flat is None:
-            break
+            continue   # no text fell on this round
         model = Model(model.tokenizer, model.end, model.class_of, model.inside, model.row_of, flat)
     return model
 
@@ -519,11 +511,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, modulus: int = 7, held_ou
                        F.col(f"`{text_col}`").alias("text"))
 
 
-def fit(docs: DataFrame, tokenizer: str, rounds: int = 2, share: int = 48, id_col: str = "doc_id", text_col: str = "text") -> Fitted:
+def fit(docs: DataFrame, tokenizer: str, rounds: int = 2, share: int = 1, id_col: str = "doc_id", text_col: str = "text") -> Fitted:
     """Count words and subwords of all training rows (those not held out) and train the model on them.
 
     ``tokenizer`` is a byte-level vocabulary file that every executor can open; it is never trained.
-    ``share``: the attention weights see every ``share``-th chunk of every training text; counts see all.
+    The attention weights and the counts see every place of every training text; ``share`` is that of ``train``.
     """
     from tokenizers import Tokenizer
 
