@@ -380,3 +380,21 @@ def test_closure_of_odd_hierarchies(spark):
     members = O.members_of(types, spark.createDataFrame(sorted(want), "sub string, top string"))
     assert sorted(map(tuple, members.collect())) == [(1, "n7"), (1, "n8"), (1, "n9"), (2, "unknown")]
     assert O.closure(spark.createDataFrame([], "s string, o string")).count() == 0
+
+
+def test_closure_doubles_its_reach(spark, monkeypatch):
+    """A chain of 40 classes with a short cut and a cycle at its top: few rounds, every pair once."""
+    steps, durable = [], O.durable
+    monkeypatch.setattr(O, "durable", lambda df: steps.append(1) or durable(df))
+    edges = [(f"k{i}", f"k{i + 1}") for i in range(39)] + [("k3", "k20"), ("k39", "k37"), ("k5", "k5")]
+    up = {a: {b for x, b in edges if x == a} for a in {x for e in edges for x in e}}
+    want = set()
+    for a in up:
+        seen, todo = {a}, [a]
+        while todo:
+            new = up[todo.pop()] - seen
+            seen |= new
+            todo += new
+        want |= {(a, b) for b in seen}
+    got = list(map(tuple, O.closure(spark.createDataFrame(edges, "s string, o string")).collect()))
+    assert len(got) == len(want) and set(got) == want and len(steps) <= 9

@@ -253,18 +253,21 @@ def subclass_closure(types: DataFrame) -> DataFrame:
 def closure(edges: DataFrame, sub: str = "s", top: str = "o") -> DataFrame:
     """(sub, top): every class with itself and all its ancestors, for a hierarchy of any depth.
 
-    Rounds of joins over written tables, each for the pairs the round before has found; pairs that are known
-    are left out, so a cycle ends like a chain and the classes in it become ancestors of each other.
+    Every round doubles the distance that is known: pairs exactly that far apart are joined with all pairs known so
+    far, so a hierarchy n deep takes about log2(n) rounds, and a pair is written once.  Pairs that are known are
+    left out, so a cycle ends like a chain and the classes in it become ancestors of each other.
     """
     up = durable(edges.select(F.col(sub).alias("sub"), F.col(top).alias("top")).filter("sub is not null and top is not null").distinct())
     nodes = up.select("sub").unionByName(up.select(F.col("top").alias("sub"))).distinct()
-    known = durable(nodes.select("sub", F.col("sub").alias("top")))
-    fresh = durable(up.filter("sub <> top"))
+    fresh = known = up.filter("sub <> top").withColumn("far", F.lit(1))
+    reach = 1
     while not fresh.isEmpty():
-        known = durable(known.unionByName(fresh))
-        step = fresh.join(up.select(F.col("sub").alias("top"), F.col("top").alias("next")), "top").select("sub", F.col("next").alias("top"))
-        fresh = durable(step.distinct().join(known, ["sub", "top"], "left_anti"))
-    return known
+        # The first ``reach`` steps of a shortest path lead exactly that far.
+        step = (fresh.filter(F.col("far") == reach).select("sub", F.col("top").alias("mid"))
+                .join(known.select(F.col("sub").alias("mid"), "top", (F.col("far") + reach).alias("far")), "mid").filter("sub <> top"))
+        fresh = durable(step.groupBy("sub", "top").agg(F.min("far").alias("far")).join(known, ["sub", "top"], "left_anti"))
+        known, reach = known.unionByName(fresh), 2 * reach
+    return nodes.select("sub", F.col("sub").alias("top")).unionByName(known.select("sub", "top"))
 
 
 def subclass_edges(triples: DataFrame) -> DataFrame:
