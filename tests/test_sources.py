@@ -79,6 +79,20 @@ def test_bronze_layouts(spark, folder):
     assert read_bronze(spark, folder + "/month").count() == 2
 
 
+def test_bronze_folders_stay_few_over_many_months(spark, folder):
+    """A post every ten days over a thousand years, and one without time."""
+    posts = spark.range(36525).select(F.col("id").cast("string"), F.lit("News").alias("subreddit"),
+                                      (F.col("id") * 864000.0 - 86400).alias("created_utc"))
+    posts = posts.unionByName(spark.createDataFrame([("x", "News", None)], "id string, subreddit string, created_utc double"))
+    write_bronze(posts, folder + "/bronze")
+    names = sorted(n.removeprefix("mes=") for n in os.listdir(folder + "/bronze") if n.startswith("mes="))
+    assert len(names) <= 420 + 12 + 1
+    assert {"2005-01", "2024-02", "2039-12", "1900-01", "2000-01", "2900-01"} <= set(names) and "2040-01" not in names
+    back = spark.read.parquet(folder + "/bronze")
+    assert back.select("id", "created_utc").exceptAll(posts.select("id", "created_utc")).isEmpty() and back.count() == 36526
+    assert back.filter(F.col("fecha") != F.date_format(F.timestamp_seconds("created_utc"), "yyyy-MM-dd")).isEmpty()
+
+
 def test_archive(spark, folder):
     raw = "\n".join([
         '{"subreddit":"Ecuador","created_utc":1600000000,"title":"el perro y los gatos","selftext":"que"}',
