@@ -32,12 +32,14 @@ def _landing(v: Views, copies: int = 1, late: bool = False) -> DataFrame:
 select id, subreddit, cast(score as bigint) as score, strftime(make_timestamp(cast(created_utc * 1000000 as bigint)), '%Y-%m-%d') as fecha, 'bueno' as estado from posts
 union all select cast(null as varchar), cast(null as varchar), cast(length(id) as bigint), cast(null as varchar), 'malo' from posts""")
 def stream_bronze(v: Views) -> DataFrame:
-    """Landed posts, each followed by a broken line: bronze rows and quarantined lines."""
+    """Landed posts, each followed by a broken line, in three micro-batches of as many files as their rows
+    ask for: bronze rows and quarantined lines."""
     root = scratch(v.spark, "live")
+    files = 1 + v.table("documents").count() // 100_000
     bad = v.posts().select(F.concat(F.lit("{broken "), "id").alias("value"))
-    raw_lines(v).unionByName(bad).repartition(3).write.text(root + "/landing")
+    raw_lines(v).unionByName(bad).repartition(3 * files).write.text(root + "/landing")
     ingest.start_live(v.spark, root + "/landing", root + "/bronze", root + "/quarantine", root + "/cp",
-                      seconds=0, files_per_batch=1).awaitTermination()
+                      seconds=0, files_per_batch=files).awaitTermination()
     good = v.spark.read.parquet(root + "/bronze").select(
         "id", "subreddit", "score", F.col("fecha").cast("string").alias("fecha"),
         F.lit("bueno").alias("estado"))
