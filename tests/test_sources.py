@@ -2,14 +2,14 @@ import os
 
 import pytest
 import zstandard
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from veleta.operators.extract import bronze_records, newest_per_group, parse_lines
 from veleta.operators.harmonize import fill_nulls, fill_sentinel, require, resolve_types
 from veleta.schemas import BRONZE_SCHEMA, FIELDS, RENAMES
 from veleta.sources.bronze import BY_MONTH, read_bronze, read_drifting, write_bronze
 from veleta.sources.historical import keep_posts, scan_archive, select_files, write_months
-from veleta.sources.tables import read_concepts, read_ntriples, write_ntriples, write_report
+from veleta.sources.tables import read_concepts, read_ntriples, read_triples, write_ntriples, write_report, write_triples
 
 
 def test_catalogue():
@@ -79,6 +79,20 @@ def test_bronze_layouts(spark, folder):
     assert read_bronze(spark, folder + "/month").count() == 2
 
 
+def test_triples_are_written_without_a_sort(spark, folder, monkeypatch):
+    """Predicates stay in their folders, more of them than open files too, and the setting comes back."""
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(setting)), write(self, *a, **k)))
+    rows = spark.range(3000).select(F.concat(F.lit("s"), "id").alias("s"), F.concat(F.lit("p"), F.col("id") % 150).alias("p"),
+                                    F.lit("o").alias("o"), *[F.lit(None).cast("string").alias(c) for c in ("o_kind", "o_dtype", "o_lang")])
+    before = spark.conf.get(setting)
+    write_triples(rows, folder + "/t")
+    assert int(seen[0]) > 0 and spark.conf.get(setting) == before
+    assert read_triples(spark, folder + "/t").exceptAll(rows).isEmpty() and read_triples(spark, folder + "/t").count() == 3000
+    assert read_triples(spark, folder + "/t", ["p7"]).count() == 20 and len([n for n in os.listdir(folder + "/t") if "=" in n]) == 150
+
+
 def test_bronze_folders_stay_few_over_many_months(spark, folder):
     """A post every ten days over a thousand years, and one without time."""
     posts = spark.range(36525).select(F.col("id").cast("string"), F.lit("News").alias("subreddit"),

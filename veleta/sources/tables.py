@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from veleta.operators.concepts import merge_dictionaries
 from veleta.operators.triples import COLUMNS
 
+OPEN_FILES = 64  # more predicates than these in one task are sorted, as always
+
 
 def read_concepts(spark: SparkSession, *paths: str) -> DataFrame:
     """Concept dictionaries (concepto, sinonimo) with header; a missing file counts as empty."""
@@ -39,9 +41,18 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_triples(triples: DataFrame, path: str) -> None:
-    """Triple table partitioned by predicate, so a question reads only its predicates."""
-    triples.withColumn("predicado", F.substring(F.sha2("p", 256), 1, 12)).hint("rebalance", "p") \
-        .write.mode("overwrite").partitionBy("predicado").parquet(path)
+    """Triple table partitioned by predicate, so a question reads only its predicates.
+
+    A task keeps one file open for each of its few predicates: its rows, whole texts among them, are not sorted by folder.
+    """
+    conf, setting = triples.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(setting)
+    conf.set(setting, str(OPEN_FILES))
+    try:
+        triples.withColumn("predicado", F.substring(F.sha2("p", 256), 1, 12)).hint("rebalance", "p") \
+            .write.mode("overwrite").partitionBy("predicado").parquet(path)
+    finally:
+        conf.set(setting, before)
 
 
 def read_triples(spark: SparkSession, path: str, predicates: list[str] | None = None) -> DataFrame:
