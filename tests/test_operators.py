@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -357,6 +359,26 @@ def test_language_model_of_odd_texts(spark):
     assert texts.select(none.language(F.col("t"))).distinct().first()[0] == "und"
 
 
+def test_language_scores_count_code_points_and_long_texts(spark, monkeypatch):
+    """Sums equal those by hand, also for letters beyond 16 bits, with a text longer than a slice among blank ones."""
+    monkeypatch.setattr(langmodel, "SLICE", 64)
+    rows = [("Äbc, \U00010400\U00010401\U00010402x", "a"), ("", "b"), ("palabra larga " * 20, "b"), ("7", "a"), ("zz", "a"), (None, "b")]
+    texts = spark.createDataFrame(rows, "t string, l string").coalesce(1)
+    model = langmodel.fit(texts, "t", "l", buckets=97)
+
+    def found(text):
+        folded = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        p = [ord(c) for c in f" {' '.join(folded.split())} "]
+        return [(p[i] + 127 * p[i + 1] + 16129 * p[i + 2]) % 97 for i in range(len(p) - 2)]
+
+    for lang in "ab":
+        seen = Counter(b for t, l in rows if l == lang for b in found(t))
+        assert model.weights[lang] == [math.floor(1000 * math.log((seen[b] + 1) / (seen.total() + 97))) for b in range(97)]
+    got = [r[0] for r in texts.select(model.scores(F.col("t"))).collect()]
+    want = [[(sum(model.weights[lang][b] for b in found(t)), lang) for lang in "ab"] if found(t) else None for t, _ in rows]
+    assert [x and [tuple(y) for y in x] for x in got] == want
+
+
 def test_closure_of_odd_hierarchies(spark):
     """Self loops, cycles, repeated and null edges, a diamond and a long chain."""
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "d"), ("a", "b"), (None, "x"), ("y", None),

@@ -1,8 +1,8 @@
 """Language by naive Bayes over letter triples, fitted from labelled texts.
 
-The counts are one aggregation over the triples of all texts.  A model is a small table (languages x
-buckets) of whole numbers, so scores are exact sums; it travels as literal arrays inside the plan and
-scoring stays a row-local, native expression.
+Texts are folded by native expressions; tasks then count and score the triples of whole batches in numpy.
+The counts are one aggregation over all texts.  A model is a small table (languages x buckets) of whole
+numbers, so scores are exact sums; it travels with the scoring function.
 """
 
 from __future__ import annotations
@@ -10,13 +10,17 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from veleta.functions.once import bind
 
 BUCKETS = 8192
-MAX_LANGUAGES = 64         # 64 x 8192 numbers: about 4 MB in a plan
+MAX_LANGUAGES = 64         # 64 x 8192 numbers: about 4 MB in a task
 FACTORS = (1, 127, 16129)  # how the code points of a triple make a bucket
+SLICE = 1 << 20            # bytes of text that a task turns into arrays at a time
 
 
 def letters(text: Column) -> Column:
@@ -25,16 +29,32 @@ def letters(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
 
 
-def triples(text: Column, buckets: int = BUCKETS) -> Column:
-    """Bucket of every three characters in a row of ``letters(text)``; empty without letters."""
-    points = F.transform(F.split(letters(text), "", -1), lambda c: F.ascii(c).cast("bigint"))
+def _finder(buckets: int):
+    """A function from an array of ``letters`` to (bucket of every three characters in a row of all texts, one
+    after the other; how many each text has).  It holds all it needs, so workers do not import this package."""
+    def find(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int64)
+        found = points[:-2] * FACTORS[0] + points[1:-1] * FACTORS[1] + points[2:] * FACTORS[2]
+        # Every text has at least its two blanks: no triple begins at its last two characters.
+        inner = np.ones(len(points), bool)
+        ends = np.cumsum(lengths)
+        inner[ends - 1] = inner[ends - 2] = False
+        return found[inner[:-2]] % buckets, lengths - 2
 
-    def each(p: Column) -> Column:
-        at = lambda i, k: F.get(p, i + k) * FACTORS[k]
-        places = F.when(F.size(p) > 2, F.sequence(F.lit(0), F.size(p) - 3)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: ((at(i, 0) + at(i, 1) + at(i, 2)) % buckets).cast("int"))
+    return find
 
-    return bind(F.filter(points, lambda c: c > 0), each)
+
+def _cutter():
+    """A function that cuts an array of texts into parts of about ``SLICE`` bytes, one text at least."""
+    def cut(texts: pa.Array):
+        total, begin = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+        while begin < len(texts):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + SLICE, "right")))
+            yield texts.slice(begin, end - begin)
+            begin = end
+
+    return cut
 
 
 @dataclass(frozen=True)
@@ -45,18 +65,27 @@ class LanguageModel:
 
     def scores(self, text: Column) -> Column:
         """Array of structs (peso, idioma), one a language in alphabetical order; null without letters."""
-        buckets = len(next(iter(self.weights.values())))
-
-        def all_scores(found: Column) -> Column:
-            def one(lang: str) -> Column:
-                # A literal array: split and cast are folded once, when the query is planned.
-                table = F.split(F.lit(",".join(map(str, self.weights[lang]))), ",").cast("array<int>")
-                total = F.aggregate(found, F.lit(0).cast("bigint"), lambda s, b: s + F.get(table, b))
-                return F.struct(total.alias("peso"), F.lit(lang).alias("idioma"))
-
-            return F.when(F.size(found) > 0, F.array(*[one(x) for x in sorted(self.weights)]))
-
-        return bind(triples(text, buckets), all_scores)
+        names = sorted(self.weights)
+        tables = [np.array(self.weights[x], np.int64) for x in names]
+        find, cut = _finder(len(tables[0])), _cutter()
+
+        @F.arrow_udf("array<bigint>")
+        def sums(texts: pa.Array) -> pa.Array:
+            parts = []
+            for part in cut(texts):
+                found, n = find(part)
+                some = n > 0
+                out = np.zeros((len(n), len(tables)), np.int64)
+                if some.any():
+                    begin = (np.cumsum(n) - n)[some]
+                    for k, table in enumerate(tables):
+                        out[some, k] = np.add.reduceat(table[found], begin)
+                offsets = pa.array(np.arange(len(n) + 1) * len(tables), pa.int32())
+                parts.append(pa.ListArray.from_arrays(offsets, pa.array(out.ravel()), mask=pa.array(~some)))
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
+        return F.transform(sums(letters(text)), lambda w, i: F.struct(
+            w.alias("peso"), F.get(F.array(*map(F.lit, names)), i).alias("idioma")))
 
     def language(self, text: Column, unknown: str = "und") -> Column:
         """The likeliest language, ties to the first in the alphabet; ``unknown`` without letters."""
@@ -92,10 +121,24 @@ def fit(texts: DataFrame, text: str = "texto", lang: str = "idioma", buckets: in
     names = [r[0] for r in rows.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counts = (rows.select(F.col(lang).alias("l"), F.explode(triples(F.col(text), buckets)).alias("b"))
-              .groupBy("l", "b").agg(F.count(F.lit(1)).alias("n")))
+    places, find, cut = {name: k for k, name in enumerate(names)}, _finder(buckets), _cutter()
+
+    def count(batches):
+        total = np.zeros(len(places) * buckets, np.int64)
+        for batch in batches:
+            owner, begin = np.array([places[x] for x in batch.column(0).to_pylist()], np.int64), 0
+            for part in cut(batch.column(1)):
+                found, n = find(part)
+                total += np.bincount(np.repeat(owner[begin:begin + len(part)], n) * buckets + found, minlength=len(total))
+                begin += len(part)
+        own = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(own // buckets, pa.int32()), pa.array(own % buckets, pa.int32()),
+                                          pa.array(total[own])], ["l", "b", "n"])
+
+    counts = rows.select(F.col(lang), letters(F.col(text)).alias("t")).mapInArrow(count, "l int, b int, n bigint") \
+        .groupBy("l", "b").agg(F.sum("n").alias("n"))
     table = {name: [0] * buckets for name in names}
     for r in counts.collect():
-        table[r["l"]][r["b"]] = r["n"]
+        table[names[r["l"]]][r["b"]] = r["n"]
     return LanguageModel({name: [math.floor(1000 * math.log((n + 1) / (sum(ns) + buckets))) for n in ns]
                           for name, ns in table.items()})
