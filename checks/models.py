@@ -91,10 +91,11 @@ def _fitted(v: Views, texts: DataFrame):
 
 @check("sentiment_train_eval")
 def sentiment_train_eval(v: Views) -> DataFrame:
-    """Classification report of the text classifier on the held-out part."""
+    """Classification report of the text classifier on the held-out part; only labelled posts are cleaned."""
     from veleta.operators.evaluate import classification_report
 
-    (model, _), rows = _fitted(v, _texts(v))
+    posts = v.silver().join(v.labelled().select("id"), "id", "left_semi")
+    (model, _), rows = _fitted(v, with_model_text(posts).select("id", "texto_model"))
     scored = M.score_sentiment(model, rows.filter("particion = 'test'"))
     return classification_report(scored)
 
