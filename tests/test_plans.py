@@ -95,6 +95,20 @@ def test_text_classifier(spark):
     assert out.filter("prediccion = label").count() == 150 and len(out.first().probs) == 3
 
 
+def test_text_classifier_cuts_every_text_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    rows = [(f"{'malo' if i % 2 else 'bueno'} post {i % 7}", i % 2) for i in range(90)]
+    df = spark.createDataFrame(rows, "t string, label int").select(read("t").alias("texto_model"), "label")
+    M.train_sentiment(df, df, features=1 << 10, max_iter=3)
+    assert seen.value == 2 * 90
+
+
 def test_external_model(spark):
     def load():
         return lambda texts: [[float(len(t)), 0.0, 1.0] for t in texts]
