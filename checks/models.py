@@ -120,12 +120,13 @@ def sentiment_facts(v: Views) -> DataFrame:
     texts, path = _texts(v), scratch(v.spark, "sentiment")
     (model, _), rows = _fitted(v, texts)
     model.write().overwrite().save(path)
-    again = M.score_sentiment(M.load_or_train(path, None), texts).select("id", F.col("probs").alias("q"))
+    again = M.score_sentiment(M.load_or_train(path, None), texts).select("id", "texto_model", F.col("probs").alias("q"))
     held = M.score_sentiment(model, rows.filter("particion = 'test'")).withColumn("prediction", F.col("prediccion"))
     classes = held.select("label").distinct().count()
     learns = M.macro_f1(held, "label") > 1 / (classes * (classes + 1) / 2) if classes else True
     at = lambda k: F.get("probs", F.col("prediccion") + F.lit(0) if k is None else F.lit(k))
-    scored = M.score_sentiment(model, texts).join(again, "id")
+    # Both models in one scan: no join brings their scores together.
+    scored = M.score_sentiment(model, again)
     return scored.select(
         "id", (F.abs(F.aggregate("probs", F.lit(0.0), lambda s, x: s + x) - 1) < 1e-9).alias("suma_uno"),
         (at(None) == F.array_max("probs")).alias("clase_mas_probable"),
