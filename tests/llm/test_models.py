@@ -299,3 +299,50 @@ def test_every_place_of_every_training_text_is_learnt_from(docs, fitted, monkeyp
     monkeypatch.setattr(attention, "_averaged", noted)
     attention.fit(docs, TOKENIZER)
     assert sum(seen) == int(counts.sum()) + fitted.texts and min(seen) > 0
+
+
+def test_gradients_of_a_run_of_chunks():
+    """Chunks that follow each other give what each gives with a copy of the one before it."""
+    r = np.random.default_rng(2)
+    rows, classes, s = 30, attention.GROUPS * attention.CLASSES, attention.STRIDE
+    flat = r.normal(0, 0.3, sum(int(np.prod(x)) for x in attention.shapes(rows).values()))
+    p, run = attention.views(flat, rows), r.integers(0, rows, (7, s))
+    want, real, first = r.integers(0, classes, (6, s)), r.random((6, s)) < 0.8, np.array([True, False, False, True, False, False])
+    loss, g = attention.gradients(p, run[1:], run[:-1], first, want, real)
+    again, h = attention.run_gradients(p, run, first, want, real, np.full(len(flat), np.nan))
+    assert abs(loss - again) < 1e-9 and all(np.abs(g[n] - h[n]).max() < 1e-9 for n in attention.shapes(rows))
+
+
+def test_texts_are_cut_into_ids_once(docs, fitted, monkeypatch):
+    """The ids that the model was trained on are stored, and the same table is scored from them."""
+    ids, close = attention.WordIds(TOKENIZER), np.uint32(fitted.model.end).tobytes()
+    stored = fitted.coded.collect()
+    for r in stored:
+        raw = ids.texts([(r["text"] or "").encode().lower().split()], close)[0]
+        assert np.frombuffer(r["ids"], np.uint16).tolist() == np.frombuffer(raw, np.uint32).tolist()
+    counts = attention.subword_counts(fitted.words, TOKENIZER, len(fitted.model.inside))
+    counts[fitted.model.end] += fitted.texts
+    assert (attention.id_counts(fitted.coded, len(counts), fitted.model.end) == counts).all()
+    other = sorted(map(str, attention.score(docs.select("*"), fitted).drop("score").collect()))
+
+    def again(*_):
+        raise AssertionError("cut again")
+
+    monkeypatch.setattr(attention, "coded", again)
+    assert sorted(map(str, attention.score(docs, fitted).drop("score").collect())) == other and len(stored) == len(other)
+
+
+def test_long_texts_are_learnt_from_whole(spark, monkeypatch):
+    """Pieces of a batch that are far smaller than a text, and steps that cross them, still take every place once."""
+    rows = spark.createDataFrame([(k, "alpha beta gamma " * 400 * (1 + k % 2), None, None, None, None) for k in range(6)], EXTRA).coalesce(1)
+    monkeypatch.setattr(attention, "SLICE", 1000)
+    seen, averaged = [], attention._averaged
+
+    def noted(found, size):
+        seen.append(found.agg(F.sum("n")).first()[0] or 0)
+        return averaged(found, size)
+
+    monkeypatch.setattr(attention, "_averaged", noted)
+    fitted = attention.fit(rows, TOKENIZER)
+    counts = attention.subword_counts(fitted.words, TOKENIZER, len(fitted.model.inside))
+    assert sum(seen) == int(counts.sum()) + fitted.texts

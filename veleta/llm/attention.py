@@ -12,6 +12,7 @@ Chunks of many texts are multiplied as one batch under a causal mask.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
@@ -48,7 +49,7 @@ def views(flat: np.ndarray, rows: int) -> dict[str, np.ndarray]:
     """The named parameters inside one flat vector."""
     out, at = {}, 0
     for name, shape in shapes(rows).items():
-        n = int(np.prod(shape))
+        n = math.prod(shape)
         out[name] = flat[at:at + n].reshape(shape)
         at += n
     return out
@@ -59,7 +60,12 @@ def _offsets() -> np.ndarray:
     return np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None, :]
 
 
-CAUSAL = _offsets() >= 0
+CAUSAL, OFFSETS = _offsets() >= 0, np.maximum(_offsets(), 0)
+
+
+def _last_sums(z: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, as one product whatever the axes before are."""
+    return (z.reshape(-1, z.shape[-1]) @ np.ones(z.shape[-1], z.dtype)).reshape(z.shape[:-1])
 
 
 def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
@@ -69,7 +75,7 @@ def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     """
     if z.size and z.max() < 60:
         e = np.exp(z)
-        total = e @ np.ones(z.shape[-1], z.dtype)
+        total = _last_sums(e)
         if total.min() > 1e-20:
             return e, total, 0.0
     top = z.max(-1, keepdims=True)
@@ -85,7 +91,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def _masked(s: np.ndarray, p: dict, first: np.ndarray) -> np.ndarray:
     """Attention weights; the first chunk of a text has nothing before it."""
-    s += np.where(CAUSAL, p["near"][np.maximum(_offsets(), 0)], np.float32(-1e9))
+    s += np.where(CAUSAL, p["near"][OFFSETS], np.float32(-1e9))
     s[first, :, :STRIDE] = -1e9
     return _softmax(s)
 
@@ -107,6 +113,37 @@ def chunks(tokens: np.ndarray, lengths: np.ndarray, end: int):
     return inputs.reshape(shape), targets.reshape(shape), real.reshape(shape), first, np.repeat(np.arange(len(lengths)), per)
 
 
+def _side_by_side(p: dict) -> np.ndarray:
+    """The matrices that an embedding meets: query (with the root of the width), key, value, skip."""
+    return np.concatenate([p["query"] / np.float32(np.sqrt(WIDTH)), p["key"], p["value"], p["skip"]], 1)
+
+
+def _both_steps(p: dict) -> np.ndarray:
+    """Per group the matrix of both softmax steps side by side; its last row is their bias."""
+    out = np.empty((GROUPS, HIDDEN + 1, GROUPS + CLASSES), p["last"].dtype)
+    out[:, :HIDDEN, :GROUPS], out[:, HIDDEN, :GROUPS] = p["last"], p["prior"]
+    out[:, :HIDDEN, GROUPS:], out[:, HIDDEN, GROUPS:] = p["deep"], p["deep_prior"]
+    return out
+
+
+def _windows(x: np.ndarray, step: int = 1) -> np.ndarray:
+    """Views of every chunk with the one after it, from every ``step``-th chunk on."""
+    m, _, d = x.shape
+    a, b, c = x.strides
+    return np.ndarray(((m - 2) // step + 1, 2 * STRIDE, d), x.dtype, x, 0, (step * a, b, c))
+
+
+def _logits(hidden: np.ndarray, places: np.ndarray, bounds: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hidden layer of ``places`` and a one, logits of the groups and of the own group's classes); ``places`` are
+    in the order of their groups."""
+    act = np.empty((len(places), HIDDEN + 1), hidden.dtype)
+    act[:, :HIDDEN], act[:, HIDDEN] = hidden.take(places, 0), 1
+    out = np.empty((len(places), GROUPS + CLASSES), hidden.dtype)
+    for g, own in _group_slices(bounds):
+        np.matmul(act[own], matrix[g], out=out[own])
+    return act, out
+
+
 @dataclass
 class Model:
     """Parameters, classes and counts; about 1 MB whatever the corpus is."""
@@ -129,44 +166,41 @@ class Model:
     def prepare(self) -> None:
         """Products of every embedding row with the matrices it meets, side by side: a place costs one look-up."""
         p = self.parameters
-        self.tables = {"all": np.concatenate([p["emb"] @ p["query"] / np.float32(np.sqrt(WIDTH)), p["emb"] @ p["key"],
-                                              p["emb"] @ p["value"], p["emb"] @ p["skip"] + p["bias"]], 1)}
+        group, member = np.divmod(self.class_of, CLASSES)
+        self.tables = {"all": p["emb"] @ _side_by_side(p), "group": group.astype(np.uint8), "member": member.astype(np.uint8),
+                       "steps": _both_steps(p)}
+        self.tables["all"][:, 3 * WIDTH:] += p["bias"]
 
     def hidden(self, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
         """What the model sees after every place of chunks (embedding rows); the first chunk is only looked back at."""
         if not self.tables:
             self.prepare()
-        x, p = self.tables["all"][rows], self.parameters
-        both = np.concatenate([x[:-1, :, WIDTH:3 * WIDTH], x[1:, :, WIDTH:3 * WIDTH]], 1)
-        seen = _masked(x[1:, :, :WIDTH] @ both[:, :, :WIDTH].transpose(0, 2, 1), p, first)
-        hidden = (seen @ both[:, :, WIDTH:]).reshape(-1, WIDTH) @ p["out"]
+        x, p = self.tables["all"].take(rows, 0), self.parameters
+        both = _windows(x)
+        seen = _masked(x[1:, :, :WIDTH] @ both[:, :, WIDTH:2 * WIDTH].transpose(0, 2, 1), p, first)
+        hidden = (seen @ both[:, :, 2 * WIDTH:3 * WIDTH]).reshape(-1, WIDTH) @ p["out"]
         hidden += x[1:, :, 3 * WIDTH:].reshape(-1, HIDDEN)
         return np.maximum(hidden, 0, out=hidden)
 
     def log_probabilities(self, tokens: np.ndarray, lengths: np.ndarray, block: int = 1024) -> np.ndarray:
         """Natural log-probability of every text of ``tokens`` (each ends with the end id)."""
         inputs, targets, real, first, owner = chunks(tokens, lengths, self.end)
-        rows, p = self.row_of[inputs], self.parameters
+        rows = self.row_of.take(inputs)
         out = np.zeros(len(lengths))
         for a in range(0, len(rows), block):
             z = min(a + block, len(rows))
             hidden = self.hidden(rows[a - 1:z] if a else np.concatenate([rows[:1], rows[:z]]), first[a:z])
             want = targets[a:z].ravel()
-            group, member = np.divmod(self.class_of[want], CLASSES)
+            group = self.tables["group"].take(want)
             # In the order of the groups, each of which has its own matrix for the second step.
             order, bounds = _group_order(group)
-            hidden = hidden[order]
-            logits = np.empty((len(want), GROUPS + CLASSES), np.float32)
-            logits[:, :GROUPS] = hidden @ p["last"] + p["prior"]
-            for g in np.flatnonzero(np.diff(bounds)).tolist():
-                own = slice(bounds[g], bounds[g + 1])
-                logits[own, GROUPS:] = hidden[own] @ p["deep"][g] + p["deep_prior"][g]
+            _, logits = _logits(hidden, order, bounds, self.tables["steps"])
             at = np.arange(0, logits.size, GROUPS + CLASSES)
             flat = logits.ravel()
-            picked = flat[at + group[order]] + flat[at + GROUPS + member[order]]
+            picked = flat.take(at + group.take(order)) + flat.take(at + GROUPS + self.tables["member"].take(want.take(order)))
             found = np.empty(len(want))
             found[order] = picked - _log_sums(logits)
-            found = np.where(real[a:z].ravel(), found + self.inside[want], 0.0).reshape(z - a, STRIDE).sum(1)
+            found = np.where(real[a:z].ravel(), found + self.inside.take(want), 0.0).reshape(z - a, STRIDE).sum(1)
             out += np.bincount(owner[a:z], found, len(out))
         return out
 
@@ -190,81 +224,110 @@ def _log_sums(logits: np.ndarray) -> np.ndarray:
 
 def _group_order(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places in the order of their groups, where each group begins)."""
-    return np.argsort(group.astype(np.uint8), kind="stable"), np.r_[0, np.cumsum(np.bincount(group, minlength=GROUPS))]
+    bounds = np.zeros(GROUPS + 1, np.int64)
+    np.cumsum(np.bincount(group, minlength=GROUPS), out=bounds[1:])
+    return np.argsort(group.astype(np.uint8), kind="stable"), bounds
 
 
-def _by_group(group: np.ndarray):
-    """(group, places) of the groups that occur."""
-    order, bounds = _group_order(group)
-    for g in np.flatnonzero(np.diff(bounds)).tolist():
-        yield g, order[bounds[g]:bounds[g + 1]]
+def _group_slices(bounds: np.ndarray) -> list[tuple[int, slice]]:
+    """(group, its places) of the groups that occur."""
+    bounds = bounds.tolist()
+    return [(g, slice(a, z)) for g, (a, z) in enumerate(zip(bounds, bounds[1:])) if z > a]
 
 
 def gradients(p: dict, now: np.ndarray, before: np.ndarray, first: np.ndarray, want: np.ndarray, real: np.ndarray):
     """(loss, gradient of every parameter) for the classes ``want`` after the places of chunks."""
-    root = np.float32(np.sqrt(WIDTH))
-    ids = np.concatenate([before, now], 1)
-    x = p["emb"][ids]
-    xq = x[:, STRIDE:]
-    q, k, v = xq @ p["query"], x @ p["key"], x @ p["value"]
-    a = _masked(q @ k.transpose(0, 2, 1) / root, p, first)
+    both = np.stack([before, now], 1).reshape(-1, STRIDE)
+    return run_gradients(p, both, first, want, real, np.empty(sum(v.size for v in p.values()), p["emb"].dtype), 2)
+
+
+def run_gradients(p: dict, run: np.ndarray, first: np.ndarray, want: np.ndarray, real: np.ndarray, into: np.ndarray, step: int = 1):
+    """``gradients`` for chunks that follow each other, written to the flat vector ``into``.
+
+    ``run`` has the chunk before the first one too, so every place is looked up and multiplied once, as the
+    query that it is and as the key that two windows see.  With ``step`` 2 each chunk has one of its own before it.
+    """
+    g, n = views(into, len(p["emb"])), max(1, np.count_nonzero(real))
+    wide, flat = _side_by_side(p), lambda m: m.reshape(-1, m.shape[-1])
+    x = p["emb"].take(run.ravel(), 0)
+    y = (x @ wide).reshape(-1, STRIDE, wide.shape[1])
+    q, both = y[1::step, :, :WIDTH], _windows(y, step)
+    k, v = both[:, :, WIDTH:2 * WIDTH], both[:, :, 2 * WIDTH:3 * WIDTH]
+    a = _masked(q @ k.transpose(0, 2, 1), p, first)
     mixed = a @ v
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    hidden = flat(mixed) @ p["out"] + flat(xq) @ p["skip"] + p["bias"]
-    act = np.maximum(hidden, 0)
-    weight = (real.astype(np.float32) / max(1, int(real.sum()))).ravel()
-    group, member = np.divmod(want.ravel(), CLASSES)
-
-    def head(act, last, prior, want, weight):
-        """(loss, gradient of the logits) of one softmax."""
-        prob = _softmax(act @ last + prior)
-        at = np.arange(len(prob))
-        loss = -float((np.log(np.maximum(prob[at, want], 1e-30)) * weight).sum())
-        prob[at, want] -= 1
-        prob *= weight[:, None]
-        return loss, prob
-
-    loss, dz = head(act, p["last"], p["prior"], group, weight)
-    g = {"last": act.T @ dz, "prior": dz.sum(0), "deep": np.zeros_like(p["deep"]), "deep_prior": np.zeros_like(p["deep_prior"])}
-    dh = dz @ p["last"].T
-    for c, own in _by_group(group):
-        more, dz = head(act[own], p["deep"][c], p["deep_prior"][c], member[own], weight[own])
-        loss += more
-        g["deep"][c], g["deep_prior"][c] = act[own].T @ dz, dz.sum(0)
-        dh[own] += dz @ p["deep"][c].T
+    hidden = flat(mixed) @ p["out"]
+    hidden += y[1::step, :, 3 * WIDTH:].reshape(-1, HIDDEN)
+    hidden += p["bias"]
+    np.maximum(hidden, 0, out=hidden)
+
+    # Both softmax steps of the real places, in the order of their groups.
+    places = np.flatnonzero(real.ravel())
+    want = want.ravel().take(places)
+    order, bounds = _group_order(want // CLASSES)
+    places, want, matrix = places.take(order), want.take(order).astype(np.int64), _both_steps(p)
+    act, dz = _logits(hidden, places, bounds, matrix)
+    picks = np.arange(0, dz.size, GROUPS + CLASSES)
+    picks = np.concatenate([picks + want // CLASSES, picks + GROUPS + want % CLASSES])
+    for z in (dz.reshape(-1, CLASSES),) if GROUPS == CLASSES else (dz[:, :GROUPS], dz[:, GROUPS:]):
+        z[...] = _softmax(z)
+    shares = dz.ravel()
+    loss = -float(np.log(np.maximum(shares.take(picks), 1e-30)).sum()) / n
+    shares[picks] -= 1
+    dz *= np.float32(1 / n)
+    dsteps, dact = np.zeros_like(matrix), np.empty((len(act), HIDDEN), act.dtype)
+    for c, own in _group_slices(bounds):
+        np.matmul(act[own].T, dz[own], out=dsteps[c])
+        np.matmul(dz[own], matrix[c, :HIDDEN].T, out=dact[own])
+    g["last"][:], g["prior"][:] = dsteps[:, :HIDDEN, :GROUPS].sum(0), dsteps[:, HIDDEN, :GROUPS].sum(0)
+    g["deep"][:], g["deep_prior"][:] = dsteps[:, :HIDDEN, GROUPS:], dsteps[:, HIDDEN, GROUPS:]
+    dh = np.zeros_like(hidden)
+    dh[places] = dact
     dh *= hidden > 0
-    g["out"], g["skip"], g["bias"] = flat(mixed).T @ dh, flat(xq).T @ dh, dh.sum(0)
-    dh = dh.reshape(*now.shape, HIDDEN)
-    dm = dh @ p["out"].T
-    dv = a.transpose(0, 2, 1) @ dm
-    da = dm @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(-1, keepdims=True))
-    g["near"] = np.bincount(np.maximum(_offsets(), 0).ravel(), (ds.sum(0) * CAUSAL).ravel(), 2 * STRIDE).astype(np.float32)
-    ds /= root
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["query"], g["key"], g["value"] = flat(xq).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-    dx = dk @ p["key"].T + dv @ p["value"].T
-    dx[:, STRIDE:] += dq @ p["query"].T + dh @ p["skip"].T
-    rows, dx = ids.ravel(), flat(dx)
-    order = np.argsort(rows, kind="stable")
-    starts = np.flatnonzero(np.r_[True, np.diff(rows[order]) > 0])
-    g["emb"] = np.zeros_like(p["emb"])
-    g["emb"][rows[order[starts]]] = np.add.reduceat(dx[order], starts, axis=0)
+    g["out"][:], g["bias"][:] = flat(mixed).T @ dh, np.ones(len(dh), dh.dtype) @ dh
+
+    dm = (dh @ p["out"].T).reshape(mixed.shape)
+    ds = dm @ v.transpose(0, 2, 1)
+    ds -= _last_sums(ds * a)[..., None]
+    ds *= a
+    g["near"][:] = np.bincount(OFFSETS.ravel(), (ds.sum(0) * CAUSAL).ravel(), 2 * STRIDE)
+    dk, dv = ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm
+    dy = np.zeros_like(y)
+    np.matmul(ds, k, out=dy[1::step, :, :WIDTH])
+    for at, d in ((WIDTH, dk), (2 * WIDTH, dv)):
+        dy[:-1:step, :, at:at + WIDTH] = d[:, :STRIDE]
+        dy[1::step, :, at:at + WIDTH] += d[:, STRIDE:]
+    dy[1::step, :, 3 * WIDTH:] = dh.reshape(-1, STRIDE, HIDDEN)
+    dy = flat(dy)
+    d = x.T @ dy
+    g["query"][:], g["key"][:] = d[:, :WIDTH] / np.float32(np.sqrt(WIDTH)), d[:, WIDTH:2 * WIDTH]
+    g["value"][:], g["skip"][:] = d[:, 2 * WIDTH:3 * WIDTH], d[:, 3 * WIDTH:]
+    at = run.reshape(-1, 1) * np.int64(WIDTH) + np.arange(WIDTH)
+    g["emb"][:] = np.bincount(at.ravel(), (dy @ wide.T).ravel(), g["emb"].size).reshape(g["emb"].shape)
     return loss, g
 
 
 class Adam:
     def __init__(self, size: int, rate: float):
-        self.m, self.s = np.zeros(size, np.float32), np.zeros(size, np.float32)
+        self.m, self.s, self.held = np.zeros(size, np.float32), np.zeros(size, np.float32), np.empty(size, np.float32)
         self.rate, self.t = rate, 0
 
     def step(self, flat: np.ndarray, g: np.ndarray) -> None:
+        """Changes ``flat``, and ``g`` too."""
         self.t += 1
-        rate = self.rate / np.sqrt(1 + self.t / 100)
-        self.m += np.float32(0.1) * (g - self.m)
-        self.s += np.float32(0.01) * (g * g - self.s)
-        flat -= np.float32(rate) * (self.m / np.float32(1 - 0.9 ** self.t)) / (
-            np.sqrt(self.s / np.float32(1 - 0.99 ** self.t)) + np.float32(1e-6))
+        rate, held = self.rate / np.sqrt(1 + self.t / 100), self.held
+        np.multiply(g, g, out=held)
+        held -= self.s
+        held *= np.float32(0.01)
+        self.s += held
+        g -= self.m
+        g *= np.float32(0.1)
+        self.m += g
+        np.multiply(self.s, np.float32(1 / (1 - 0.99 ** self.t)), out=held)
+        np.sqrt(held, out=held)
+        held += np.float32(1e-6)
+        np.divide(self.m, held, out=held)
+        held *= np.float32(rate / (1 - 0.9 ** self.t))
+        flat -= held
 
 
 # -- ids of words ----------------------------------------------------------------------------------------
@@ -307,6 +370,53 @@ class WordIds(dict):
         return [b"".join(map(self.__getitem__, words)) + end for words in texts]
 
 
+def _binary(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """A binary column whose rows hold ``lengths`` of ``values`` each."""
+    offsets = np.r_[0, np.cumsum(lengths * values.itemsize)].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _coded(column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all rows, how many each has) of a column of ``coded``."""
+    kind = np.dtype(np.uint16 if end < 1 << 16 else np.uint32)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    return raw.view(kind).astype(np.int32), np.diff(offsets) // kind.itemsize
+
+
+def _pieces(lengths: np.ndarray, most: int):
+    """(begin, end) of runs of rows with at most ``most`` ids, or of one row."""
+    ends, begin = np.cumsum(lengths), 0
+    while begin < len(lengths):
+        stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + most, "right")))
+        yield begin, stop
+        begin = stop
+
+
+def coded(rows: DataFrame, tokenizer: str, end: int) -> DataFrame:
+    """Stored (id, held_out, text, begin, ids): every text cut into ids once, for counting, training and scoring.
+
+    ``ids`` are two bytes each (four in a vocabulary beyond 65,536), ``begin`` is a hash of how the text begins.
+    """
+    kind = np.uint16 if end < 1 << 16 else np.uint32
+
+    def cut(batches):
+        ids, close = WordIds(tokenizer), np.uint32(end).tobytes()
+        for b in batches:
+            for begin, texts in _slices(b):
+                found = ids.texts(texts, close)
+                lengths = np.array([len(t) // 4 for t in found], np.int64)
+                own = b.slice(begin, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("id"), own.column("held_out"), own.column("text"),
+                     pa.array([zlib.crc32(b" ".join(words[:BEGIN])) for words in texts], pa.int64()),
+                     _binary(np.frombuffer(b"".join(found), np.uint32).astype(kind), lengths)],
+                    ["id", "held_out", "text", "begin", "ids"])
+
+    id_type, text_type = (rows.schema[c].dataType.simpleString() for c in ("id", "text"))
+    return stored(arrow_map(rows, cut, f"id {id_type}, held_out boolean, text {text_type}, begin long, ids binary"), "coded")
+
+
 def _slices(batch: pa.RecordBatch):
     """(first row, folded words of every text) of rows with about ``SLICE`` bytes at a time."""
     held, size, begin = [], 0, 0
@@ -348,7 +458,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def subword_counts(words: DataFrame, tokenizer: str, size: int) -> np.ndarray:
-    """How often every subword id occurs in all training texts, from the word counts."""
+    """How often every subword id occurs in all training texts, from the word counts (without the ends of texts)."""
     def count(batches):
         encode, total = encoder(tokenizer), np.zeros(size, np.int64)
         for b in batches:
@@ -367,6 +477,22 @@ def subword_counts(words: DataFrame, tokenizer: str, size: int) -> np.ndarray:
     return out
 
 
+def id_counts(texts: DataFrame, size: int, end: int) -> np.ndarray:
+    """How often every id occurs in all training texts, ends with them, from the ids of ``coded``."""
+    def count(batches):
+        total = np.zeros(size, np.int64)
+        for b in batches:
+            total += np.bincount(_coded(b.column("ids"), end)[0], minlength=size)
+        own = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(total[own])], ["id", "n"])
+
+    out = np.zeros(size, np.int64)
+    found = arrow_map(texts.filter("not held_out").select("ids"), count, "id long, n long")
+    for r in found.groupBy("id").agg(F.sum("n").alias("n")).collect():
+        out[r[0]] = r[1]
+    return out
+
+
 def start_model(counts: np.ndarray, end: int, tokenizer: str, names: list[bytes]) -> Model:
     """The model before training: shares of groups and classes as the corpus has them, small fixed weights.
 
@@ -442,42 +568,45 @@ def _averaged(rows: DataFrame, size: int, slices: int = 16) -> np.ndarray | None
     return np.frombuffer(b"".join(r[1] for r in sorted(found)), np.float32).copy()
 
 
-def train(docs: DataFrame, model: Model, rounds: int, share: int = 1, batch: int = 128, rate: float = 0.03) -> Model:
+def train(texts: DataFrame, model: Model, rounds: int, share: int = 1, batch: int = 128, rate: float = 0.03, most: int = 512) -> Model:
     """Local steps in every task, averaged after each round.
 
-    The rounds deal the training texts among them (by a hash of how a text begins), so every place of every training text
-    is learnt from once, in the windows that score it.  ``share`` above 1, for trials, leaves out the texts that
-    fall on no round.
+    The rounds deal the training texts of ``coded`` among them (by a hash of how a text begins), so every place of every
+    training text is learnt from once, in the windows that score it.  A step takes ``batch`` chunks, and more the further
+    a task has come, ``most`` in the end.  ``share`` above 1, for trials, leaves out the texts that fall on no round.
     """
     for step in range(rounds):
         now = model
 
         def learn(batches):
-            ids, end = WordIds(now.tokenizer), np.uint32(now.end).tobytes()
             flat, rows = now.flat.copy(), int(now.row_of.max()) + 1
-            p, adam, held, seen = views(flat, rows), Adam(len(flat), rate / (1 + step)), [], 0
+            p, adam, into = views(flat, rows), Adam(len(flat), rate / (1 + step)), np.empty_like(flat)
+            row_of, class_of = now.row_of.astype(np.uint16), now.class_of.astype(np.uint16)
+            held, seen = None, 0
 
             def steps(all_of_it: bool):
+                """Learn from what is held, whose first chunk is only looked back at."""
                 nonlocal held, seen
-                parts = [np.concatenate(c) for c in zip(*held)]
-                n = len(parts[0])
-                stop = n if all_of_it else n - n % batch
-                for a in range(0, stop, batch):
-                    inputs, before, targets, real, first = (c[a:min(a + batch, stop)] for c in parts)
-                    _, g = gradients(p, now.row_of[inputs], now.row_of[before], first, now.class_of[targets], real)
-                    adam.step(flat, np.concatenate([g[name].ravel() for name in shapes(rows)]))
-                    seen += int(real.sum())
-                held = [[c[stop:] for c in parts]]
+                run, want, real, first = held
+                a, n = 1, len(run)
+                while a < n:
+                    z = a + min(most, batch + adam.t)
+                    if z > n and not all_of_it:
+                        break
+                    z = min(z, n)
+                    run_gradients(p, run[a - 1:z], first[a:z], want[a:z], real[a:z], into)
+                    adam.step(flat, into)
+                    seen += np.count_nonzero(real[a:z])
+                    a = z
+                held = [c[a - 1:] for c in held]
 
             for b in batches:
-                for _, texts in _slices(b):
-                    own = [words for words in texts if zlib.crc32(b" ".join(words[:BEGIN])) % (share * rounds) == step]
-                    if not own:
-                        continue
-                    found = ids.texts(own, end)
-                    lengths = np.array([len(t) // 4 for t in found], np.int64)
-                    inputs, targets, real, first, _ = chunks(np.frombuffer(b"".join(found), np.uint32).astype(np.int32), lengths, now.end)
-                    held.append([inputs, inputs[np.maximum(np.arange(len(inputs)) - 1, 0)], targets, real, first])
+                ids, lengths = _coded(b.column("ids"), now.end)
+                at = np.r_[0, np.cumsum(lengths)]
+                for begin, stop in _pieces(lengths, SLICE):
+                    inputs, targets, real, first, _ = chunks(ids[at[begin]:at[stop]], lengths[begin:stop], now.end)
+                    more = [row_of.take(inputs), class_of.take(targets), real, first]
+                    held = [np.concatenate(c) for c in zip(held or [c[:1] for c in more], more)]
                     steps(False)
             if held:
                 steps(True)
@@ -485,7 +614,8 @@ def train(docs: DataFrame, model: Model, rounds: int, share: int = 1, batch: int
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seen], pa.int64()),
                                                   pa.array([flat.tobytes()], pa.binary())], ["part", "n", "flat"])
 
-        rows = arrow_map(docs.filter("not held_out").select("text"), learn, "part int, n long, flat binary")
+        rows = arrow_map(texts.filter((~F.col("held_out")) & (F.col("begin") % (share * rounds) == step)).select("ids"), learn,
+                         "part int, n long, flat binary")
         flat = _averaged(rows, len(model.flat))
         if flat is None:
             continue   # no text fell on this round
@@ -502,6 +632,8 @@ class Fitted:
     texts: int                 # training texts
     tokens: int                # N: words and ends
     distinct: int              # V: different words, and the end
+    coded: DataFrame | None = None   # all rows of the table that it was fitted on, cut into ids (stored)
+    source: tuple | None = None      # that table and its columns of ids and texts
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, modulus: int = 7, held_out: int = 2) -> DataFrame:
@@ -522,17 +654,16 @@ def fit(docs: DataFrame, tokenizer: str, rounds: int = 2, share: int = 1, id_col
     rows = keyed(docs, id_col, text_col)
     words = word_counts(rows)
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    texts = rows.filter("not held_out").count()
     vocabulary = Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True)
     size = max(vocabulary.values()) + 1
     end = next((i for t, i in sorted(vocabulary.items()) if t.startswith("<|end")), 0)
     names = [b""] * size
     for token, i in vocabulary.items():
         names[i] = token.encode()
-    counts = subword_counts(words, tokenizer, size)
-    counts[end] += texts
-    model = train(rows, start_model(counts, end, tokenizer, names), rounds, share)
-    return Fitted(model, words, texts, n + texts, v + (texts > 0))
+    cut = coded(rows, tokenizer, end)
+    texts = cut.filter("not held_out").count()
+    model = train(cut, start_model(id_counts(cut, size, end), end, tokenizer, names), rounds, share)
+    return Fitted(model, words, texts, n + texts, v + (texts > 0), cut, (docs, id_col, text_col))
 
 
 # -- scoring ---------------------------------------------------------------------------------------------
@@ -567,16 +698,18 @@ def score(docs: DataFrame, fitted: Fitted, id_col: str = "doc_id", text_col: str
     ``score`` is the model's log10 probability of the whole text with its end, ``base_score`` that of
     single words with counts one too high.  The counts of heavy words (at most ``HEAVY`` can hold a
     ``HEAVY``-th of all tokens each, 16 MB) go to every task; the others are joined by their hash, and none
-    of them is frequent enough to make a hot key.
+    of them is frequent enough to make a hot key.  The table that the model was fitted on is not cut into ids again.
 
     Null, empty and blank texts are an end alone.  Equal texts get equal scores; repeated rows come back
     one by one; a row without id is a training row.  Very long texts are scored whole, window by
     window.  An empty table gives an empty one; without training rows all counts are zero and the
     model is untrained.  Other columns are ignored.
     """
-    rows = keyed(docs, id_col, text_col)
-    id_type = rows.schema["id"].dataType.simpleString()
     n, v, model = fitted.tokens, fitted.distinct, fitted.model
+    table, *names = fitted.source or (None,)
+    rows = (fitted.coded if table is docs and names == [id_col, text_col] else
+            coded(keyed(docs, id_col, text_col), model.tokenizer, model.end)).drop("begin")
+    id_type = rows.schema["id"].dataType.simpleString()
     heavy = fitted.words.filter(F.col("n") * HEAVY >= n).select("h", "n").toPandas()
     hashes = heavy["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
@@ -587,13 +720,13 @@ def score(docs: DataFrame, fitted: Fitted, id_col: str = "doc_id", text_col: str
     def run(batches):
         model, hashes, logs = shared.value
         number = TaskContext.get().partitionId() << 40
-        ids, known, end = WordIds(model.tokenizer), LogCounts(hashes, logs), np.uint32(model.end).tobytes()
+        known = LogCounts(hashes, logs)
         for b in batches:
+            ids, lengths = _coded(b.column("ids"), model.end)
+            at = np.r_[0, np.cumsum(lengths)]
             for begin, texts in _slices(b):
-                tokens = ids.texts(texts, end)
-                lengths = np.array([len(t) // 4 for t in tokens], np.int64)
-                found = model.log_probabilities(np.frombuffer(b"".join(tokens), np.uint32).astype(np.int32), lengths)
                 size, m = np.array([len(w) for w in texts], np.int64), len(texts)
+                found = model.log_probabilities(ids[at[begin]:at[begin + m]], lengths[begin:begin + m])
                 log, h = known.look_up([w for words in texts for w in words])
                 owner = np.repeat(np.arange(m), size)
                 rare = np.isnan(log)
