@@ -7,6 +7,7 @@ from checks.core import Views
 from veleta.operators import models as M
 from veleta.plans import gold, graph, incremental, ingest, prep, silver
 from veleta.sources.bronze import read_bronze
+from veleta.streaming import ingest as live
 from veleta.streaming.ingest import start_live, trigger_for
 
 SF = "/root/testdata/sf0.001"
@@ -143,3 +144,41 @@ def test_incremental_silver_equals_the_full_run(spark, folder):
     got = incremental.read_silver(spark, folder + "/silver").select(columns)
     assert got.count() == posts.count() and got.exceptAll(full.select(columns)).isEmpty()
     assert {r[0] for r in got.filter("id in ('d3', 'd4')").select("titulo").collect()} == {"edited"}
+
+
+def test_a_parsed_batch_waits_on_disk(spark, folder, monkeypatch):
+    """Both sinks read lines parsed once, and no memory of the executors is held between them."""
+    seen = []
+    write = live.write_bronze
+
+    def spy(df, *rest):
+        write(df, *rest)
+        seen.extend((x.memSize(), x.diskSize()) for x in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+
+    monkeypatch.setattr(live, "write_bronze", spy)
+    good = spark.range(300).selectExpr("to_json(struct('p' || id as id, repeat('word ', 200) as selftext, id as created_utc)) as value")
+    bad = spark.createDataFrame([("{broken 1",), ("[]",), ('{"title": "no id"}',), ("",)], "value string")
+    good.unionByName(bad).coalesce(1).write.text(folder + "/in")
+    pieces = spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")
+    start_live(spark, folder + "/in", folder + "/bronze", folder + "/bad", folder + "/cp", seconds=0).awaitTermination()
+    assert seen and all(memory == 0 < disk for memory, disk in seen)
+    assert spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize") == pieces
+    assert spark.read.parquet(folder + "/bronze").select("id").distinct().count() == 300
+    assert {r.linea for r in spark.read.parquet(folder + "/bad").collect()} == {"{broken 1", "[]", '{"title": "no id"}', ""}
+
+
+def test_incremental_silver_reads_few_rows_at_once(spark, folder, monkeypatch):
+    """Wide rows are read in small batches during an update; the session's setting is back afterwards."""
+    key, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+    keep = incremental.latest_by_key
+    monkeypatch.setattr(incremental, "latest_by_key", lambda df, **by: (seen.append(int(spark.conf.get(key))), keep(df, **by))[1])
+    rows = spark.range(50).selectExpr("'p' || id as id", "'text ' || id as selftext", "cast(id as double) as created_utc",
+                                      "1000D as _ingest_ts")
+    before = spark.conf.get(key)
+    for lote, title in ((0, "first"), (1, "second")):
+        rows.withColumns({"title": F.lit(title), "_ingest_ts": F.col("_ingest_ts") + lote}) \
+            .write.parquet(f"{folder}/bronze/lote={lote:012d}")
+        assert incremental.update(spark, folder + "/bronze", folder + "/silver", buckets=4) == [0, 1, 2, 3]
+    assert len(seen) == 3 and max(seen) < 4096 and spark.conf.get(key) == before
+    got = incremental.read_silver(spark, folder + "/silver").select("id", "titulo").collect()
+    assert len(got) == 50 and {r.titulo for r in got} == {"second"}
